@@ -17,6 +17,21 @@ def round_half_away(col: Column, digits: int = 0) -> Column:
     return F.round(col * scale, 0) / scale
 
 
+AVERAGE_SNAP_DIGITS = 8
+
+
+def round_average(col: Column, digits: int) -> Column:
+    """Round an average so the result does not depend on summation order.
+
+    A floating-point average differs in its last bits with the order in which
+    partitions are summed; an average that is exactly on a rounding boundary
+    (e.g. 27.175 from ten 1-dp rates) could then round either way. Snapping
+    to ``AVERAGE_SNAP_DIGITS`` first removes that noise; the value then rounds
+    as the reference rounds the exact average.
+    """
+    return round_half_away(round_half_away(col, AVERAGE_SNAP_DIGITS), digits)
+
+
 def safe_div(numerator: Column, denominator: Column) -> Column:
     """``numerator / NULLIF(denominator, 0)``: NULL instead of an ANSI divide-by-zero error."""
     return numerator / F.nullif(denominator, F.lit(0))

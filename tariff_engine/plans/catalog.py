@@ -259,7 +259,7 @@ def _build_catalog() -> dict[str, CatalogQuery]:
     add("performance_summary", lambda m: m.performance_summary(), "SELECT * FROM performance_summary")
     add("heatmap_matrix", lambda m: m.heatmap_matrix(),
         "SELECT energy_type, scenario, postcode, "
-        + ", ".join(f"ROUND(AVG(percentile_rank) FILTER (WHERE consumption_label = '{lab}'), 2) AS \"{lab}\""
+        + ", ".join(f"ROUND(ROUND(AVG(percentile_rank) FILTER (WHERE consumption_label = '{lab}'), 8), 2) AS \"{lab}\""
                     for lab in ("low", "medium", "high", "max"))
         + " FROM market_analysis WHERE percentile_rank IS NOT NULL GROUP BY energy_type, scenario, postcode")
     add("dq_not_null", lambda m: QS.not_null_report(QS.model_frames(m)), _not_null_sql())

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariff_engine.functions import pricing as P
+from tariff_engine.functions.numeric import round_average
 from tariff_engine.functions.numeric import round_half_away as rnd
 from tariff_engine.operators.ceiling_match import ceiling_levels, ceiling_match
 from tariff_engine.operators.ranking import (
@@ -148,8 +149,8 @@ def with_rank_metrics(ranked: DataFrame, params: PricingParams = DEFAULT_PARAMS)
 def with_market_context(ranked: DataFrame) -> DataFrame:
     """Competitor averages and the gap to the cheapest competitor (W7), NULL without competitors."""
     return (ranked
-            .withColumn("avg_competitor_unit_rate_ct", rnd(F.col("avg_competitor_rate"), 2))
-            .withColumn("avg_competitor_annual_cost_eur", rnd(F.col("avg_competitor_cost"), 2))
+            .withColumn("avg_competitor_unit_rate_ct", round_average(F.col("avg_competitor_rate"), 2))
+            .withColumn("avg_competitor_annual_cost_eur", round_average(F.col("avg_competitor_cost"), 2))
             .withColumn("min_competitor_annual_cost_eur", rnd(F.col("min_competitor_cost"), 2))
             .withColumn("delta_vs_cheapest_competitor_eur", rnd(F.col(COST) - F.col("min_competitor_cost"), 2)))
 

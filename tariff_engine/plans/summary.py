@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tariff_engine.functions.numeric import round_average as ravg
 from tariff_engine.functions.numeric import round_half_away as rnd
 from tariff_engine.params import LEVEL_LABELS
 
@@ -29,11 +30,11 @@ def performance_summary(analysis: DataFrame) -> DataFrame:
         top.alias("segments_where_top_3"),
         rnd(pct * cheapest / segments, 1).alias("pct_cheapest"),
         rnd(pct * top / segments, 1).alias("pct_top_3"),
-        rnd(F.avg("our_rank"), 1).alias("avg_rank"),
-        rnd(F.avg("percentile_rank"), 1).alias("avg_percentile"),
-        rnd(F.avg("delta_vs_cheapest_competitor_eur"), 2).alias("avg_delta_vs_cheapest_eur"),
-        rnd(F.avg("our_annual_cost_after_bonus_eur"), 2).alias("avg_our_annual_cost_eur"),
-        rnd(F.avg("avg_competitor_annual_cost_eur"), 2).alias("avg_market_annual_cost_eur"),
+        ravg(F.avg("our_rank"), 1).alias("avg_rank"),
+        ravg(F.avg("percentile_rank"), 1).alias("avg_percentile"),
+        ravg(F.avg("delta_vs_cheapest_competitor_eur"), 2).alias("avg_delta_vs_cheapest_eur"),
+        ravg(F.avg("our_annual_cost_after_bonus_eur"), 2).alias("avg_our_annual_cost_eur"),
+        ravg(F.avg("avg_competitor_annual_cost_eur"), 2).alias("avg_market_annual_cost_eur"),
     )
 
 
@@ -43,14 +44,14 @@ def heatmap_matrix(analysis: DataFrame, labels=LEVEL_LABELS) -> DataFrame:
     One long pivot covering every energy type and scenario; the caller filters
     to one (energy type, scenario) pair for a single heatmap. Rows without a
     percentile are left out, as the plotting pivot drops empty cells; the four
-    label columns are always present (NULL where empty). Cells are rounded to
-    2 dp so the result does not depend on summation order.
+    label columns are always present (NULL where empty). Cells are averages
+    rounded to 2 dp (``round_average``).
     """
     return (
         analysis.where(F.col("percentile_rank").isNotNull())
         .groupBy(*HEATMAP_KEYS)
         .pivot("consumption_label", list(labels))
-        .agg(rnd(F.avg("percentile_rank"), 2))
+        .agg(ravg(F.avg("percentile_rank"), 2))
     )
 
 
