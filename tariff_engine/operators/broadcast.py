@@ -1,0 +1,23 @@
+"""Broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup with at most this many rows is broadcast explicitly; anything larger
+# is left to Spark's planner (statistics) and adaptive execution (runtime size).
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when ``df`` has at most ``max_rows`` rows.
+
+    Meant for catalogues and parameter lookups (RDD-backed frames carry no
+    size statistics, so the planner cannot see that they are tiny). The row
+    count is a job over the lookup itself, which is cheap by construction; a
+    larger frame gets no hint and joins by shuffle.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

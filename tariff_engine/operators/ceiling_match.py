@@ -6,14 +6,17 @@ keys, pick the smallest quoted level that is >= the point's level, and keep
 
 Plan, Spark-first:
 
-1. ``distinct`` (entity, quoted level) per key set: partial aggregation makes
-   this small even when one key holds a third of all quotes.
-2. equi join of those levels to the points on the keys with the residual
-   ``quoted >= point`` and ``MIN`` per (point, entity): again a partial
-   aggregate over small data.
-3. equi join of the quotes to the matched levels on keys + entity + level.
-   The matched side is materialised first, so adaptive execution broadcasts
-   it when its measured size is small and otherwise splits skewed quote
+1. per (keys, entity): the set of quoted levels, ``collect_set`` as a partial
+   (map-side) aggregate, so an entity holding a third of all quotes reaches
+   the shuffle as one small row per task. The set is bounded by the number of
+   distinct quoted levels, not by the quote volume.
+2. per key set: the few points (reference levels x labels) as one array.
+3. an equi join of 1 and 2 on the keys; the ceiling of each point is
+   ``array_min(filter(levels, l -> l >= point))``: array functions, no
+   range join, no per-point aggregate.
+4. an equi join of the quotes to the matched (entity, level) rows. The
+   matched side is materialised first, so adaptive execution broadcasts it
+   when its measured size is small and otherwise splits skewed quote
    partitions in a sort-merge join.
 """
 
@@ -29,28 +32,39 @@ from pyspark.sql import functions as F
 MATCHED_LEVEL = "matched_consumption_level_kwh"
 
 
+def _matchable(quotes: DataFrame, keys: list[str], entity: list[str], quote_level: str) -> DataFrame:
+    """Quotes that can match at all: equality joins never match a NULL key, entity or level.
+
+    Applying the filter once, before both uses of the quotes, keeps the two
+    branches identical so Spark reuses one exchange for them.
+    """
+    return quotes.where(reduce(and_, [F.col(c).isNotNull() for c in keys + entity + [quote_level]]))
+
+
+def _ceiling(quotes: DataFrame, points: DataFrame, keys: list[str], entity: list[str],
+             quote_level: str, point_level: str) -> DataFrame:
+    point_cols = [c for c in points.columns if c not in keys]
+    levels = quotes.groupBy(*keys, *entity).agg(F.collect_set(quote_level).alias("_levels"))
+    per_key = points.groupBy(*keys).agg(F.collect_list(F.struct(*point_cols)).alias("_points"))
+
+    def with_ceiling(p):
+        ceiling = F.array_min(F.filter(F.col("_levels"), lambda lvl: lvl >= p[point_level]))
+        return F.struct(*[p[c].alias(c) for c in point_cols], ceiling.alias(MATCHED_LEVEL))
+
+    matches = F.filter(F.transform(F.col("_points"), with_ceiling), lambda m: m[MATCHED_LEVEL].isNotNull())
+    return levels.join(per_key, keys, "inner").select(*keys, *entity, F.inline(matches))
+
+
 def ceiling_levels(quotes: DataFrame, points: DataFrame, keys: Sequence[str], entity: Sequence[str],
                    quote_level: str, point_level: str) -> DataFrame:
     """One row per (point, entity): the smallest quoted level >= the point level.
 
-    Output: every point column, the entity columns and ``matched_consumption_level_kwh``.
-    Rows with a NULL key, entity or level never match (equality joins drop NULLs).
+    Output: the keys, the entity columns, every other point column and
+    ``matched_consumption_level_kwh``. Points with no quoted level at or above
+    them produce no row.
     """
     keys, entity = list(keys), list(entity)
-    quoted = (
-        quotes.select(*keys, *entity, quote_level)
-        .where(reduce(and_, [F.col(c).isNotNull() for c in keys + entity + [quote_level]]))
-        .distinct()
-    )
-    q, p = quoted.alias("q"), points.alias("p")
-    cond = [F.col(f"q.{k}") == F.col(f"p.{k}") for k in keys]
-    cond.append(F.col(f"q.{quote_level}") >= F.col(f"p.{point_level}"))
-    point_cols = [F.col(f"p.{c}") for c in points.columns]
-    return (
-        q.join(p, cond, "inner")
-        .groupBy(*point_cols, *[F.col(f"q.{c}") for c in entity])
-        .agg(F.min(F.col(f"q.{quote_level}")).alias(MATCHED_LEVEL))
-    )
+    return _ceiling(_matchable(quotes, keys, entity, quote_level), points, keys, entity, quote_level, point_level)
 
 
 def ceiling_match(quotes: DataFrame, points: DataFrame, keys: Sequence[str], entity: Sequence[str],
@@ -60,7 +74,8 @@ def ceiling_match(quotes: DataFrame, points: DataFrame, keys: Sequence[str], ent
     ``quotes`` and ``points`` may share only the ``keys`` column names.
     """
     keys, entity = list(keys), list(entity)
-    matched = ceiling_levels(quotes, points, keys, entity, quote_level, point_level)
+    quotes = _matchable(quotes, keys, entity, quote_level)
+    matched = _ceiling(quotes, points, keys, entity, quote_level, point_level)
     m, q = matched.alias("m"), quotes.alias("q")
     cond = [F.col(f"q.{c}") == F.col(f"m.{c}") for c in keys + entity]
     cond.append(F.col(f"q.{quote_level}") == F.col(f"m.{MATCHED_LEVEL}"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tariff_engine.functions.text import contract_months, norm_postcode
 from tariff_engine.params import DEFAULT_PARAMS, PricingParams
+from tariff_engine.sources.partitioning import spread_if_undersplit
 
 COST_BAND_COLUMNS = [
     "energy_type", "postcode", "town", "consumption_from", "consumption_to",
@@ -84,6 +85,9 @@ def stage_quotes(raw: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> Data
 
     The dedupe groups on every output column, so the shuffle hashes all of
     them: one provider or postcode dominating the snapshot still spreads over
-    many tasks, and exact copies collapse map-side before the exchange.
+    many tasks, and exact copies collapse map-side before the exchange. An
+    under-split input is hash-spread on the same columns first, which then
+    serves as the dedupe's own exchange.
     """
-    return project_quotes(raw, params).dropDuplicates()
+    projected = spread_if_undersplit(project_quotes(raw, params), *QUOTE_COLUMNS)
+    return projected.dropDuplicates()

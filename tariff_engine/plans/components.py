@@ -8,8 +8,9 @@ Plan shape:
   band-level rows, partitioned by (energy_type, postcode) -- before the
   product and scenario fan-out, so one small shuffle serves all three windows
   and the price list's window needs no further exchange;
-* products join on energy_type (a small catalogue: Spark's size estimate
-  broadcasts it; a large one falls back to a shuffle join);
+* products join on energy_type: the catalogue is broadcast after a row-count
+  check (it is RDD-backed, so the planner has no size for it); a large
+  catalogue falls back to a shuffle join;
 * scenarios come from the parameters and explode in place.
 """
 
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tariff_engine.functions import pricing as P
 from tariff_engine.operators.band_join import expand_levels
+from tariff_engine.operators.broadcast import broadcast_if_small
 from tariff_engine.params import DEFAULT_PARAMS, PricingParams
 
 COMPONENT_COLUMNS = [
@@ -77,7 +79,7 @@ def price_components_with_bands(bands: DataFrame, products: DataFrame,
                              F.col("gross_standing_charge_eur_per_month"))
     return (
         band_levels(bands, params)
-        .join(products, "energy_type", "inner")
+        .join(broadcast_if_small(products), "energy_type", "inner")
         .select("*", F.inline(_scenario_rows(params)))
         .withColumn("margin_eur_per_kwh", margin)
         .withColumn("net_unit_rate_eur_per_kwh", net)

@@ -8,7 +8,7 @@ and only the (small) own-offer side carries the scenario. See
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tariff_engine.functions import pricing as P
@@ -72,7 +72,14 @@ def segment_points(components: DataFrame) -> DataFrame:
 # ---- competitor side -----------------------------------------------------------------------
 
 def relevant_quotes(quotes: DataFrame, components: DataFrame) -> DataFrame:
-    """Staged quotes for contract lengths we sell; the semi join is pushed below the quote dedupe."""
+    """Staged quotes for contract lengths we sell.
+
+    The contract lengths come from the price components, which are persisted
+    and small (bounded by postcodes x products x levels); the semi join is
+    broadcast when Spark measures them under its broadcast threshold and is
+    applied map-side below the quote dedupe, so unsold contract lengths never
+    reach the shuffle.
+    """
     contracts = components.select("contract_length_months").distinct()
     return (quotes.join(contracts, "contract_length_months", "left_semi")
             .withColumnRenamed("consumption_level_kwh", QUOTED_LEVEL))
@@ -159,12 +166,22 @@ BASELINE_KEYS = ["energy_type", "product", "postcode", "consumption_level_kwh",
 
 
 def with_delta_vs_baseline(ranked: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
-    """Rank change against the baseline scenario, joined by product name."""
-    baseline = (ranked.where(F.col("scenario") == F.lit(params.baseline_scenario))
-                .select(*BASELINE_KEYS, F.col("offer_rank").alias("_baseline_rank")))
-    return (ranked.join(baseline, BASELINE_KEYS, "left")
+    """Rank change against the baseline scenario for the same product name and segment.
+
+    Same rows as a left join of the offers to the baseline offers on
+    (energy type, product name, postcode, level, contract), written as a
+    window so the ranked offers are not computed twice: the baseline ranks of
+    the key group are collected (a group holds at most scenarios x products
+    sharing a name) and exploded, so a repeated product name fans out exactly
+    as the join would, and a missing baseline leaves one row with NULL.
+    """
+    keys = Window.partitionBy(*[F.col(c) for c in BASELINE_KEYS])
+    baseline_ranks = F.collect_list(
+        F.when(F.col("scenario") == F.lit(params.baseline_scenario), F.col("offer_rank"))).over(keys)
+    return (ranked.withColumn("_baseline_ranks", baseline_ranks)
+            .withColumn("_baseline_rank", F.explode_outer("_baseline_ranks"))
             .withColumn("delta_rank_vs_standard", F.col("offer_rank") - F.col("_baseline_rank"))
-            .drop("_baseline_rank"))
+            .drop("_baseline_ranks", "_baseline_rank"))
 
 
 def market_analysis(components: DataFrame, quotes: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tariff_engine.operators.staging import stage_cost_bands, stage_products, stage_quotes
@@ -45,7 +46,13 @@ class PricingModel:
     # intermediate
     @cached_property
     def components_with_bands(self) -> DataFrame:
-        return price_components_with_bands(self.cost_bands, self.products, self.params)
+        """Persisted: the price list, the market analysis and the quality suite all read it.
+
+        Its size is bounded by postcodes x products x levels x scenarios, not by
+        the quote volume; a lost executor's blocks are recomputed from lineage.
+        """
+        return price_components_with_bands(self.cost_bands, self.products, self.params) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def components(self) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tariff_engine.params import ELECTRICITY, GAS
 from tariff_engine.sources.lookups import products_from_rows
+from tariff_engine.sources.partitioning import spread_if_undersplit
 
 # Fixed values of the table mapping.
 POSTCODE_BUCKETS = 997
@@ -118,7 +119,8 @@ def load_inputs(spark: SparkSession, sf_dir: str) -> PricingInputs:
     if nation.count() > MAX_NATION_ROWS:
         raise ValueError("nation is expected to be a small fixed dimension")
     return PricingInputs(
-        cost_bands=cost_bands_from_tables(_table(spark, sf_dir, "customer"), nation),
+        cost_bands=cost_bands_from_tables(spread_if_undersplit(_table(spark, sf_dir, "customer"), "c_custkey"),
+                                          nation),
         products=catalogue(spark),
-        quotes=quotes_from_lineitem(_table(spark, sf_dir, "lineitem")),
+        quotes=quotes_from_lineitem(spread_if_undersplit(_table(spark, sf_dir, "lineitem"), "l_orderkey")),
     )

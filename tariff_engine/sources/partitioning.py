@@ -1,0 +1,21 @@
+"""Input partitioning guard."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_undersplit(df: DataFrame, *by: str) -> DataFrame:
+    """Spread a frame over the cluster's cores when its scan yields fewer partitions.
+
+    A small file written as one row group is read by a single task, which
+    then does all the per-row work alone. Large inputs arrive as many splits
+    and pass through untouched, so this never adds a shuffle at scale.
+    With ``by`` columns the rows are hash-partitioned on them (no sort; a
+    following aggregate on a superset of ``by`` then needs no further
+    exchange); without, round-robin.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *by) if by else df.repartition(cores)
