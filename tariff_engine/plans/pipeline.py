@@ -1,0 +1,54 @@
+"""Run the whole model: staging -> components -> marts -> exports -> data-quality report.
+
+Marts are written as parquet tables and the roll-ups read the written
+market-analysis table back, so their lineage starts at a file in the shared
+output folder (nothing is kept on one machine, and a lost executor only
+costs the tasks of the current stage).
+"""
+
+from __future__ import annotations
+
+import os
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tariff_engine import sinks
+from tariff_engine.params import DEFAULT_PARAMS, PricingParams
+from tariff_engine.plans import quality_suite as QS
+from tariff_engine.plans.model import PricingModel
+from tariff_engine.sources.driver_tables import PricingInputs
+
+
+def run_pipeline(spark: SparkSession, inputs: PricingInputs, out_dir: str,
+                 params: PricingParams = DEFAULT_PARAMS, export_csv: bool = True) -> dict[str, str]:
+    """Build every mart under ``out_dir`` (a shared, cluster-visible path) and return their paths."""
+    model = PricingModel(inputs, params)
+    path = {name: os.path.join(out_dir, name) for name in (
+        "price_list", "market_analysis", "performance_summary", "heatmap_matrix", "quality_report",
+        "exports/price_lists", "exports/market_analysis_scenarios", "exports/market_performance_summary")}
+
+    sinks.write_mart(model.price_list, path["price_list"])
+    sinks.write_mart(model.market_analysis, path["market_analysis"], partition_by=["energy_type", "scenario"])
+
+    analysis = spark.read.parquet(path["market_analysis"])
+    sinks.write_mart(model.performance_summary(analysis), path["performance_summary"])
+    sinks.write_mart(model.heatmap_matrix(analysis), path["heatmap_matrix"])
+
+    frames = QS.model_frames(model)
+    frames["market_analysis"] = analysis
+    frames["price_list"] = spark.read.parquet(path["price_list"])
+    frames["performance_summary"] = spark.read.parquet(path["performance_summary"])
+    report: DataFrame = reduce(DataFrame.unionByName, [
+        QS.not_null_report(frames), QS.unique_report(frames), QS.unique_combo_report(frames),
+        QS.accepted_values_report(frames), QS.margin_floor_report({"price_components": model}),
+    ])
+    sinks.write_mart(report, path["quality_report"])
+
+    if export_csv:
+        sinks.export_price_list(frames["price_list"], path["exports/price_lists"])
+        sinks.export_market_analysis(analysis, path["exports/market_analysis_scenarios"])
+        sinks.export_summary(frames["performance_summary"], path["exports/market_performance_summary"])
+
+    model.components_with_bands.unpersist()
+    return path
