@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tariff_engine.plans import catalog  # noqa: E402
 from tariff_engine.session import local_session  # noqa: E402
 
-HEADLINE = ["price_list", "market_analysis", "performance_summary", "heatmap_matrix", "dq_not_null"]
+HEADLINE = ["price_list", "market_analysis", "performance_summary"]
 
 
 def _sf(path: str) -> float | str:
