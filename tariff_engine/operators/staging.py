@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tariff_engine.functions.text import contract_months, norm_postcode
 from tariff_engine.params import DEFAULT_PARAMS, PricingParams
-from tariff_engine.sources.partitioning import spread_if_undersplit
 
 COST_BAND_COLUMNS = [
     "energy_type", "postcode", "town", "consumption_from", "consumption_to",
@@ -80,14 +79,19 @@ def project_quotes(raw: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> Da
     )
 
 
-def stage_quotes(raw: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
+def stage_quotes(raw: DataFrame, params: PricingParams = DEFAULT_PARAMS,
+                 contracts: DataFrame | None = None) -> DataFrame:
     """Typed quotes, exact duplicate rows removed (A2).
 
     The dedupe groups on every output column, so the shuffle hashes all of
     them: one provider or postcode dominating the snapshot still spreads over
-    many tasks, and exact copies collapse map-side before the exchange. An
-    under-split input is hash-spread on the same columns first, which then
-    serves as the dedupe's own exchange.
+    many tasks, and exact copies collapse map-side before the exchange.
+
+    ``contracts`` (one column ``contract_length_months``, a handful of rows)
+    keeps only quotes for those contract lengths; the semi join runs map-side
+    before the dedupe, so the other quotes never reach the shuffle.
     """
-    projected = spread_if_undersplit(project_quotes(raw, params), *QUOTE_COLUMNS)
+    projected = project_quotes(raw, params)
+    if contracts is not None:
+        projected = projected.join(contracts, "contract_length_months", "left_semi")
     return projected.dropDuplicates()

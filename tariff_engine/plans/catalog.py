@@ -91,7 +91,7 @@ def _band_join_levels(m: PricingModel) -> DataFrame:
 
 
 def _ranked(m: PricingModel) -> DataFrame:
-    return market.ranked_own_offers(m.components, m.quotes, m.params)
+    return market.ranked_own_offers(m.components, m.market_quotes, m.params)
 
 
 def _offer_rank(m: PricingModel) -> DataFrame:
@@ -117,11 +117,11 @@ def _delta_vs_baseline(m: PricingModel) -> DataFrame:
 
 
 def _quote_annual_cost(m: PricingModel) -> DataFrame:
-    return market.competitors_at_levels(m.quotes, m.components).select(*QUOTE_COST_COLUMNS)
+    return market.competitors_at_levels(m.market_quotes, m.components).select(*QUOTE_COST_COLUMNS)
 
 
 def _all_offers(m: PricingModel) -> DataFrame:
-    return market.all_offers(m.components, m.quotes, m.params)
+    return market.all_offers(m.components, m.market_quotes, m.params)
 
 
 def _dq_margin_floor(m: PricingModel) -> DataFrame:
@@ -243,7 +243,7 @@ def _build_catalog() -> dict[str, CatalogQuery]:
     add("segment_points", lambda m: market.segment_points(m.components),
         "SELECT DISTINCT scenario, energy_type, postcode, consumption_level_kwh, contract_length_months, "
         "consumption_label FROM components")
-    add("ceiling_match", lambda m: market.ceiling_matches(m.quotes, m.components), "SELECT * FROM ceiling")
+    add("ceiling_match", lambda m: market.ceiling_matches(m.market_quotes, m.components), "SELECT * FROM ceiling")
     add("quote_annual_cost", _quote_annual_cost, f"SELECT {_cols(QUOTE_COST_COLUMNS)} FROM rivals")
     add("all_offers", _all_offers, "SELECT * FROM offers")
     add("offer_rank", _offer_rank, OWN_RANK_SQL)

@@ -71,18 +71,20 @@ def segment_points(components: DataFrame) -> DataFrame:
 
 # ---- competitor side -----------------------------------------------------------------------
 
+def sold_contracts(components: DataFrame) -> DataFrame:
+    """Contract lengths of the own offers (a handful of rows; broadcast by size)."""
+    return components.select("contract_length_months").distinct()
+
+
 def relevant_quotes(quotes: DataFrame, components: DataFrame) -> DataFrame:
-    """Staged quotes for contract lengths we sell.
+    """Quotes with the level column renamed for the match.
 
-    The contract lengths come from the price components, which are persisted
-    and small (bounded by postcodes x products x levels); the semi join is
-    broadcast when Spark measures them under its broadcast threshold and is
-    applied map-side below the quote dedupe, so unsold contract lengths never
-    reach the shuffle.
+    Quotes of contract lengths we do not sell can never match (the contract
+    length is a match key). Staging them with
+    ``stage_quotes(..., contracts=sold_contracts(components))`` drops them
+    before the dedupe; that is an optimisation only, not needed for the result.
     """
-    contracts = components.select("contract_length_months").distinct()
-    return (quotes.join(contracts, "contract_length_months", "left_semi")
-            .withColumnRenamed("consumption_level_kwh", QUOTED_LEVEL))
+    return quotes.withColumnRenamed("consumption_level_kwh", QUOTED_LEVEL)
 
 
 def ceiling_matches(quotes: DataFrame, components: DataFrame) -> DataFrame:

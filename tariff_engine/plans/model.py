@@ -43,6 +43,11 @@ class PricingModel:
     def quotes(self) -> DataFrame:
         return stage_quotes(self.inputs.quotes, self.params)
 
+    @cached_property
+    def market_quotes(self) -> DataFrame:
+        """Staged quotes for the contract lengths we sell (the market analysis needs no others)."""
+        return stage_quotes(self.inputs.quotes, self.params, market.sold_contracts(self.components))
+
     # intermediate
     @cached_property
     def components_with_bands(self) -> DataFrame:
@@ -65,7 +70,7 @@ class PricingModel:
 
     @cached_property
     def market_analysis(self) -> DataFrame:
-        return market.market_analysis(self.components, self.quotes, self.params)
+        return market.market_analysis(self.components, self.market_quotes, self.params)
 
     def performance_summary(self, analysis: DataFrame | None = None) -> DataFrame:
         return performance_summary(self.market_analysis if analysis is None else analysis)

@@ -16,6 +16,9 @@ ENGINE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Runtime-measured broadcast limit: a join side is broadcast only after its
+    # stage has run and its actual size is known to be under this bound.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame
 
 
 def spread_if_undersplit(df: DataFrame, *by: str) -> DataFrame:
-    """Spread a frame over the cluster's cores when its scan yields fewer partitions.
+    """Spread a source scan over the cluster's cores when it yields fewer partitions.
+
+    Apply it to a bare file scan only: its partition count comes from the file
+    splits without running anything (on a plan with joins or caches, asking
+    for the partition count would execute the upstream stages).
 
     A small file written as one row group is read by a single task, which
     then does all the per-row work alone. Large inputs arrive as many splits
