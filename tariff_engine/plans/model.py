@@ -77,3 +77,24 @@ class PricingModel:
 
     def heatmap_matrix(self, analysis: DataFrame | None = None) -> DataFrame:
         return heatmap_matrix(self.market_analysis if analysis is None else analysis)
+
+
+def register_views(spark: SparkSession, model: PricingModel, prefix: str = "") -> list[str]:
+    """Expose the staging, intermediate and mart frames as temporary views.
+
+    Views stay lazy: ``spark.sql`` over them plans against the same DataFrames,
+    so filters and column pruning still reach the scans.
+    """
+    frames = {
+        "cost_bands": model.cost_bands,
+        "products": model.products,
+        "quotes": model.quotes,
+        "price_components": model.components,
+        "price_list": model.price_list,
+        "market_analysis": model.market_analysis,
+    }
+    names = []
+    for name, df in frames.items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

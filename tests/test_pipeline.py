@@ -31,3 +31,13 @@ def test_run_pipeline_writes_marts_and_exports(spark):
     assert exported.where("length(postcode) = 5").count() == 5400
     header = open(sorted(glob.glob(os.path.join(paths["exports/price_lists"], "part-*.csv")))[0]).readline()
     assert header.strip().split(",")[:3] == ["energy_type", "product_name", "postcode"]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="benchmark tables not present")
+def test_register_views_supports_sql(spark):
+    from tariff_engine.plans.model import PricingModel, register_views
+
+    names = register_views(spark, PricingModel.from_tables(spark, SF_DIR), prefix="t_")
+    assert "t_price_list" in names
+    got = spark.sql("SELECT energy_type, COUNT(*) AS n FROM t_price_list GROUP BY energy_type ORDER BY 1").collect()
+    assert [(r.energy_type, r.n) for r in got] == [("ELECTRICITY", 1200), ("GAS", 600)]
