@@ -70,7 +70,13 @@ class PricingModel:
 
     @cached_property
     def market_analysis(self) -> DataFrame:
-        return market.market_analysis(self.components, self.market_quotes, self.params)
+        """Persisted: the summary, the heatmap and the quality suite all read it.
+
+        One row per own offer and scenario, so its size is bounded like the
+        components', whatever the quote volume.
+        """
+        return market.market_analysis(self.components, self.market_quotes, self.params) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
 
     def performance_summary(self, analysis: DataFrame | None = None) -> DataFrame:
         return performance_summary(self.market_analysis if analysis is None else analysis)

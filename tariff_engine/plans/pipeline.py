@@ -50,5 +50,6 @@ def run_pipeline(spark: SparkSession, inputs: PricingInputs, out_dir: str,
         sinks.export_market_analysis(analysis, path["exports/market_analysis_scenarios"])
         sinks.export_summary(frames["performance_summary"], path["exports/market_performance_summary"])
 
+    model.market_analysis.unpersist()
     model.components_with_bands.unpersist()
     return path

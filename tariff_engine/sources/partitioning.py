@@ -19,7 +19,10 @@ def spread_if_undersplit(df: DataFrame, *by: str) -> DataFrame:
     following aggregate on a superset of ``by`` then needs no further
     exchange); without, round-robin.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the plan as it is
         return df
     return df.repartition(cores, *by) if by else df.repartition(cores)
