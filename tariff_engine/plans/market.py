@@ -49,8 +49,14 @@ ANALYSIS_COLUMNS = [
 
 # ---- own side ----------------------------------------------------------------------------
 
-def own_offers(components: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
-    """Components as offers (D15): gross ct rate, annual standing charge (2 dp), our label."""
+def own_offers(components: DataFrame, params: PricingParams = DEFAULT_PARAMS,
+               scenario: str | None = None) -> DataFrame:
+    """Components as offers (D15): gross ct rate, annual standing charge (2 dp), our label.
+
+    ``scenario`` keeps one scenario only (P9).
+    """
+    if scenario is not None:
+        components = components.where(F.col("scenario") == F.lit(scenario))
     return components.select(
         "scenario", "elec_margin_ct", "gas_margin_ct", "energy_type", "postcode", "consumption_level_kwh",
         "consumption_label", "contract_length_months",

@@ -14,7 +14,9 @@ from tariff_engine import schemas
 def _read(spark: SparkSession, path: str, schema, fmt: str | None) -> DataFrame:
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     if fmt == "csv":
-        return spark.read.schema(schema).option("header", "true").option("mode", "FAILFAST").csv(path)
+        # PERMISSIVE: a malformed number (e.g. "2.7" in an integer column) becomes NULL and is
+        # reported by the not-null checks instead of failing the whole job.
+        return spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").csv(path)
     return spark.read.schema(schema).format(fmt).load(path)
 
 

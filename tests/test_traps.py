@@ -96,3 +96,37 @@ def test_hot_postcode_matches_oracle(spark):
     hot_segments = entry_module.queries()["market_analysis"](spark, skew_dir) \
         .where("postcode = '01562'").agg({"total_offers": "max"}).collect()[0][0]
     assert hot_segments is not None and not math.isnan(hot_segments) and hot_segments > 50
+
+
+def test_bad_csv_numbers_become_null(spark, tmp_path):
+    from tariff_engine.sources.files import read_cost_bands
+
+    path = tmp_path / "bands.csv"
+    path.write_text("energy_type,postcode,town,consumption_from,consumption_to,"
+                    "basecost_net_unit_rate_eur_per_kwh,basecost_net_standing_charge_eur_per_year\n"
+                    "GAS,01067,T,2.7,1000,0.04,30.0\nGAS,1067,T,1001,2000,0.03,31.0\n")
+    got = sorted((r.postcode, r.consumption_from) for r in read_cost_bands(spark, str(path)).collect())
+    assert got == [("01067", None), ("1067", 1001)]
+    nn = {r.column_name: r.failing_rows for r in Q.check_not_null(read_cost_bands(spark, str(path)),
+                                                                   ["consumption_from"], "m").collect()}
+    assert nn == {"consumption_from": 1}
+
+
+def test_heatmap_drops_empty_rows_keeps_label_columns(spark):
+    from tariff_engine.plans.summary import heatmap_for, heatmap_matrix
+
+    rows = [("ELECTRICITY", "standard", "00001", "low", 10.0), ("ELECTRICITY", "standard", "00001", "low", 20.0),
+            ("ELECTRICITY", "standard", "00001", "max", None), ("ELECTRICITY", "standard", "00002", "max", None)]
+    df = spark.createDataFrame(rows, "energy_type string, scenario string, postcode string, consumption_label string, "
+                                     "percentile_rank double")
+    m = heatmap_for(heatmap_matrix(df), "ELECTRICITY", "standard")
+    assert m.columns == ["postcode", "low", "medium", "high", "max"]
+    assert [tuple(r) for r in m.collect()] == [("00001", 15.0, None, None, None)]
+
+
+def test_own_offers_scenario_filter(spark):
+    from tariff_engine.plans.market import own_offers
+
+    products = [("A", "One", "ELECTRICITY", 3.0, 50.0, 0.19, 10.0, 12, 12)]
+    comps, _ = _model(spark, products)
+    assert {r.scenario for r in own_offers(comps, scenario="aggressive").collect()} == {"aggressive"}
