@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs per query, default 3; the median is reported).
+BENCH_RUNS (timed runs per query, default 5; the median is reported).
 Each query runs to completion through Spark's ``noop`` sink (every row is
 produced, nothing is collected to the driver), with the cache cleared before
 every run so persisted intermediates are recomputed from the input tables.
@@ -32,7 +32,7 @@ def _sf(path: str) -> float | str:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="tariff_engine_bench")
     timings: dict[str, float] = {}
     rows: dict[str, int] = {}

@@ -10,14 +10,24 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 100_000
 
 
+def _known_row_count(df: DataFrame) -> int | None:
+    """Exact row count from the optimised plan's statistics, when Spark has one (e.g. VALUES)."""
+    try:
+        count = df._jdf.queryExecution().optimizedPlan().stats().rowCount()
+        return int(count.get().toString()) if count.isDefined() else None
+    except Exception:  # sessions without JVM access: fall back to counting
+        return None
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when ``df`` has at most ``max_rows`` rows.
 
-    Meant for catalogues and parameter lookups (RDD-backed frames carry no
-    size statistics, so the planner cannot see that they are tiny). The row
-    count is a job over the lookup itself, which is cheap by construction; a
-    larger frame gets no hint and joins by shuffle.
+    Meant for catalogues and parameter lookups. An exact row count from the
+    plan statistics is used when present; otherwise the rows are counted (a
+    job over the lookup itself, cheap by construction). A larger frame gets
+    no hint and joins by shuffle.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    rows = _known_row_count(df)
+    if rows is None:
+        rows = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if rows <= max_rows else df

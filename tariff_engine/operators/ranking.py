@@ -83,12 +83,14 @@ def rank_own_offers(own: DataFrame, profile: DataFrame, segment: Sequence[str],
     """
     segment, set_group = list(segment), list(set_group)
     by_scenario = Window.partitionBy(F.col(scenario), *[F.col(c) for c in segment])
+    by_set = Window.partitionBy(*[F.col(c) for c in segment + set_group]).orderBy(F.asc_nulls_last(cost))
     own = (
         own.repartition(*[F.col(c) for c in segment])  # one exchange serves both windows and the profile join
-        .withColumn("_own_rank", F.rank().over(by_scenario.orderBy(F.asc_nulls_last(cost))))
-        .withColumn("_own_offers", F.count(F.lit(1)).over(by_scenario))
-        .withColumn("_pos", F.dense_rank().over(
-            Window.partitionBy(*[F.col(c) for c in segment + set_group]).orderBy(F.asc_nulls_last(cost))) - F.lit(1))
+        .withColumns({
+            "_own_rank": F.rank().over(by_scenario.orderBy(F.asc_nulls_last(cost))),
+            "_own_offers": F.count(F.lit(1)).over(by_scenario),
+            "_pos": F.dense_rank().over(by_set) - F.lit(1),
+        })
     )
     ranked = own.join(profile, segment, "left")
     beaten_by = F.aggregate(
@@ -96,8 +98,9 @@ def rank_own_offers(own: DataFrame, profile: DataFrame, segment: Sequence[str],
     cheaper_competitors = F.when(F.col(cost).isNull(), F.coalesce(F.col("priced_competitor_offers"), F.lit(0)))\
         .otherwise(F.coalesce(beaten_by, F.lit(0).cast("long")))
     return (
-        ranked.withColumn("offer_rank", (F.col("_own_rank") + cheaper_competitors).cast("long"))
-        .withColumn("offers_in_segment",
-                    (F.col("_own_offers") + F.coalesce(F.col("competitor_offers"), F.lit(0))).cast("long"))
+        ranked.withColumns({
+            "offer_rank": (F.col("_own_rank") + cheaper_competitors).cast("long"),
+            "offers_in_segment": (F.col("_own_offers") + F.coalesce(F.col("competitor_offers"), F.lit(0))).cast("long"),
+        })
         .drop("_own_rank", "_own_offers", "_pos", "bins")
     )

@@ -64,36 +64,40 @@ def _scenario_rows(params: PricingParams):
 
 def price_components_with_bands(bands: DataFrame, products: DataFrame,
                                 params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
-    """All component columns plus ``pcw_consumption_to`` for the price list."""
+    """All component columns plus ``pcw_consumption_to`` for the price list.
+
+    The formulas are composed as column expressions and applied in one
+    projection (Catalyst shares the common sub-expressions).
+    """
     energy = F.col("energy_type")
     margin = P.effective_margin(energy, F.col("elec_margin_ct"), F.col("gas_margin_ct"),
                                 params.margin_floor_eur_per_kwh)
-    net = P.net_unit_rate(F.col("basecost_net_unit_rate_eur_per_kwh"), F.col("procurement_cost_eur_per_kwh"),
-                          F.col("margin_eur_per_kwh"))
-    gross = P.gross_unit_rate(F.col("net_unit_rate_eur_per_kwh"), F.col("vat_rate"))
+    net = P.net_unit_rate(F.col("basecost_net_unit_rate_eur_per_kwh"), F.col("procurement_cost_eur_per_kwh"), margin)
+    gross = P.gross_unit_rate(net, F.col("vat_rate"))
     standing = P.gross_standing_monthly(F.col("basecost_net_standing_charge_eur_per_year"),
                                         P.standing_margin(energy, params), F.col("vat_rate"))
-    at_level = P.annual_gross(F.col("gross_unit_rate_eur_per_kwh"), F.col("consumption_level_kwh"),
-                              F.col("gross_standing_charge_eur_per_month"))
-    at_from = P.annual_gross(F.col("gross_unit_rate_eur_per_kwh"), F.col("pcw_consumption_from"),
-                             F.col("gross_standing_charge_eur_per_month"))
-    return (
+    target = P.target_bonus(energy, params)
+    at_level = P.annual_gross(gross, F.col("consumption_level_kwh"), standing)
+    at_from = P.annual_gross(gross, F.col("pcw_consumption_from"), standing)
+    bonus = P.capped_bonus(target, at_from, params.bonus_cap_share)
+    derived = {
+        "margin_eur_per_kwh": margin,
+        "net_unit_rate_eur_per_kwh": net,
+        "gross_unit_rate_eur_per_kwh": gross,
+        "gross_standing_charge_eur_per_month": standing,
+        "target_signup_bonus_eur": target,
+        "annual_gross_eur": at_level,
+        "annual_gross_at_from_eur": at_from,
+        "signup_bonus_eur": bonus,
+        "annual_cost_after_bonus_eur": at_level - bonus,
+    }
+    fanned_out = (
         band_levels(bands, params)
         .join(broadcast_if_small(products), "energy_type", "inner")
         .select("*", F.inline(_scenario_rows(params)))
-        .withColumn("margin_eur_per_kwh", margin)
-        .withColumn("net_unit_rate_eur_per_kwh", net)
-        .withColumn("gross_unit_rate_eur_per_kwh", gross)
-        .withColumn("gross_standing_charge_eur_per_month", standing)
-        .withColumn("target_signup_bonus_eur", P.target_bonus(energy, params))
-        .withColumn("annual_gross_eur", at_level)
-        .withColumn("annual_gross_at_from_eur", at_from)
-        .withColumn("signup_bonus_eur",
-                    P.capped_bonus(F.col("target_signup_bonus_eur"), F.col("annual_gross_at_from_eur"),
-                                   params.bonus_cap_share))
-        .withColumn("annual_cost_after_bonus_eur", F.col("annual_gross_eur") - F.col("signup_bonus_eur"))
-        .select(*COMPONENT_COLUMNS, "pcw_consumption_to")
     )
+    return fanned_out.select(
+        *[derived[c].alias(c) if c in derived else F.col(c) for c in COMPONENT_COLUMNS], "pcw_consumption_to")
 
 
 def price_components(bands: DataFrame, products: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:

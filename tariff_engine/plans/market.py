@@ -154,20 +154,22 @@ def ranked_own_offers(components: DataFrame, quotes: DataFrame, params: PricingP
 def with_rank_metrics(ranked: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
     """cheaper count, percentile, cheapest and top-k flags."""
     rank, total = F.col("offer_rank"), F.col("offers_in_segment")
-    return (ranked
-            .withColumn("cheaper_offers_count", rank - F.lit(1))
-            .withColumn("percentile_rank", P.percentile_rank(rank, total))
-            .withColumn("is_cheapest", rank == F.lit(1))
-            .withColumn("is_top_3", rank <= F.lit(params.top_k)))
+    return ranked.withColumns({
+        "cheaper_offers_count": rank - F.lit(1),
+        "percentile_rank": P.percentile_rank(rank, total),
+        "is_cheapest": rank == F.lit(1),
+        "is_top_3": rank <= F.lit(params.top_k),
+    })
 
 
 def with_market_context(ranked: DataFrame) -> DataFrame:
     """Competitor averages and the gap to the cheapest competitor (W7), NULL without competitors."""
-    return (ranked
-            .withColumn("avg_competitor_unit_rate_ct", round_average(F.col("avg_competitor_rate"), 2))
-            .withColumn("avg_competitor_annual_cost_eur", round_average(F.col("avg_competitor_cost"), 2))
-            .withColumn("min_competitor_annual_cost_eur", rnd(F.col("min_competitor_cost"), 2))
-            .withColumn("delta_vs_cheapest_competitor_eur", rnd(F.col(COST) - F.col("min_competitor_cost"), 2)))
+    return ranked.withColumns({
+        "avg_competitor_unit_rate_ct": round_average(F.col("avg_competitor_rate"), 2),
+        "avg_competitor_annual_cost_eur": round_average(F.col("avg_competitor_cost"), 2),
+        "min_competitor_annual_cost_eur": rnd(F.col("min_competitor_cost"), 2),
+        "delta_vs_cheapest_competitor_eur": rnd(F.col(COST) - F.col("min_competitor_cost"), 2),
+    })
 
 
 BASELINE_KEYS = ["energy_type", "product", "postcode", "consumption_level_kwh", "contract_length_months"]
