@@ -16,7 +16,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from tariff_engine.params import PricingParams
-from tariff_engine.plans.pipeline import run_pipeline
+from tariff_engine.plans.marts import build_marts
 from tariff_engine.session import ENGINE_DEFAULTS, ensure_checkpoint_dir
 from tariff_engine.sources import PricingInputs, load_inputs, read_cost_bands, read_products, read_quotes
 
@@ -56,7 +56,7 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("--bands needs --products and --quotes")
         inputs = PricingInputs(read_cost_bands(spark, args.bands), read_products(spark, args.products),
                                read_quotes(spark, args.quotes))
-    paths = run_pipeline(spark, inputs, args.out, params, export_csv=not args.no_csv)
+    paths = build_marts(spark, inputs, args.out, params, export_csv=not args.no_csv)
     print(json.dumps(paths, indent=2))
     return 0
 

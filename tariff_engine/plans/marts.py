@@ -20,7 +20,7 @@ from tariff_engine.plans.model import PricingModel
 from tariff_engine.sources.driver_tables import PricingInputs
 
 
-def run_pipeline(spark: SparkSession, inputs: PricingInputs, out_dir: str,
+def build_marts(spark: SparkSession, inputs: PricingInputs, out_dir: str,
                  params: PricingParams = DEFAULT_PARAMS, export_csv: bool = True) -> dict[str, str]:
     """Build every mart under ``out_dir`` (a shared, cluster-visible path) and return their paths."""
     model = PricingModel(inputs, params)

@@ -1,7 +1,7 @@
 """The whole model wired together for one input set and one parameter set.
 
 Every attribute is a lazy DataFrame; nothing runs until an action.
-``pipeline.run_pipeline`` materialises the marts; the query catalog picks
+``marts.build_marts`` materialises the marts; the query catalog picks
 single frames out of it.
 """
 

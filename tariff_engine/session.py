@@ -11,7 +11,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the pipeline relies on; applied only where the cluster has none.
+# Settings the engine relies on; applied only where the cluster has none.
 ENGINE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -2,5 +2,5 @@
 
 The modelled application works on one competitor snapshot and has no
 stream, watermark, window or state anywhere, so nothing here is built.
-A new snapshot is a new batch run of ``tariff_engine.plans.pipeline``.
+A new snapshot is a new batch run of ``tariff_engine.plans.marts``.
 """

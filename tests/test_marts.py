@@ -1,4 +1,4 @@
-"""The whole pipeline: marts written as tables, CSV exports read back with their schemas."""
+"""Building every mart: marts written as tables, CSV exports read back with their schemas."""
 
 import glob
 import os
@@ -6,7 +6,7 @@ import tempfile
 
 import pytest
 
-from tariff_engine.plans.pipeline import run_pipeline
+from tariff_engine.plans.marts import build_marts
 from tariff_engine.sources.driver_tables import load_inputs
 from tariff_engine.sources.files import read_market_analysis
 
@@ -14,9 +14,9 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="benchmark tables not present")
-def test_run_pipeline_writes_marts_and_exports(spark):
-    out = tempfile.mkdtemp(prefix="tariff-pipeline-")
-    paths = run_pipeline(spark, load_inputs(spark, SF_DIR), out)
+def test_build_marts_writes_marts_and_exports(spark):
+    out = tempfile.mkdtemp(prefix="tariff-marts-")
+    paths = build_marts(spark, load_inputs(spark, SF_DIR), out)
     analysis = spark.read.parquet(paths["market_analysis"])
     assert analysis.count() == 5400
     assert spark.read.parquet(paths["price_list"]).count() == 1800
