@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tariff_engine.params import ELECTRICITY, GAS
 from tariff_engine.sources.lookups import products_from_rows
-from tariff_engine.sources.partitioning import spread_if_undersplit
+from tariff_engine.sources.partitioning import is_undersplit, spread_if_undersplit
 
 # Fixed values of the table mapping.
 POSTCODE_BUCKETS = 997
@@ -110,6 +110,19 @@ def quotes_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def _spread_quotes(lineitem: DataFrame) -> DataFrame:
+    """Quotes from an under-split scan are hash-spread on every quote column.
+
+    Hashing on all columns keeps column pruning from reaching below the
+    exchange, so every branch that reads the quotes reuses that one exchange
+    (and the one scan under it). Inputs with enough splits are left alone.
+    """
+    quotes = quotes_from_lineitem(lineitem)
+    if is_undersplit(lineitem):
+        return quotes.repartition(lineitem.sparkSession.sparkContext.defaultParallelism, *quotes.columns)
+    return quotes
+
+
 def catalogue(spark: SparkSession) -> DataFrame:
     return products_from_rows(spark, PRODUCT_ROWS)
 
@@ -122,5 +135,5 @@ def load_inputs(spark: SparkSession, sf_dir: str) -> PricingInputs:
         cost_bands=cost_bands_from_tables(spread_if_undersplit(_table(spark, sf_dir, "customer"), "c_custkey"),
                                           nation),
         products=catalogue(spark),
-        quotes=quotes_from_lineitem(spread_if_undersplit(_table(spark, sf_dir, "lineitem"), "l_orderkey")),
+        quotes=_spread_quotes(_table(spark, sf_dir, "lineitem")),
     )

@@ -5,6 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def is_undersplit(scan: DataFrame) -> bool:
+    """True when a bare file scan yields fewer partitions than the cluster has cores."""
+    try:
+        return scan.rdd.getNumPartitions() < scan.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # sessions without RDD access (e.g. Spark Connect)
+        return False
+
+
 def spread_if_undersplit(df: DataFrame, *by: str) -> DataFrame:
     """Spread a source scan over the cluster's cores when it yields fewer partitions.
 
