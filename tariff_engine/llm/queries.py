@@ -6,29 +6,54 @@ result's columns.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariff_engine.llm.exact_dedup import exact_dedup
 from tariff_engine.llm.license_scan import license_scan
+from tariff_engine.llm.prefix_counts import prefix_counts
+from tariff_engine.llm.token_files import write_token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _crc32(ids: np.ndarray) -> int:
+    """Of ids as little-endian unsigned 32-bit integers."""
+    return zlib.crc32(ids.astype("<u4").tobytes())
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return files.scan(spark, _crc32, "ids_crc32 long", pa.int64())
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents")).withColumn("n_detections", F.size("detections")).drop("detections")
 
 
+def op9_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = prefix_counts(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), budgets=(512,), keep_steps=False
+    )
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"), "fits_512")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_files": op2_token_files,
     "op7_license_scan": op7_license_scan,
+    "op9_prefix_counts": op9_prefix_counts,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
