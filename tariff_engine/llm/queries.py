@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tariff_engine.llm.exact_dedup import exact_dedup
 from tariff_engine.llm.license_scan import license_scan
+from tariff_engine.llm.packing import pack_documents
 from tariff_engine.llm.prefix_counts import prefix_counts
 from tariff_engine.llm.token_files import write_token_files
 
@@ -30,6 +31,10 @@ def _crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return files.scan(spark, _crc32, "ids_crc32 long", pa.int64())
@@ -51,6 +56,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
     "op7_license_scan": op7_license_scan,
     "op9_prefix_counts": op9_prefix_counts,
