@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariff_engine.llm.exact_dedup import exact_dedup
+from tariff_engine.llm.lang_id import PER_LANGUAGE, LanguageModel, detect_language, training_sample
 from tariff_engine.llm.license_scan import license_scan
 from tariff_engine.llm.packing import pack_documents
 from tariff_engine.llm.prefix_counts import prefix_counts
@@ -40,6 +41,14 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan(spark, _crc32, "ids_crc32 long", pa.int64())
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    sample = training_sample(docs.where(fold != 2), F.col("text"), F.col("lang"), F.col("doc_id"), PER_LANGUAGE)
+    found = detect_language(docs, LanguageModel.fit(sample))
+    return found.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents")).withColumn("n_detections", F.size("detections")).drop("detections")
 
@@ -58,6 +67,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
+    "op5_language_id": op5_language_id,
     "op7_license_scan": op7_license_scan,
     "op9_prefix_counts": op9_prefix_counts,
     "op10_exact_dedup": op10_exact_dedup,
