@@ -6,8 +6,8 @@ lower-casing and normalisation might differ.
 
 * `ByteEncoder` (byte-level BPE): the vocabulary of the file drives tiktoken's byte-pair engine. That is the
   same encoding when ids follow merge order, which is verified on loading; otherwise the library does all.
-* `WordEncoder` (BPE with word ends, white space dropped): blank-separated pieces are taken from a bounded
-  memo; pieces not in it are split into the file's pre-tokens, which the library's model encodes.
+* `WordEncoder` (BPE with word ends, white space dropped): pieces between white space are taken, lower-cased, from a
+  bounded memo; pieces not in it are split into the file's pre-tokens, which the library's model encodes.
 """
 
 from __future__ import annotations
@@ -127,9 +127,9 @@ class WordEncoder(_Library):
 
     def _piece(self, piece: str) -> bytes:
         if piece.isalpha():
-            return self._word(piece.lower())
+            return self._word(piece)
         ids = []
-        for word in self._PRE_TOKEN.findall(piece.lower()):
+        for word in self._PRE_TOKEN.findall(piece):
             known = self.words.get(word)
             if known is None:
                 known = self._word(word)
@@ -153,7 +153,7 @@ class WordEncoder(_Library):
             if not text:
                 taken.append(b"")
             elif self.ordinary(text):
-                pieces = text.split(" ")
+                pieces = text.lower().split()
                 missing.update(set(pieces).difference(memo))
                 taken.append(pieces)
             else:

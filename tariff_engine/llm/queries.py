@@ -21,6 +21,7 @@ from tariff_engine.llm.license_scan import license_scan
 from tariff_engine.llm.packing import pack_documents
 from tariff_engine.llm.prefix_counts import prefix_counts
 from tariff_engine.llm.token_files import write_token_files
+from tariff_engine.llm.url_filter import filter_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan(spark, _crc32, "ids_crc32 long", pa.int64())
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
@@ -67,6 +72,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
+    "op3_url_filter": op3_url_filter,
     "op5_language_id": op5_language_id,
     "op7_license_scan": op7_license_scan,
     "op9_prefix_counts": op9_prefix_counts,
