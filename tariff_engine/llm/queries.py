@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariff_engine.llm.exact_dedup import exact_dedup
+from tariff_engine.llm.hamming_index import nearest_neighbours
 from tariff_engine.llm.lang_id import PER_LANGUAGE, LanguageModel, detect_language, training_sample
 from tariff_engine.llm.license_scan import license_scan
 from tariff_engine.llm.packing import pack_documents
@@ -58,6 +59,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents")).withColumn("n_detections", F.size("detections")).drop("detections")
 
 
+def op8_hamming_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = prefix_counts(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), budgets=(512,), keep_steps=False
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op5_language_id": op5_language_id,
     "op7_license_scan": op7_license_scan,
+    "op8_hamming_index": op8_hamming_index,
     "op9_prefix_counts": op9_prefix_counts,
     "op10_exact_dedup": op10_exact_dedup,
 }
