@@ -141,7 +141,7 @@ class PrefixCounter(ByteEncoder):
         return [b - a for a, b in zip(totals, totals[1:])]
 
     def _piece(self, piece: str) -> bytes:
-        if piece[1:].isalpha():  # one pre-token
+        if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):  # one pre-token
             totals = self._run(piece)
             steps = [b - a for a, b in zip(totals, totals[1:])]
         elif (parts := _WORD_AND_MARKS.fullmatch(piece)) is not None:  # two
