@@ -21,6 +21,7 @@ from tariff_engine.llm.lang_id import PER_LANGUAGE, LanguageModel, detect_langua
 from tariff_engine.llm.license_scan import license_scan
 from tariff_engine.llm.packing import pack_documents
 from tariff_engine.llm.prefix_counts import prefix_counts
+from tariff_engine.llm.shingle_join import shingle_join
 from tariff_engine.llm.token_files import write_token_files
 from tariff_engine.llm.url_filter import filter_urls
 
@@ -55,6 +56,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join(_table(spark, sf_dir, "documents")).documents
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents")).withColumn("n_detections", F.size("detections")).drop("detections")
 
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op3_url_filter": op3_url_filter,
     "op5_language_id": op5_language_id,
+    "op6_shingle_join": op6_shingle_join,
     "op7_license_scan": op7_license_scan,
     "op8_hamming_index": op8_hamming_index,
     "op9_prefix_counts": op9_prefix_counts,
