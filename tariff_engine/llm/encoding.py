@@ -1,13 +1,13 @@
 """Token ids of whole texts, exactly as the tokenizers library gives them, at a few times its speed.
 
-Both encoders read the library's own file and hand every text that they cannot vouch for to the library:
-texts with a special token's string, and texts with characters outside `_KNOWN`, on which regex engines,
-lower-casing and normalisation might differ.
-
-* `ByteEncoder` (byte-level BPE): the vocabulary of the file drives tiktoken's byte-pair engine. That is the
-  same encoding when ids follow merge order, which is verified on loading; otherwise the library does all.
-* `WordEncoder` (BPE with word ends, white space dropped): pieces between white space are taken, lower-cased, from a
-  bounded memo; pieces not in it are split into the file's pre-tokens, which the library's model encodes.
+Both encoders read the library's own file and run its merges on tiktoken's byte-pair engine, which merges any two
+neighbours that spell an entry, in order of rank. That equals merging by rules if every entry that takes part is
+encoded to itself by the rules: then, when two neighbours spell an entry, the rules applied to that stretch alone
+must just have come to the entry's own two parts. Loading checks this for every entry with the library's model and
+leaves out entries that the rules never reach.
+
+Every text that the encoders cannot vouch for goes to the library: texts with a special token's string, and texts
+with characters outside `_KNOWN`, on which regex engines, lower-casing and normalisation might differ.
 """
 
 from __future__ import annotations
@@ -15,20 +15,15 @@ from __future__ import annotations
 import json
 import os
 import re
-import struct
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Latin letters and marks (without superscript digits and fractions), punctuation and ordinary white space.
-_KNOWN = re.compile("[\t-\r -~¡-±´-¸º»¿-ɏ‐-‧]*")
-
-#: Pieces whose ids a worker keeps (about 200 bytes each).
-MEMO_PIECES = 400_000
-#: Texts whose missing pieces are encoded together.
-BATCH_TEXTS = 256
+#: Latin letters and marks (without superscript digits, fractions and the dotted capital I), punctuation, white space.
+_KNOWN = re.compile("[\t-\r -~¡-±´-¸º»¿-įı-ɏ‐-‧]*")
 
 
 def known_characters(text: str) -> bool:
@@ -62,108 +57,84 @@ class _Library:
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def engine(self, pattern: str, singles: dict[bytes, str], to_bytes: Callable[[str], bytes]) -> Callable[[str], np.ndarray]:
+        """A function from a text to ids, for pre-tokens by ``pattern``.
+
+        ``singles`` spells the symbols that words start out as; ``to_bytes`` spells any entry.
+        """
+        import tiktoken
+
+        vocab, suffix = self.spec["model"]["vocab"], self.spec["model"]["end_of_word_suffix"] or ""
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in self.spec["model"]["merges"]]
+        # a last symbol that merges with nothing, to see what an entry becomes inside a word
+        used = {part for merge in merges for part in merge}
+        quiet = next(s for s in byte_symbols() if s + suffix not in used)
+        ranks = {spelled: rank for rank, spelled in enumerate(singles)}
+        ids = [vocab[entry] for entry in singles.values()]
+        for left, right in merges:
+            entry = left + right
+            at_end = not suffix or entry.endswith(suffix)
+            alone = entry.removesuffix(suffix) if at_end and suffix else entry if at_end else entry + quiet
+            became = [t.id for t in self.tokenizer.model.tokenize(alone)]
+            if became == [vocab[entry]] + ([] if at_end else [vocab[quiet + suffix]]) and to_bytes(entry) not in ranks:
+                ranks[to_bytes(entry)] = len(ids)
+                ids.append(vocab[entry])
+        encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        by_rank = np.asarray(ids, dtype="<u4")
+        return lambda text: by_rank[encoding.encode_to_numpy(text, disallowed_special=())]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
+        return [b"" if not t else self._ordinary(t) if self.ordinary(t) else self.whole(t) for t in texts]
+
+    def _ordinary(self, text: str) -> bytes:
+        raise NotImplementedError
+
 
 class ByteEncoder(_Library):
-    """Byte-level BPE texts to little-endian unsigned 32-bit ids."""
+    """Byte-level BPE: pre-tokens by the file format's fixed pattern."""
 
     def __init__(self, path: str) -> None:
-        super().__init__(path)
-        self.engine = self._engine()
+        import public_tokenizers
 
-    def vocabulary_bytes(self) -> dict[bytes, int]:
+        super().__init__(path)
         symbols = byte_symbols()
-        special = set(self.special)
-        return {
-            bytes(map(symbols.__getitem__, token)): number
-            for token, number in self.spec["model"]["vocab"].items()
-            if token not in special
-        }
+        spelled = lambda entry: bytes(map(symbols.__getitem__, entry))
+        self._ids = self.engine(public_tokenizers.PATTERN, {bytes([b]): s for s, b in symbols.items()}, spelled)
 
-    def merges(self) -> list[tuple[str, str]]:
-        return [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in self.spec["model"]["merges"]]
+    def vocabulary_bytes(self) -> dict[bytes, int]:
+        symbols, special = byte_symbols(), set(self.special)
+        vocab = self.spec["model"]["vocab"]
+        return {bytes(map(symbols.__getitem__, t)): n for t, n in vocab.items() if t not in special}
 
-    def _engine(self):
-        import public_tokenizers
-        import tiktoken
+    def _ordinary(self, text: str) -> bytes:
+        return self._ids(text).tobytes()
 
-        vocab = self.spec["model"]["vocab"]
-        numbers = [vocab[a + b] for a, b in self.merges()]
-        if numbers != sorted(numbers) or self.spec["normalizer"] is not None:
-            return None
-        return tiktoken.Encoding(
-            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.vocabulary_bytes(), special_tokens={}
-        )
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as bytes; null counts as empty."""
-        out = []
-        for text in texts:
-            if not text:
-                out.append(b"")
-            elif self.engine is not None and self.ordinary(text):
-                out.append(self.engine.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes())
-            else:
-                out.append(self.whole(text))
-        return out
+#: Stands at the end of a word; not in any known text.
+_END = "\x01"
 
 
 class WordEncoder(_Library):
-    """Lower-cased BPE texts with word ends to little-endian unsigned 32-bit ids."""
+    """Lower-cased BPE with word ends, white space dropped: a mark at each word's end merges before all else."""
 
-    _PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+    _WORD = re.compile(r"('s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+)\s*")
 
-    def __init__(self, path: str, memo_pieces: int = MEMO_PIECES) -> None:
+    def __init__(self, path: str) -> None:
         super().__init__(path)
-        self.memo: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.memo_pieces = memo_pieces
-        self.model = self.tokenizer.model
-        self.to_symbols = {b: s for s, b in byte_symbols().items()}
-
-    def _word(self, word: str) -> bytes:
-        symbols = word if word.isascii() else "".join(map(self.to_symbols.__getitem__, word.encode("utf-8")))
-        ids = [t.id for t in self.model.tokenize(symbols)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _piece(self, piece: str) -> bytes:
-        if piece.isalpha():
-            return self._word(piece)
-        ids = []
-        for word in self._PRE_TOKEN.findall(piece):
-            known = self.words.get(word)
-            if known is None:
-                known = self._word(word)
-                if len(self.words) < self.memo_pieces // 2:
-                    self.words[word] = known
-            ids.append(known)
-        return b"".join(ids)
+        symbols, suffix = byte_symbols(), self.spec["model"]["end_of_word_suffix"]
+        end = _END.encode()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as bytes; null counts as empty."""
-        out: list[bytes] = []
-        for at in range(0, len(texts), BATCH_TEXTS):
-            out += self._some(texts[at:at + BATCH_TEXTS])
-        return out
-
-    def _some(self, texts: list[str | None]) -> list[bytes]:
-        memo = self.memo
-        taken: list[list[str] | bytes] = []
-        missing: set[str] = set()
-        for text in texts:
-            if not text:
-                taken.append(b"")
-            elif self.ordinary(text):
-                pieces = text.lower().split()
-                missing.update(set(pieces).difference(memo))
-                taken.append(pieces)
-            else:
-                taken.append(self.whole(text))
-        new = {piece: self._piece(piece) for piece in missing}
-        memo.update(new)
-        ids = [p if isinstance(p, bytes) else b"".join(map(memo.__getitem__, p)) for p in taken]
-        for piece in list(new)[: max(0, len(memo) - self.memo_pieces)]:
-            del memo[piece]
-        return ids
+        def spelled(entry: str) -> bytes:
+            bare = entry.removesuffix(suffix)
+            return bytes(map(symbols.__getitem__, bare)) + (end if bare != entry else b"")
+
+        singles = {bytes([b]): s for s, b in symbols.items()} | {bytes([b]) + end: s + suffix for s, b in symbols.items()}
+        self._ids = self.engine(rf"[^{_END}]+{_END}", singles, spelled)
+
+    def _ordinary(self, text: str) -> bytes:
+        marked = self._WORD.sub(rf"\1{_END}", text.lower().strip())
+        return self._ids(marked).tobytes()
 
 
 @lru_cache(maxsize=1)
