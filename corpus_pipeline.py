@@ -1,17 +1,33 @@
 """A corpus pipeline over `documents`: language ID, exact dedup, near-duplicate join, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and reread as the
-next stage's docs. All but the last return the columns of `documents`.
+next stage's docs. All but the last return the columns of `documents`, whatever further columns these are.
 """
 
 from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tariff_engine.llm import scratch
 from tariff_engine.llm.exact_dedup import exact_dedup
+from tariff_engine.llm.lang_id import PER_LANGUAGE, UNKNOWN, LanguageModel, detect_language, training_sample
+from tariff_engine.llm.packing import pack_documents
+from tariff_engine.llm.shingle_join import shingle_join
+
+#: A document whose best language has a lower mean probability than this has none. With few languages, chance is not
+#: far below, so only texts that no language explains go.
+LEAST_SCORE = 0.3
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go: no text, no letter, or no language of at least `LEAST_SCORE`."""
+    sample = training_sample(docs, F.col("text"), F.col("lang"), F.col("doc_id"), PER_LANGUAGE)
+    found = detect_language(docs, LanguageModel.fit(sample), carry=True)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +35,26 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup(docs, carry=True).where("kept").select("row.*")
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that five-word shingles link at 0.75 or more, the one with the smallest doc_id stays.
+
+    Documents without words or without an id stay.
+    """
+    joined = shingle_join(docs).documents
+    gone = joined.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens: one row per piece of a document."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
+    ("language ID", known_language),
     ("exact dedup", exact_copies),
+    ("n-gram Jaccard join", near_copies),
+    ("best-fit packing", packed),
 ]
 
 #: The language and packing stages are not expressible in SQL.
