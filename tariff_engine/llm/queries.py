@@ -19,6 +19,7 @@ from tariff_engine.llm.exact_dedup import exact_dedup
 from tariff_engine.llm.hamming_index import nearest_neighbours
 from tariff_engine.llm.lang_id import PER_LANGUAGE, LanguageModel, detect_language, training_sample
 from tariff_engine.llm.license_scan import license_scan
+from tariff_engine.llm.nbest import N_BEST, decode_pieces, encode_n_best
 from tariff_engine.llm.packing import pack_documents
 from tariff_engine.llm.prefix_counts import prefix_counts
 from tariff_engine.llm.shingle_join import shingle_join
@@ -48,6 +49,21 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op4_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best segmentation's ids, the scores of the n best, and what the ids decode to."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = encode_n_best(_table(spark, sf_dir, "documents"), model, N_BEST, keep_alternatives=False)
+    digests = found.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "score",
+        F.size("scores").cast("long").alias("n_found"), F.element_at("scores", -1).alias("last_score"), "ids",
+    )
+    decoded = decode_pieces(digests, model)
+    return decoded.select(
+        "doc_id", "n_pieces", "ids_crc32", "score", "n_found", "last_score",
+        F.length("text").cast("long").alias("n_chars"), F.crc32(F.encode("text", "utf-8")).alias("text_crc32"),
+    )
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
@@ -83,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
     "op3_url_filter": op3_url_filter,
+    "op4_nbest": op4_nbest,
     "op5_language_id": op5_language_id,
     "op6_shingle_join": op6_shingle_join,
     "op7_license_scan": op7_license_scan,
