@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 
 from tariff_engine.params import PricingParams
 from tariff_engine.plans.marts import build_marts
-from tariff_engine.session import ENGINE_DEFAULTS, ensure_checkpoint_dir
+from tariff_engine.session import ENGINE_DEFAULTS
 from tariff_engine.sources import PricingInputs, load_inputs, read_cost_bands, read_products, read_quotes
 
 
@@ -29,7 +29,6 @@ def _session(local: bool) -> SparkSession:
     for key, value in ENGINE_DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -44,6 +43,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", required=True, help="shared output folder for marts and exports")
     ap.add_argument("--vars", default="{}", help="JSON object of parameter overrides")
     ap.add_argument("--no-csv", action="store_true", help="write the parquet marts only")
+    ap.add_argument("--csv-mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"],
+                    help="what malformed CSV numbers do: fail the run, or become NULL and reach the quality report")
     ap.add_argument("--local", action="store_true", help="run on local[*] instead of the submitted master")
     args = ap.parse_args(argv)
 
@@ -54,8 +55,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         if not (args.products and args.quotes):
             ap.error("--bands needs --products and --quotes")
-        inputs = PricingInputs(read_cost_bands(spark, args.bands), read_products(spark, args.products),
-                               read_quotes(spark, args.quotes))
+        inputs = PricingInputs(*(read(spark, path, mode=args.csv_mode) for read, path in (
+            (read_cost_bands, args.bands), (read_products, args.products), (read_quotes, args.quotes))))
     paths = build_marts(spark, inputs, args.out, params, export_csv=not args.no_csv)
     print(json.dumps(paths, indent=2))
     return 0

@@ -17,19 +17,21 @@ def round_half_away(col: Column, digits: int = 0) -> Column:
     return F.round(col * scale, 0) / scale
 
 
-AVERAGE_SNAP_DIGITS = 8
+EXACT = "decimal(18,6)"
 
 
-def round_average(col: Column, digits: int) -> Column:
-    """Round an average so the result does not depend on summation order.
+def exact(col: Column) -> Column:
+    """The value at six decimals, for sums that do not depend on the order of their terms."""
+    return col.cast(EXACT)
 
-    A floating-point average differs in its last bits with the order in which
-    partitions are summed; an average that is exactly on a rounding boundary
-    (e.g. 27.175 from ten 1-dp rates) could then round either way. Snapping
-    to ``AVERAGE_SNAP_DIGITS`` first removes that noise; the value then rounds
-    as the reference rounds the exact average.
+
+def exact_average(col: Column) -> Column:
+    """Aggregate: mean of a double column over an exact decimal sum; NULL without values.
+
+    A sum of doubles differs in its last bits with the order in which partitions are added, and an average on a
+    rounding boundary (27.175 from ten 1-dp rates) would then round either way.
     """
-    return round_half_away(round_half_away(col, AVERAGE_SNAP_DIGITS), digits)
+    return safe_div(F.sum(exact(col)).cast("double"), F.count(col))
 
 
 def safe_div(numerator: Column, denominator: Column) -> Column:

@@ -1,23 +1,19 @@
 """Ceiling match (J4 + J5): a forward as-of join on a consumption level.
 
-For every point and every entity (provider + product) quoting under the same
-keys, pick the smallest quoted level that is >= the point's level, and keep
-*all* quotes made at that level (ties survive, as with an equality join back).
+For every point and every entity (provider + product) quoting under the same keys, pick the smallest quoted level
+that is >= the point's level, and keep *all* quotes made at that level (ties survive, as with an equality join back).
 
 Plan, Spark-first:
 
-1. per (keys, entity): the set of quoted levels, ``collect_set`` as a partial
-   (map-side) aggregate, so an entity holding a third of all quotes reaches
-   the shuffle as one small row per task. The set is bounded by the number of
-   distinct quoted levels, not by the quote volume.
-2. per key set: the few points (reference levels x labels) as one array.
-3. an equi join of 1 and 2 on the keys; the ceiling of each point is
-   ``array_min(filter(levels, l -> l >= point))``: array functions, no
-   range join, no per-point aggregate.
-4. an equi join of the quotes to the matched (entity, level) rows. The
-   matched side is materialised first, so adaptive execution broadcasts it
-   when its measured size is small and otherwise splits skewed quote
-   partitions in a sort-merge join.
+1. the distinct quoted levels of each (keys, entity), as a hash aggregate with a map-side part, so that an entity
+   holding a third of all quotes reaches the shuffle as a few rows per task;
+2. a window over these few rows gives each level the next lower one of its entity. A level serves the points
+   between the two, so the join to the points needs no aggregate per point;
+3. the raw quotes join the served levels by equality, straight from their scan. The planner broadcasts the levels if
+   they are small; otherwise it is a sort-merge join on a bare scan, the one shuffle of all quotes;
+4. only then are copies removed: dropping copies and filtering on their own columns commute, so the dedupe sees the
+   matching quotes alone, and after a sort-merge join it needs no shuffle of its own. Where a key is hot, adaptive
+   execution splits its partition and adds that shuffle (``forceOptimizeSkewedJoin`` in the engine's defaults).
 """
 
 from __future__ import annotations
@@ -26,59 +22,46 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MATCHED_LEVEL = "matched_consumption_level_kwh"
 
 
-def _matchable(quotes: DataFrame, keys: list[str], entity: list[str], quote_level: str) -> DataFrame:
-    """Quotes that can match at all: equality joins never match a NULL key, entity or level.
-
-    Applying the filter once, before both uses of the quotes, keeps the two
-    branches identical so Spark reuses one exchange for them.
-    """
-    return quotes.where(reduce(and_, [F.col(c).isNotNull() for c in keys + entity + [quote_level]]))
-
-
-def _ceiling(quotes: DataFrame, points: DataFrame, keys: list[str], entity: list[str],
-             quote_level: str, point_level: str) -> DataFrame:
-    point_cols = [c for c in points.columns if c not in keys]
-    levels = quotes.groupBy(*keys, *entity).agg(F.collect_set(quote_level).alias("_levels"))
-    per_key = points.groupBy(*keys).agg(F.collect_list(F.struct(*point_cols)).alias("_points"))
-
-    def with_ceiling(p):
-        ceiling = F.array_min(F.filter(F.col("_levels"), lambda lvl: lvl >= p[point_level]))
-        return F.struct(*[p[c].alias(c) for c in point_cols], ceiling.alias(MATCHED_LEVEL))
-
-    matches = F.filter(F.transform(F.col("_points"), with_ceiling), lambda m: m[MATCHED_LEVEL].isNotNull())
-    return levels.join(per_key, keys, "inner").select(*keys, *entity, F.inline(matches))
+def _matchable(quotes: DataFrame, columns: list[str]) -> DataFrame:
+    """Quotes that can match at all: equality never matches a NULL key, entity or level."""
+    return quotes.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
 
 
 def ceiling_levels(quotes: DataFrame, points: DataFrame, keys: Sequence[str], entity: Sequence[str],
                    quote_level: str, point_level: str) -> DataFrame:
     """One row per (point, entity): the smallest quoted level >= the point level.
 
-    Output: the keys, the entity columns, every other point column and
-    ``matched_consumption_level_kwh``. Points with no quoted level at or above
-    them produce no row.
+    Output: the keys, the entity columns, every other point column and ``matched_consumption_level_kwh``. Points with
+    no quoted level at or above them produce no row. ``quotes`` may hold copies; ``points`` may share only the keys.
     """
     keys, entity = list(keys), list(entity)
-    return _ceiling(_matchable(quotes, keys, entity, quote_level), points, keys, entity, quote_level, point_level)
+    by_entity = Window.partitionBy(*keys, *entity).orderBy(MATCHED_LEVEL)
+    levels = (
+        _matchable(quotes, keys + entity + [quote_level])
+        .select(*keys, *entity, F.col(quote_level).alias(MATCHED_LEVEL)).distinct()
+        .withColumn("_below", F.lag(MATCHED_LEVEL).over(by_entity))
+    )
+    level = F.col(point_level)
+    serves = (level <= F.col(MATCHED_LEVEL)) & (F.col("_below").isNull() | (level > F.col("_below")))
+    return levels.join(points, keys).where(serves).select(
+        *keys, *entity, *[c for c in points.columns if c not in keys], MATCHED_LEVEL)
 
 
 def ceiling_match(quotes: DataFrame, points: DataFrame, keys: Sequence[str], entity: Sequence[str],
                   quote_level: str, point_level: str) -> DataFrame:
-    """All quotes at each (point, entity)'s ceiling level, joined with the point's columns.
+    """All distinct quotes at each (point, entity)'s ceiling level, with the point's columns.
 
-    ``quotes`` and ``points`` may share only the ``keys`` column names.
+    ``quotes`` and ``points`` may share only the ``keys`` column names; ``quotes`` may hold copies.
     """
     keys, entity = list(keys), list(entity)
-    quotes = _matchable(quotes, keys, entity, quote_level)
-    matched = _ceiling(quotes, points, keys, entity, quote_level, point_level)
-    m, q = matched.alias("m"), quotes.alias("q")
-    cond = [F.col(f"q.{c}") == F.col(f"m.{c}") for c in keys + entity]
-    cond.append(F.col(f"q.{quote_level}") == F.col(f"m.{MATCHED_LEVEL}"))
-    out = [F.col(f"q.{c}") for c in quotes.columns]
-    out += [F.col(f"m.{c}") for c in matched.columns if c not in keys + entity]
-    return q.join(m, cond, "inner").select(*out)
+    served = ceiling_levels(quotes, points, keys, entity, quote_level, point_level)
+    own = [c for c in points.columns if c not in keys]
+    joined = _matchable(quotes, keys + entity + [quote_level]).join(
+        served.withColumnRenamed(MATCHED_LEVEL, quote_level), keys + entity + [quote_level])
+    return joined.select(*quotes.columns, *own).dropDuplicates().withColumn(MATCHED_LEVEL, F.col(quote_level))

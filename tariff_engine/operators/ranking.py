@@ -1,106 +1,61 @@
-"""Ranking of own offers inside a market segment (W4-W7) without a window over the segment.
+"""Ranking of own offers inside a market segment (W4-W7) over pre-aggregated competitor costs.
 
-The reference ranks every offer of a segment with ``RANK() OVER (PARTITION BY
-segment ORDER BY cost)``. A window puts a whole segment into one task, and
-one postcode may hold a third of all competitor quotes. Only own offers leave
-the analysis, so we only need, for each own offer, how many offers of its
-segment are strictly cheaper. That count splits into
+The reference ranks every offer of a segment with ``RANK() OVER (PARTITION BY segment ORDER BY cost)``. A window over
+all offers puts a whole segment into one task, and one postcode may hold a third of all competitor quotes. Only own
+offers leave the analysis, and competitors are the same in every scenario, so
 
-* own offers of the same scenario that are cheaper: a window over own offers,
-  whose groups are bounded by scenarios x products, and
-* competitor offers that are cheaper: competitors are identical in every
-  scenario, so each competitor offer is binned once against the sorted,
-  distinct own costs of its segment (``bin`` = number of own costs <= its
-  cost) and the bins are counted with a partial (map-side) aggregate. An own
-  offer at position ``i`` of that sorted list beats nothing in bins > i, so
-  the competitors cheaper than it are exactly those in bins <= i.
+* competitor offers are first counted per (segment, cost), with a map-side part: what reaches a segment is one row
+  per distinct cost, however many offers it has;
+* these rows and the own offers are sorted together once per segment. The running count of competitors up to an own
+  offer is the number of strictly cheaper ones (own offers sort before competitors of the same cost);
+* own offers of the same scenario are ranked among themselves.
 
-The segment profile built in the same aggregate also carries the market
-context (competitor count, average unit rate and cost, cheapest cost). All
-steps are shuffles of pre-aggregated rows, so skewed segments cost no more
-than the quotes they contain. Ties keep RANK semantics and NULL costs sort
-last, as in the reference.
+The rank is the sum of both, as in RANK; NULL costs sort last. The same rows carry the segment's context: the number
+of competitors, their average rate and cost over exact sums, and the cheapest.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tariff_engine.functions.numeric import safe_div
+from tariff_engine.functions.numeric import exact, safe_div
 
-OWN_COSTS = "own_costs"
-BIN = "cost_bin"
 
-
-def own_cost_sets(own: DataFrame, group: Sequence[str], cost: str) -> DataFrame:
-    """Sorted distinct non-NULL own costs per group (size bounded by scenarios x products)."""
-    return own.groupBy(*group).agg(F.array_sort(F.collect_set(F.col(cost))).alias(OWN_COSTS))
-
-
-def cost_bin(cost: Column, own_costs: Column) -> Column:
-    """Number of own costs <= ``cost``; NULL for a NULL cost."""
-    return F.when(cost.isNotNull(), F.size(F.filter(own_costs, lambda c: c <= cost)))
-
-
-def competitor_profile(competitors: DataFrame, segment: Sequence[str], cost: str, rate: str) -> DataFrame:
-    """Per segment: competitor counts, average rate and cost, cheapest cost and the bin counts.
-
-    ``competitors`` must carry ``cost_bin``. The first aggregate is keyed by
-    (segment, bin) and runs map-side, so its shuffle is bounded by segments x
-    own offers, not by quotes.
-    """
-    segment = list(segment)
-    per_bin = competitors.groupBy(*segment, BIN).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(F.col(rate)).alias("n_rate"),
-        F.sum(F.col(rate)).alias("sum_rate"),
-        F.count(F.col(cost)).alias("n_cost"),
-        F.sum(F.col(cost)).alias("sum_cost"),
-        F.min(F.col(cost)).alias("min_cost"),
-    )
-    return per_bin.groupBy(*segment).agg(
-        F.sum("n").alias("competitor_offers"),
-        F.sum("n_cost").alias("priced_competitor_offers"),
-        safe_div(F.sum("sum_rate"), F.sum("n_rate")).alias("avg_competitor_rate"),
-        safe_div(F.sum("sum_cost"), F.sum("n_cost")).alias("avg_competitor_cost"),
-        F.min("min_cost").alias("min_competitor_cost"),
-        F.collect_list(F.when(F.col(BIN).isNotNull(), F.struct(F.col(BIN).alias("b"), F.col("n").alias("n"))))
-        .alias("bins"),
+def competitor_costs(competitors: DataFrame, segment: Sequence[str], cost: str, rate: str) -> DataFrame:
+    """Competitor offers per (segment, cost): how many, how many with a rate, and the exact sums of rates and costs."""
+    return competitors.groupBy(*segment, cost).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count(rate).alias("_n_rate"),
+        F.sum(exact(F.col(rate))).alias("_sum_rate"),
+        F.count(cost).alias("_n_cost"),
+        F.sum(exact(F.col(cost))).alias("_sum_cost"),
     )
 
 
-def rank_own_offers(own: DataFrame, profile: DataFrame, segment: Sequence[str], scenario: str, cost: str,
-                    set_group: Sequence[str] = ()) -> DataFrame:
-    """Own offers with ``offer_rank`` (RANK, cost ascending, NULLs last) and ``offers_in_segment``.
+def rank_own_offers(own: DataFrame, costs: DataFrame, segment: Sequence[str], scenario: str, cost: str) -> DataFrame:
+    """Own offers with ``offer_rank`` (RANK, cost ascending, NULLs last), ``offers_in_segment`` and the context.
 
-    ``set_group`` names the extra columns the own-cost sets were grouped by on
-    top of the segment, so positions line up with the bins. Competitor profile
-    columns are kept for the market context; they are NULL where a segment
-    has no competitor.
+    ``costs`` comes from :func:`competitor_costs`. The context (``avg_competitor_rate``, ``avg_competitor_cost``,
+    ``min_competitor_cost``) is NULL where a segment has no competitor.
     """
-    segment, set_group = list(segment), list(set_group)
-    by_scenario = Window.partitionBy(F.col(scenario), *[F.col(c) for c in segment])
-    by_set = Window.partitionBy(*[F.col(c) for c in segment + set_group]).orderBy(F.asc_nulls_last(cost))
-    own = (
-        own.repartition(*[F.col(c) for c in segment])  # one exchange serves both windows and the profile join
-        .withColumns({
-            "_own_rank": F.rank().over(by_scenario.orderBy(F.asc_nulls_last(cost))),
-            "_own_offers": F.count(F.lit(1)).over(by_scenario),
-            "_pos": F.dense_rank().over(by_set) - F.lit(1),
-        })
-    )
-    ranked = own.join(profile, segment, "left")
-    beaten_by = F.aggregate(
-        F.filter(F.col("bins"), lambda e: e["b"] <= F.col("_pos")), F.lit(0).cast("long"), lambda acc, e: acc + e["n"])
-    cheaper_competitors = F.when(F.col(cost).isNull(), F.coalesce(F.col("priced_competitor_offers"), F.lit(0)))\
-        .otherwise(F.coalesce(beaten_by, F.lit(0).cast("long")))
-    return (
-        ranked.withColumns({
-            "offer_rank": (F.col("_own_rank") + cheaper_competitors).cast("long"),
-            "offers_in_segment": (F.col("_own_offers") + F.coalesce(F.col("competitor_offers"), F.lit(0))).cast("long"),
-        })
-        .drop("_own_rank", "_own_offers", "_pos", "bins")
-    )
+    segment = list(segment)
+    together = own.withColumn("_own", F.lit(True)).unionByName(costs, allowMissingColumns=True)
+    per_segment = Window.partitionBy(*segment)
+    upwards = per_segment.orderBy(F.asc_nulls_last(cost), F.asc_nulls_last("_own")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    whole = {name: F.sum(name).over(per_segment) for name in ("_n", "_n_rate", "_sum_rate", "_n_cost", "_sum_cost")}
+    counted = together.withColumns({
+        "_cheaper": F.coalesce(F.sum("_n").over(upwards), F.lit(0)),
+        "_competitors": F.coalesce(whole["_n"], F.lit(0)),
+        "avg_competitor_rate": safe_div(whole["_sum_rate"].cast("double"), whole["_n_rate"]),
+        "avg_competitor_cost": safe_div(whole["_sum_cost"].cast("double"), whole["_n_cost"]),
+        "min_competitor_cost": F.min(F.when(F.col("_own").isNull(), F.col(cost))).over(per_segment),
+    }).where("_own").drop("_own", "_n", "_n_rate", "_sum_rate", "_n_cost", "_sum_cost")
+    by_scenario = Window.partitionBy(*segment, scenario)
+    return counted.withColumns({
+        "offer_rank": (F.rank().over(by_scenario.orderBy(F.asc_nulls_last(cost))) + F.col("_cheaper")).cast("long"),
+        "offers_in_segment": (F.count(F.lit(1)).over(by_scenario) + F.col("_competitors")).cast("long"),
+    }).drop("_cheaper", "_competitors")

@@ -13,10 +13,11 @@ COST_BAND_COLUMNS = [
     "basecost_net_unit_rate_eur_per_kwh", "basecost_net_standing_charge_eur_per_year",
 ]
 
-QUOTE_COLUMNS = [
+# What makes two quotes copies of each other; the monthly standing charge is derived.
+QUOTE_BASE_COLUMNS = [
     "energy_type", "postcode", "location_name", "consumption_level_kwh", "provider", "product_name",
-    "unit_rate_ct_per_kwh", "standing_charge_eur_per_year", "standing_charge_eur_per_month",
-    "signup_bonus_eur", "price_guarantee_months", "contract_length_months",
+    "unit_rate_ct_per_kwh", "standing_charge_eur_per_year", "signup_bonus_eur", "price_guarantee_months",
+    "contract_length_months",
 ]
 
 
@@ -61,8 +62,7 @@ def stage_products(raw: DataFrame) -> DataFrame:
 
 
 def project_quotes(raw: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
-    """Typed quote projection with parsed contract months, before the dedupe."""
-    standing = F.col("standing_charge_eur_per_year").cast("double")
+    """Typed base columns of the quotes with parsed contract months, copies included."""
     return raw.select(
         "energy_type",
         norm_postcode(F.col("postcode"), params.postcode_width).alias("postcode"),
@@ -71,27 +71,21 @@ def project_quotes(raw: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> Da
         "provider",
         F.col("product").alias("product_name"),
         F.col("unit_rate_ct_per_kwh").cast("double").alias("unit_rate_ct_per_kwh"),
-        standing.alias("standing_charge_eur_per_year"),
-        (standing / F.lit(12.0)).alias("standing_charge_eur_per_month"),
+        F.col("standing_charge_eur_per_year").cast("double").alias("standing_charge_eur_per_year"),
         F.col("signup_bonus").cast("double").alias("signup_bonus_eur"),
         F.col("price_guarantee_months").cast("int").alias("price_guarantee_months"),
         contract_months(F.col("contract_length_months"), params).alias("contract_length_months"),
     )
 
 
-def stage_quotes(raw: DataFrame, params: PricingParams = DEFAULT_PARAMS,
-                 contracts: DataFrame | None = None) -> DataFrame:
-    """Typed quotes, exact duplicate rows removed (A2).
+def with_monthly_standing(quotes: DataFrame) -> DataFrame:
+    return quotes.withColumn("standing_charge_eur_per_month", F.col("standing_charge_eur_per_year") / F.lit(12.0))
+
 
-    The dedupe groups on every output column, so the shuffle hashes all of
-    them: one provider or postcode dominating the snapshot still spreads over
-    many tasks, and exact copies collapse map-side before the exchange.
+def stage_quotes(raw: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
+    """Typed quotes, exact duplicate rows removed (A2).
 
-    ``contracts`` (one column ``contract_length_months``, a handful of rows)
-    keeps only quotes for those contract lengths; the semi join runs map-side
-    before the dedupe, so the other quotes never reach the shuffle.
+    The dedupe groups on every base column, so the shuffle hashes all of them: one provider or postcode
+    dominating the snapshot still spreads over many tasks, and copies collapse map-side before the exchange.
     """
-    projected = project_quotes(raw, params)
-    if contracts is not None:
-        projected = projected.join(contracts, "contract_length_months", "left_semi")
-    return projected.dropDuplicates()
+    return with_monthly_standing(project_quotes(raw, params).dropDuplicates())

@@ -1,6 +1,6 @@
 """Query catalog: one entry per operator family, each with its DuckDB oracle.
 
-Every query reads the benchmark tables (customer, nation, lineitem) through
+Every query reads the benchmark tables (customer, lineitem) through
 the full model, so its work grows with them. Keys name the operator the
 query isolates; ``oracle_sql(name)`` is the matching independent SQL.
 """
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tariff_engine import oracle
 from tariff_engine.functions.text import contract_months, norm_postcode
+from tariff_engine.operators.band_join import band_join, expand_levels
 from tariff_engine.params import DEFAULT_PARAMS, PricingParams
 from tariff_engine.plans import market
 from tariff_engine.plans import quality_suite as QS
@@ -45,12 +46,13 @@ class CatalogQuery:
     build: Callable[[PricingModel], DataFrame]
     sql: str | None
     params: PricingParams = DEFAULT_PARAMS
+    dirty: bool = False
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return self.build(PricingModel.from_tables(spark, sf_dir, self.params))
+        return self.build(PricingModel.from_tables(spark, sf_dir, self.params, self.dirty))
 
     def oracle(self) -> str | None:
-        return None if self.sql is None else oracle.with_model(self.sql, self.params)
+        return None if self.sql is None else oracle.with_model(self.sql, self.params, self.dirty)
 
 
 def _cols(cols):
@@ -86,10 +88,17 @@ def _scenario_fanout(m: PricingModel) -> DataFrame:
 
 
 def _band_join_levels(m: PricingModel) -> DataFrame:
-    from tariff_engine.operators.band_join import expand_levels
     return expand_levels(m.cost_bands, m.params)
 
 
+def _band_join_quotes(m: PricingModel) -> DataFrame:
+    """The general band join: every quoted level falls into the cost bands of its postcode."""
+    points = m.quotes.select("energy_type", "postcode", F.col("consumption_level_kwh").alias("quoted_level_kwh")).distinct()
+    bands = m.cost_bands.select("energy_type", "postcode", "consumption_from", "consumption_to",
+                                "basecost_net_unit_rate_eur_per_kwh")
+    return band_join(points, bands, ["energy_type", "postcode"], "quoted_level_kwh", "consumption_from", "consumption_to")
+
+
 def _ranked(m: PricingModel) -> DataFrame:
     return market.ranked_own_offers(m.components, m.market_quotes, m.params)
 
@@ -124,13 +133,6 @@ def _all_offers(m: PricingModel) -> DataFrame:
     return market.all_offers(m.components, m.market_quotes, m.params)
 
 
-def _dq_margin_floor(m: PricingModel) -> DataFrame:
-    return QS.margin_floor_report({
-        "price_components": m,
-        "price_components.negative_margin": PricingModel(m.inputs, NEGATIVE_MARGIN_PARAMS),
-    })
-
-
 QUOTE_COST_COLUMNS = [
     "energy_type", "postcode", "consumption_level_kwh", "consumption_label", "contract_length_months", "provider",
     "product_name", "location_name", "quoted_level_kwh", "unit_rate_ct_per_kwh", "standing_charge_eur_per_year",
@@ -202,8 +204,8 @@ def _margin_floor_sql(model: str) -> str:
 def _build_catalog() -> dict[str, CatalogQuery]:
     q: dict[str, CatalogQuery] = {}
 
-    def add(name, build, sql, params=DEFAULT_PARAMS):
-        q[name] = CatalogQuery(name, build, sql, params)
+    def add(name, build, sql, params=DEFAULT_PARAMS, dirty=False):
+        q[name] = CatalogQuery(name, build, sql, params, dirty)
 
     add("cost_band_collapse", lambda m: m.cost_bands, "SELECT * FROM bands")
     add("quote_staging", lambda m: m.quotes, "SELECT * FROM quotes")
@@ -222,6 +224,11 @@ def _build_catalog() -> dict[str, CatalogQuery]:
     add("band_join_levels", _band_join_levels,
         "SELECT b.*, l.consumption_level_kwh, l.consumption_label FROM bands b JOIN levels l "
         "ON l.energy_type = b.energy_type AND l.consumption_level_kwh BETWEEN b.consumption_from AND b.consumption_to")
+    add("band_join", _band_join_quotes,
+        "SELECT q.energy_type, q.postcode, q.quoted_level_kwh, b.consumption_from, b.consumption_to, "
+        "b.basecost_net_unit_rate_eur_per_kwh FROM (SELECT DISTINCT energy_type, postcode, consumption_level_kwh AS "
+        "quoted_level_kwh FROM quotes) q JOIN bands b USING (energy_type, postcode) "
+        "WHERE q.quoted_level_kwh BETWEEN b.consumption_from AND b.consumption_to")
     build, sql = _components_cols("energy_type", "margin_eur_per_kwh", "elec_margin_ct", "gas_margin_ct")
     add("margin_floor", build, sql, NEGATIVE_MARGIN_PARAMS)
     add("unit_rates", *_components_cols("net_unit_rate_eur_per_kwh", "gross_unit_rate_eur_per_kwh"))
@@ -259,31 +266,24 @@ def _build_catalog() -> dict[str, CatalogQuery]:
     add("performance_summary", lambda m: m.performance_summary(), "SELECT * FROM performance_summary")
     add("heatmap_matrix", lambda m: m.heatmap_matrix(),
         "SELECT energy_type, scenario, postcode, "
-        + ", ".join(f"ROUND(ROUND(AVG(percentile_rank) FILTER (WHERE consumption_label = '{lab}'), 8), 2) AS \"{lab}\""
+        + ", ".join("ROUND(" + oracle._mean(f"CASE consumption_label WHEN '{lab}' THEN percentile_rank END") + f", 2) AS \"{lab}\""
                     for lab in ("low", "medium", "high", "max"))
         + " FROM market_analysis WHERE percentile_rank IS NOT NULL GROUP BY energy_type, scenario, postcode")
-    add("dq_not_null", lambda m: QS.not_null_report(QS.model_frames(m)), _not_null_sql())
-    add("dq_unique", lambda m: QS.unique_report(QS.model_frames(m)), _unique_sql())
-    add("dq_unique_combo", lambda m: QS.unique_combo_report(QS.model_frames(m)), _unique_combo_sql())
-    add("dq_accepted_values", lambda m: QS.accepted_values_report(QS.model_frames(m)), _accepted_sql())
-    add("dq_margin_floor", _dq_margin_floor, None)
+    add("dq_not_null", lambda m: QS.not_null_report(QS.model_frames(m)), _not_null_sql(), dirty=True)
+    add("dq_unique", lambda m: QS.unique_report(QS.model_frames(m)), _unique_sql(), dirty=True)
+    add("dq_unique_combo", lambda m: QS.unique_combo_report(QS.model_frames(m)), _unique_combo_sql(), dirty=True)
+    add("dq_accepted_values", lambda m: QS.accepted_values_report(QS.model_frames(m)), _accepted_sql(), dirty=True)
+    add("dq_margin_floor", lambda m: QS.margin_floor_report({"price_components": m.components}),
+        _margin_floor_sql("price_components"), dirty=True)
     return q
 
 
 CATALOG = _build_catalog()
 
 
-def margin_floor_oracle() -> str:
-    """The margin-floor report spans two parameter sets, so its SQL is two chains."""
-    return (f"SELECT * FROM ({oracle.with_model(_margin_floor_sql('price_components'))})\nUNION ALL\n"
-            f"SELECT * FROM ({oracle.with_model(_margin_floor_sql('price_components.negative_margin'), NEGATIVE_MARGIN_PARAMS)})")
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: cq.run for name, cq in CATALOG.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {name: cq.oracle() for name, cq in CATALOG.items() if cq.sql is not None}
-    out["dq_margin_floor"] = margin_floor_oracle()
-    return out
+    return {name: cq.oracle() for name, cq in CATALOG.items() if cq.sql is not None}

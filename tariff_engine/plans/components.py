@@ -8,10 +8,10 @@ Plan shape:
   band-level rows, partitioned by (energy_type, postcode) -- before the
   product and scenario fan-out, so one small shuffle serves all three windows
   and the price list's window needs no further exchange;
-* products join on energy_type: the catalogue is broadcast after a row-count
-  check (it is RDD-backed, so the planner has no size for it); a large
-  catalogue falls back to a shuffle join;
-* scenarios come from the parameters and explode in place.
+* products join on energy_type, without a hint: the planner broadcasts the
+  catalogue by its statistics (exact for a literal one) and shuffles beyond;
+* scenarios come from the parameters and explode in place; a caller that needs
+  one scenario gets only that one expanded.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from tariff_engine.functions import pricing as P
 from tariff_engine.operators.band_join import expand_levels
-from tariff_engine.operators.broadcast import broadcast_if_small
 from tariff_engine.params import DEFAULT_PARAMS, PricingParams
 
 COMPONENT_COLUMNS = [
@@ -55,16 +54,16 @@ def band_levels(bands: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> Dat
     )
 
 
-def _scenario_rows(params: PricingParams):
+def _scenario_rows(params: PricingParams, only: str | None):
     return F.array(*[
         F.struct(F.lit(name).alias("scenario"), F.lit(elec).alias("elec_margin_ct"), F.lit(gas).alias("gas_margin_ct"))
-        for name, elec, gas in params.scenarios()
+        for name, elec, gas in params.scenarios() if only in (None, name)
     ])
 
 
-def price_components_with_bands(bands: DataFrame, products: DataFrame,
-                                params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
-    """All component columns plus ``pcw_consumption_to`` for the price list.
+def price_components_with_bands(bands: DataFrame, products: DataFrame, params: PricingParams = DEFAULT_PARAMS,
+                                scenario: str | None = None) -> DataFrame:
+    """All component columns plus ``pcw_consumption_to`` for the price list, of all scenarios or of one.
 
     The formulas are composed as column expressions and applied in one
     projection (Catalyst shares the common sub-expressions).
@@ -93,8 +92,8 @@ def price_components_with_bands(bands: DataFrame, products: DataFrame,
     }
     fanned_out = (
         band_levels(bands, params)
-        .join(broadcast_if_small(products), "energy_type", "inner")
-        .select("*", F.inline(_scenario_rows(params)))
+        .join(products, "energy_type", "inner")
+        .select("*", F.inline(_scenario_rows(params, scenario)))
     )
     return fanned_out.select(
         *[derived[c].alias(c) if c in derived else F.col(c) for c in COMPONENT_COLUMNS], "pcw_consumption_to")
@@ -103,7 +102,3 @@ def price_components_with_bands(bands: DataFrame, products: DataFrame,
 def price_components(bands: DataFrame, products: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
     """One row per (scenario, product, postcode, band, reference level) with every price component."""
     return price_components_with_bands(bands, products, params).select(*COMPONENT_COLUMNS)
-
-
-def for_scenario(df: DataFrame, scenario: str) -> DataFrame:
-    return df.where(F.col("scenario") == F.lit(scenario))

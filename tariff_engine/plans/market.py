@@ -12,17 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tariff_engine.functions import pricing as P
-from tariff_engine.functions.numeric import round_average
 from tariff_engine.functions.numeric import round_half_away as rnd
-from tariff_engine.operators.ceiling_match import ceiling_levels, ceiling_match
-from tariff_engine.operators.ranking import (
-    BIN,
-    OWN_COSTS,
-    competitor_profile,
-    cost_bin,
-    own_cost_sets,
-    rank_own_offers,
-)
+from tariff_engine.operators.ceiling_match import MATCHED_LEVEL, ceiling_levels, ceiling_match
+from tariff_engine.operators.ranking import competitor_costs, rank_own_offers
+from tariff_engine.operators.staging import with_monthly_standing
 from tariff_engine.params import DEFAULT_PARAMS, PricingParams
 
 SEGMENT = ["energy_type", "postcode", "consumption_level_kwh", "contract_length_months"]
@@ -38,6 +31,7 @@ OFFER_COLUMNS = [
     "standing_charge_eur_per_year", "signup_bonus_eur", COST, "is_own",
 ]
 
+# Fixed names: the output columns of the analysis, in order.
 ANALYSIS_COLUMNS = [
     "scenario", "margin_ct_per_kwh", "energy_type", "postcode", "consumption_label", "consumption_level_kwh",
     "contract_length_months", "provider", "product", "our_unit_rate_ct_per_kwh", "our_standing_charge_eur_per_year",
@@ -77,27 +71,15 @@ def segment_points(components: DataFrame) -> DataFrame:
 
 # ---- competitor side -----------------------------------------------------------------------
 
-def sold_contracts(components: DataFrame) -> DataFrame:
-    """Contract lengths of the own offers (a handful of rows; broadcast by size)."""
-    return components.select("contract_length_months").distinct()
-
-
-def relevant_quotes(quotes: DataFrame, components: DataFrame) -> DataFrame:
-    """Quotes with the level column renamed for the match.
-
-    Quotes of contract lengths we do not sell can never match (the contract
-    length is a match key). Staging them with
-    ``stage_quotes(..., contracts=sold_contracts(components))`` drops them
-    before the dedupe; that is an optimisation only, not needed for the result.
-    """
+def relevant_quotes(quotes: DataFrame) -> DataFrame:
+    """Quotes with the level column renamed for the match."""
     return quotes.withColumnRenamed("consumption_level_kwh", QUOTED_LEVEL)
 
 
 def ceiling_matches(quotes: DataFrame, components: DataFrame) -> DataFrame:
     """(point, provider, product) -> smallest quoted level >= the reference level."""
     points = components.select(*POINT).distinct()
-    return ceiling_levels(relevant_quotes(quotes, components), points, MATCH_KEYS, ENTITY, QUOTED_LEVEL,
-                          "consumption_level_kwh")
+    return ceiling_levels(relevant_quotes(quotes), points, MATCH_KEYS, ENTITY, QUOTED_LEVEL, "consumption_level_kwh")
 
 
 def competitor_offers(matched_quotes: DataFrame) -> DataFrame:
@@ -108,11 +90,13 @@ def competitor_offers(matched_quotes: DataFrame) -> DataFrame:
 
 
 def competitors_at_levels(quotes: DataFrame, components: DataFrame) -> DataFrame:
-    """Every quote at its ceiling level for every point, with its annual cost."""
+    """Every distinct quote at its ceiling level for every point, with its annual cost.
+
+    ``quotes`` are typed base columns and may hold copies.
+    """
     points = components.select(*POINT).distinct()
-    matched = ceiling_match(relevant_quotes(quotes, components), points, MATCH_KEYS, ENTITY, QUOTED_LEVEL,
-                            "consumption_level_kwh")
-    return competitor_offers(matched)
+    matched = ceiling_match(relevant_quotes(quotes), points, MATCH_KEYS, ENTITY, QUOTED_LEVEL, "consumption_level_kwh")
+    return competitor_offers(with_monthly_standing(matched.drop(MATCHED_LEVEL)))
 
 
 def all_offers(components: DataFrame, quotes: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
@@ -141,14 +125,9 @@ def all_offers(components: DataFrame, quotes: DataFrame, params: PricingParams =
 # ---- ranking -------------------------------------------------------------------------------
 
 def ranked_own_offers(components: DataFrame, quotes: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
-    """Own offers with rank, segment size and the competitor profile of their segment (W4, W5, W7 inputs)."""
-    own = own_offers(components, params)
-    points = own_cost_sets(own, POINT, COST)
-    matched = ceiling_match(relevant_quotes(quotes, components), points, MATCH_KEYS, ENTITY, QUOTED_LEVEL,
-                            "consumption_level_kwh")
-    comp = competitor_offers(matched).withColumn(BIN, cost_bin(F.col(COST), F.col(OWN_COSTS)))
-    profile = competitor_profile(comp, SEGMENT, COST, "unit_rate_ct_per_kwh")
-    return rank_own_offers(own, profile, SEGMENT, "scenario", COST, set_group=["consumption_label"])
+    """Own offers with rank, segment size and the competitor context of their segment (W4, W5, W7 inputs)."""
+    costs = competitor_costs(competitors_at_levels(quotes, components), SEGMENT, COST, "unit_rate_ct_per_kwh")
+    return rank_own_offers(own_offers(components, params), costs, SEGMENT, "scenario", COST)
 
 
 def with_rank_metrics(ranked: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
@@ -165,13 +144,14 @@ def with_rank_metrics(ranked: DataFrame, params: PricingParams = DEFAULT_PARAMS)
 def with_market_context(ranked: DataFrame) -> DataFrame:
     """Competitor averages and the gap to the cheapest competitor (W7), NULL without competitors."""
     return ranked.withColumns({
-        "avg_competitor_unit_rate_ct": round_average(F.col("avg_competitor_rate"), 2),
-        "avg_competitor_annual_cost_eur": round_average(F.col("avg_competitor_cost"), 2),
+        "avg_competitor_unit_rate_ct": rnd(F.col("avg_competitor_rate"), 2),
+        "avg_competitor_annual_cost_eur": rnd(F.col("avg_competitor_cost"), 2),
         "min_competitor_annual_cost_eur": rnd(F.col("min_competitor_cost"), 2),
         "delta_vs_cheapest_competitor_eur": rnd(F.col(COST) - F.col("min_competitor_cost"), 2),
     })
 
 
+# Fixed names: what identifies an own offer across scenarios.
 BASELINE_KEYS = ["energy_type", "product", "postcode", "consumption_level_kwh", "contract_length_months"]
 
 

@@ -41,7 +41,7 @@ def build_marts(spark: SparkSession, inputs: PricingInputs, out_dir: str,
     frames["performance_summary"] = spark.read.parquet(path["performance_summary"])
     report: DataFrame = reduce(DataFrame.unionByName, [
         QS.not_null_report(frames), QS.unique_report(frames), QS.unique_combo_report(frames),
-        QS.accepted_values_report(frames), QS.margin_floor_report({"price_components": model}),
+        QS.accepted_values_report(frames), QS.margin_floor_report({"price_components": frames["price_components"]}),
     ])
     sinks.write_mart(report, path["quality_report"])
 
@@ -50,6 +50,4 @@ def build_marts(spark: SparkSession, inputs: PricingInputs, out_dir: str,
         sinks.export_market_analysis(analysis, path["exports/market_analysis_scenarios"])
         sinks.export_summary(frames["performance_summary"], path["exports/market_performance_summary"])
 
-    model.market_analysis.unpersist()
-    model.components_with_bands.unpersist()
     return path

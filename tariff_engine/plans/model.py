@@ -1,24 +1,25 @@
 """The whole model wired together for one input set and one parameter set.
 
-Every attribute is a lazy DataFrame; nothing runs until an action.
-``marts.build_marts`` materialises the marts; the query catalog picks
-single frames out of it.
+Every attribute is a lazy DataFrame without caches: building one runs no job,
+and filters and column pruning reach the scans through all of them.
+``marts.build_marts`` writes the marts, whose readers then start from files;
+the query catalog picks single frames out of the model.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from tariff_engine.operators.staging import stage_cost_bands, stage_products, stage_quotes
+from tariff_engine.operators.staging import project_quotes, stage_cost_bands, stage_products, stage_quotes
 from tariff_engine.params import DEFAULT_PARAMS, PricingParams
 from tariff_engine.plans import market
 from tariff_engine.plans.components import COMPONENT_COLUMNS, price_components_with_bands
 from tariff_engine.plans.price_list import price_list
 from tariff_engine.plans.summary import heatmap_matrix, performance_summary
 from tariff_engine.sources.driver_tables import PricingInputs, load_inputs
+from tariff_engine.sources.lookups import consumption_levels, margin_scenarios
 
 
 class PricingModel:
@@ -27,8 +28,9 @@ class PricingModel:
         self.params = params
 
     @classmethod
-    def from_tables(cls, spark: SparkSession, sf_dir: str, params: PricingParams = DEFAULT_PARAMS) -> "PricingModel":
-        return cls(load_inputs(spark, sf_dir), params)
+    def from_tables(cls, spark: SparkSession, sf_dir: str, params: PricingParams = DEFAULT_PARAMS,
+                    dirty: bool = False) -> "PricingModel":
+        return cls(load_inputs(spark, sf_dir, dirty), params)
 
     # staging
     @cached_property
@@ -45,19 +47,17 @@ class PricingModel:
 
     @cached_property
     def market_quotes(self) -> DataFrame:
-        """Staged quotes for the contract lengths we sell (the market analysis needs no others)."""
-        return stage_quotes(self.inputs.quotes, self.params, market.sold_contracts(self.components))
+        """Typed quotes, copies included, for the contract lengths we sell (the market analysis needs no others).
+
+        The ceiling match removes copies after it has dropped the quotes that serve no point.
+        """
+        sold = self.products.select("contract_length_months").distinct()
+        return project_quotes(self.inputs.quotes, self.params).join(sold, "contract_length_months", "left_semi")
 
     # intermediate
     @cached_property
     def components_with_bands(self) -> DataFrame:
-        """Persisted: the price list, the market analysis and the quality suite all read it.
-
-        Its size is bounded by postcodes x products x levels x scenarios, not by
-        the quote volume; a lost executor's blocks are recomputed from lineage.
-        """
-        return price_components_with_bands(self.cost_bands, self.products, self.params) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        return price_components_with_bands(self.cost_bands, self.products, self.params)
 
     @cached_property
     def components(self) -> DataFrame:
@@ -66,17 +66,13 @@ class PricingModel:
     # marts
     @cached_property
     def price_list(self) -> DataFrame:
-        return price_list(self.components_with_bands, self.params)
+        """From components of the baseline scenario alone: no other one is expanded."""
+        baseline = price_components_with_bands(self.cost_bands, self.products, self.params, self.params.baseline_scenario)
+        return price_list(baseline, self.params)
 
     @cached_property
     def market_analysis(self) -> DataFrame:
-        """Persisted: the summary, the heatmap and the quality suite all read it.
-
-        One row per own offer and scenario, so its size is bounded like the
-        components', whatever the quote volume.
-        """
-        return market.market_analysis(self.components, self.market_quotes, self.params) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        return market.market_analysis(self.components, self.market_quotes, self.params)
 
     def performance_summary(self, analysis: DataFrame | None = None) -> DataFrame:
         return performance_summary(self.market_analysis if analysis is None else analysis)
@@ -86,7 +82,7 @@ class PricingModel:
 
 
 def register_views(spark: SparkSession, model: PricingModel, prefix: str = "") -> list[str]:
-    """Expose the staging, intermediate and mart frames as temporary views.
+    """Expose the staging, intermediate, lookup and mart frames as temporary views.
 
     Views stay lazy: ``spark.sql`` over them plans against the same DataFrames,
     so filters and column pruning still reach the scans.
@@ -98,6 +94,9 @@ def register_views(spark: SparkSession, model: PricingModel, prefix: str = "") -
         "price_components": model.components,
         "price_list": model.price_list,
         "market_analysis": model.market_analysis,
+        "performance_summary": model.performance_summary(),
+        "consumption_levels": consumption_levels(spark, model.params),
+        "margin_scenarios": margin_scenarios(spark, model.params),
     }
     names = []
     for name, df in frames.items():

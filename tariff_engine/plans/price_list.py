@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tariff_engine.functions import pricing as P
 from tariff_engine.functions.numeric import round_half_away as rnd
 from tariff_engine.params import DEFAULT_PARAMS, PricingParams
-from tariff_engine.plans.components import for_scenario
 
 PRICE_LIST_COLUMNS = [
     "consumption_level_kwh", "consumption_label", "energy_type", "product_name", "postcode", "town",
@@ -34,9 +33,13 @@ def with_annual_margin(components: DataFrame, params: PricingParams = DEFAULT_PA
 
 
 def price_list(components_with_bands: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
-    """Rounded price list rows of the baseline scenario (sorting happens at the sink)."""
+    """Rounded price list rows of the baseline scenario (sorting happens at the sink).
+
+    The filter only matters for components of all scenarios; the model expands the baseline alone.
+    """
     ct = F.lit(100.0)
-    base = with_annual_margin(for_scenario(components_with_bands, params.baseline_scenario), params)
+    baseline = components_with_bands.where(F.col("scenario") == F.lit(params.baseline_scenario))
+    base = with_annual_margin(baseline, params)
     return base.select(
         "consumption_level_kwh",
         "consumption_label",

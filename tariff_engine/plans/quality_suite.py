@@ -130,8 +130,8 @@ def accepted_values_report(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def margin_floor_report(models: dict[str, PricingModel]) -> DataFrame:
-    """Rows below the margin floor, for each named parameter set."""
-    parts = [_count(Q.check_margin_floor(m.components), name, "margin_floor", "net_unit_rate_eur_per_kwh,margin_eur_per_kwh")
-             for name, m in models.items()]
+def margin_floor_report(components: dict[str, DataFrame]) -> DataFrame:
+    """Rows below the margin floor, for each named set of components."""
+    parts = [_count(Q.check_margin_floor(c), name, "margin_floor", "net_unit_rate_eur_per_kwh,margin_eur_per_kwh")
+             for name, c in components.items()]
     return reduce(DataFrame.unionByName, parts)

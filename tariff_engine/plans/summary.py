@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tariff_engine.functions.numeric import round_average as ravg
+from tariff_engine.functions.numeric import exact_average
 from tariff_engine.functions.numeric import round_half_away as rnd
 from tariff_engine.params import LEVEL_LABELS
 
@@ -30,11 +30,11 @@ def performance_summary(analysis: DataFrame) -> DataFrame:
         top.alias("segments_where_top_3"),
         rnd(pct * cheapest / segments, 1).alias("pct_cheapest"),
         rnd(pct * top / segments, 1).alias("pct_top_3"),
-        ravg(F.avg("our_rank"), 1).alias("avg_rank"),
-        ravg(F.avg("percentile_rank"), 1).alias("avg_percentile"),
-        ravg(F.avg("delta_vs_cheapest_competitor_eur"), 2).alias("avg_delta_vs_cheapest_eur"),
-        ravg(F.avg("our_annual_cost_after_bonus_eur"), 2).alias("avg_our_annual_cost_eur"),
-        ravg(F.avg("avg_competitor_annual_cost_eur"), 2).alias("avg_market_annual_cost_eur"),
+        rnd(exact_average(F.col("our_rank")), 1).alias("avg_rank"),
+        rnd(exact_average(F.col("percentile_rank")), 1).alias("avg_percentile"),
+        rnd(exact_average(F.col("delta_vs_cheapest_competitor_eur")), 2).alias("avg_delta_vs_cheapest_eur"),
+        rnd(exact_average(F.col("our_annual_cost_after_bonus_eur")), 2).alias("avg_our_annual_cost_eur"),
+        rnd(exact_average(F.col("avg_competitor_annual_cost_eur")), 2).alias("avg_market_annual_cost_eur"),
     )
 
 
@@ -45,13 +45,13 @@ def heatmap_matrix(analysis: DataFrame, labels=LEVEL_LABELS) -> DataFrame:
     to one (energy type, scenario) pair for a single heatmap. Rows without a
     percentile are left out, as the plotting pivot drops empty cells; the four
     label columns are always present (NULL where empty). Cells are averages
-    rounded to 2 dp (``round_average``).
+    over exact sums, rounded to 2 dp.
     """
     return (
         analysis.where(F.col("percentile_rank").isNotNull())
         .groupBy(*HEATMAP_KEYS)
         .pivot("consumption_label", list(labels))
-        .agg(ravg(F.avg("percentile_rank"), 2))
+        .agg(rnd(exact_average(F.col("percentile_rank")), 2))
     )
 
 

@@ -7,8 +7,6 @@ command line, and they only fill in settings the cluster left unset.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the engine relies on; applied only where the cluster has none.
@@ -16,42 +14,25 @@ ENGINE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Runtime-measured broadcast limit: a join side is broadcast only after its
-    # stage has run and its actual size is known to be under this bound.
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # Split a hot key's partition even where the next aggregate could have used the join's partitioning:
+    # the extra shuffle then happens only in the skewed case.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tariff_engine") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tariff_engine",
+                  driver_memory: str = "8g") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory)
     )
     for key, value in ENGINE_DEFAULTS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
-    value = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not value:
-        value = spark.conf.get("spark.checkpoint.dir", None)
-    return value or None
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; create a scratch one only when unset (tests)."""
-    value = checkpoint_dir(spark)
-    if value is None:
-        value = tempfile.mkdtemp(prefix="tariff-ckpt-")
-    spark.sparkContext.setCheckpointDir(value)
-    return value

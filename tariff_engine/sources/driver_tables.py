@@ -1,6 +1,6 @@
 """Map the benchmark's TPC-H style tables onto the pricing inputs.
 
-* cost bands  <- ``customer`` x ``nation`` x two energy types
+* cost bands  <- the postcodes of ``customer``, each with the same bands of both energy types
 * competitor quotes <- one row per ``lineitem``
 * products    <- three inline catalogue rows
 
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from tariff_engine.params import ELECTRICITY, GAS
 from tariff_engine.sources.lookups import products_from_rows
-from tariff_engine.sources.partitioning import is_undersplit, spread_if_undersplit
 
 # Fixed values of the table mapping.
 POSTCODE_BUCKETS = 997
@@ -39,8 +38,24 @@ PRODUCT_ROWS = [
     ("P3", "Volt 24", ELECTRICITY, 2.5, 40.0, 0.19, 9.5, 24, 24),
 ]
 
-# The nation dimension is a fixed 25-row table; it enters as a bounded array.
-MAX_NATION_ROWS = 1000
+# Raw bands that every postcode publishes for each energy type.
+BANDS_PER_POSTCODE = 25
+
+# Quotes without a bonus have no annual cost and rank last.
+NO_BONUS = "l_orderkey % 211 = 5"
+
+# What the dirty variant of the inputs breaks, as conditions on the tables' keys (quality queries).
+DIRTY_TOWN = "k % 10 = 3"
+DIRTY_BAND_ENERGY = "k % 10 = 4 AND n = 7"
+DIRTY_RATE = "k % 10 = 5"
+DIRTY_PROVIDER = "l_orderkey % 50 = 7"
+DIRTY_QUOTE_ENERGY = "l_orderkey % 50 = 13"
+DIRTY_ENERGY = "WATER"
+DIRTY_RATE_EUR_PER_KWH = -0.5
+DIRTY_PRODUCT_ROWS = [
+    ("P1", "Volt 12 again", ELECTRICITY, 3.21, 55.0, 0.19, 10.084, 12, 12),
+    ("P4", "Spring 12", DIRTY_ENERGY, 3.0, 50.0, 0.19, 4.0, 12, 12),
+]
 
 
 @dataclass(frozen=True)
@@ -62,78 +77,67 @@ def _town(bucket):
     return F.concat(F.lit("Town "), bucket.cast("string"))
 
 
-def cost_bands_from_tables(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """One raw cost band per customer, nation and energy type (raw layout)."""
-    nation_keys = nation.select(F.sort_array(F.collect_list("n_nationkey"))).scalar()
+def cost_bands_from_customers(customer: DataFrame, dirty: bool = False) -> DataFrame:
+    """The raw cost bands of every postcode that has a customer (raw layout).
+
+    Postcodes are made distinct first (map-side, then one small shuffle); their bands come from a literal range.
+    """
+    postcodes = customer.select((F.col("c_custkey") % F.lit(POSTCODE_BUCKETS)).alias("k")).distinct()
     energies = F.array(*[
         F.struct(F.lit(name).alias("energy_type"), F.lit(width).alias("width"))
         for name, width in BAND_WIDTH.items()
     ])
-    grid = (
-        customer.select((F.col("c_custkey") % F.lit(POSTCODE_BUCKETS)).alias("k"),
-                        F.explode(nation_keys).alias("n"))
-        .select("k", "n", F.inline(energies))
-    )
+    grid = postcodes.select("k", F.explode(F.sequence(F.lit(0), F.lit(BANDS_PER_POSTCODE - 1))).alias("n")).select(
+        "k", "n", F.inline(energies))
+    spoil = lambda condition, bad, good: F.when(F.expr(condition), bad).otherwise(good) if dirty else good
     k, n, w = F.col("k"), F.col("n"), F.col("width")
     return grid.select(
-        "energy_type",
+        spoil(DIRTY_BAND_ENERGY, F.lit(DIRTY_ENERGY), F.col("energy_type")).alias("energy_type"),
         _postcode(k).alias("postcode"),
-        _town(k).alias("town"),
+        spoil(DIRTY_TOWN, F.lit(None).cast("string"), _town(k)).alias("town"),
         F.when(n == 0, F.lit(100)).otherwise(n * w).alias("consumption_from"),
         (n * w + w - F.lit(1)).alias("consumption_to"),
-        ((F.lit(1000) + (k % F.lit(50)) * F.lit(10) - F.expr("n div 5") * F.lit(20)).cast("double")
-         / F.lit(10000.0)).alias("basecost_net_unit_rate_eur_per_kwh"),
+        spoil(DIRTY_RATE, F.lit(DIRTY_RATE_EUR_PER_KWH),
+              (F.lit(1000) + (k % F.lit(50)) * F.lit(10) - F.expr("n div 5") * F.lit(20)).cast("double")
+              / F.lit(10000.0)).alias("basecost_net_unit_rate_eur_per_kwh"),
         (F.lit(40) + k % F.lit(50)).cast("double").alias("basecost_net_standing_charge_eur_per_year"),
     )
 
 
-def quotes_from_lineitem(lineitem: DataFrame) -> DataFrame:
+def quotes_from_lineitem(lineitem: DataFrame, dirty: bool = False) -> DataFrame:
     """One raw competitor quote per line item (raw layout, contract length as text)."""
     elec = (F.col("l_partkey") % F.lit(2)) == F.lit(0)
     bucket = F.col("l_orderkey") % F.lit(POSTCODE_BUCKETS)
     level_idx = (F.floor("l_quantity").cast("int") % F.lit(len(QUOTE_LEVELS_KWH))) + F.lit(1)
     contract_idx = (F.col("l_suppkey") % F.lit(len(CONTRACT_TEXT))).cast("int") + F.lit(1)
+    spoil = lambda condition, bad, good: F.when(F.expr(condition), bad).otherwise(good) if dirty else good
     return lineitem.select(
-        F.when(elec, F.lit(ELECTRICITY)).otherwise(F.lit(GAS)).alias("energy_type"),
+        spoil(DIRTY_QUOTE_ENERGY, F.lit(DIRTY_ENERGY),
+              F.when(elec, F.lit(ELECTRICITY)).otherwise(F.lit(GAS))).alias("energy_type"),
         _postcode(bucket).alias("postcode"),
         _town(bucket).alias("location_name"),
         (F.element_at(F.array(*[F.lit(v) for v in QUOTE_LEVELS_KWH]), level_idx)
          * F.when(elec, F.lit(1)).otherwise(F.lit(GAS_LEVEL_FACTOR))).alias("consumption_level_kwh"),
-        F.concat(F.lit("Provider "), (F.col("l_suppkey") % F.lit(PROVIDER_BUCKETS)).cast("string")).alias("provider"),
+        spoil(DIRTY_PROVIDER, F.lit(None).cast("string"),
+              F.concat(F.lit("Provider "), (F.col("l_suppkey") % F.lit(PROVIDER_BUCKETS)).cast("string"))).alias("provider"),
         F.concat(F.lit("Tariff "), (F.col("l_partkey") % F.lit(TARIFF_BUCKETS)).cast("string")).alias("product"),
         (F.when(elec, F.lit(24.0)).otherwise(F.lit(8.0)) + F.col("l_discount") * F.lit(30)
          + (F.col("l_suppkey") % F.lit(7)) * F.lit(0.5)).alias("unit_rate_ct_per_kwh"),
         (F.lit(60) + F.floor("l_extendedprice") % F.lit(120)).cast("double").alias("standing_charge_eur_per_year"),
-        (F.col("l_tax") * F.lit(1000)).alias("signup_bonus"),
+        F.when(~F.expr(NO_BONUS), F.col("l_tax") * F.lit(1000)).alias("signup_bonus"),
         F.lit(12).alias("price_guarantee_months"),
         F.element_at(F.array(*[F.lit(t) for t in CONTRACT_TEXT]), contract_idx).alias("contract_length_months"),
     )
 
 
-def _spread_quotes(lineitem: DataFrame) -> DataFrame:
-    """Quotes from an under-split scan are hash-spread on every quote column.
-
-    Hashing on all columns keeps column pruning from reaching below the
-    exchange, so every branch that reads the quotes reuses that one exchange
-    (and the one scan under it). Inputs with enough splits are left alone.
-    """
-    quotes = quotes_from_lineitem(lineitem)
-    if is_undersplit(lineitem):
-        return quotes.repartition(lineitem.sparkSession.sparkContext.defaultParallelism, *quotes.columns)
-    return quotes
-
-
-def catalogue(spark: SparkSession) -> DataFrame:
-    return products_from_rows(spark, PRODUCT_ROWS)
+def catalogue(spark: SparkSession, dirty: bool = False) -> DataFrame:
+    return products_from_rows(spark, PRODUCT_ROWS + (DIRTY_PRODUCT_ROWS if dirty else []))
 
 
-def load_inputs(spark: SparkSession, sf_dir: str) -> PricingInputs:
-    nation = _table(spark, sf_dir, "nation")
-    if nation.limit(MAX_NATION_ROWS + 1).count() > MAX_NATION_ROWS:
-        raise ValueError("nation is expected to be a small fixed dimension")
+def load_inputs(spark: SparkSession, sf_dir: str, dirty: bool = False) -> PricingInputs:
+    """The inputs from the tables; ``dirty`` breaks some rows, for the quality checks to find."""
     return PricingInputs(
-        cost_bands=cost_bands_from_tables(spread_if_undersplit(_table(spark, sf_dir, "customer"), "c_custkey"),
-                                          nation),
-        products=catalogue(spark),
-        quotes=_spread_quotes(_table(spark, sf_dir, "lineitem")),
+        cost_bands=cost_bands_from_customers(_table(spark, sf_dir, "customer"), dirty),
+        products=catalogue(spark, dirty),
+        quotes=quotes_from_lineitem(_table(spark, sf_dir, "lineitem"), dirty),
     )

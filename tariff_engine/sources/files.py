@@ -11,30 +11,32 @@ from pyspark.sql import DataFrame, SparkSession
 from tariff_engine import schemas
 
 
-def _read(spark: SparkSession, path: str, schema, fmt: str | None) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema, fmt: str | None, mode: str) -> DataFrame:
+    """``mode`` says what a malformed CSV number does: FAILFAST ends the job, PERMISSIVE makes it NULL.
+
+    A NULL reaches the not-null checks, but a quote with a NULL key leaves the market, so FAILFAST is the default.
+    """
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     if fmt == "csv":
-        # PERMISSIVE: a malformed number (e.g. "2.7" in an integer column) becomes NULL and is
-        # reported by the not-null checks instead of failing the whole job.
-        return spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").csv(path)
+        return spark.read.schema(schema).option("header", "true").option("mode", mode).csv(path)
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def read_cost_bands(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+def read_cost_bands(spark: SparkSession, path: str, fmt: str | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Regional cost bands: one row per energy type, postcode and consumption band."""
-    return _read(spark, path, schemas.RAW_COST_BANDS, fmt)
+    return _read(spark, path, schemas.RAW_COST_BANDS, fmt, mode)
 
 
-def read_products(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+def read_products(spark: SparkSession, path: str, fmt: str | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Own product catalogue."""
-    return _read(spark, path, schemas.RAW_PRODUCTS, fmt)
+    return _read(spark, path, schemas.RAW_PRODUCTS, fmt, mode)
 
 
-def read_quotes(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+def read_quotes(spark: SparkSession, path: str, fmt: str | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Competitor quotes snapshot; the contract length stays text until staging."""
-    return _read(spark, path, schemas.RAW_QUOTES, fmt)
+    return _read(spark, path, schemas.RAW_QUOTES, fmt, mode)
 
 
-def read_market_analysis(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+def read_market_analysis(spark: SparkSession, path: str, fmt: str | None = None, mode: str = "FAILFAST") -> DataFrame:
     """An exported market-analysis mart, read back with postcodes kept as text."""
-    return _read(spark, path, schemas.MARKET_ANALYSIS, fmt)
+    return _read(spark, path, schemas.MARKET_ANALYSIS, fmt, mode)

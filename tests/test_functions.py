@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from conftest import rows
 from tariff_engine.functions import pricing as P
-from tariff_engine.functions.numeric import round_average, round_half_away
+from tariff_engine.functions.numeric import exact_average, round_half_away
 from tariff_engine.functions.text import contract_months, norm_postcode
 
 
@@ -38,11 +38,15 @@ def test_round_half_away_matches_duckdb(spark, digits):
     assert got == expected
 
 
-def test_round_average_removes_summation_noise(spark):
-    # 27.175 reached from below and from above by float noise rounds the same way.
-    df = _one_col(spark, [27.175, 27.174999999999997, 27.175000000000004], T.DoubleType())
-    got = {r[0] for r in df.select(round_average(F.col("x"), 2)).collect()}
-    assert len(got) == 1
+def test_exact_average_does_not_depend_on_order(spark):
+    values = [27.1, 27.2, 27.3, 27.1, 27.2, 27.1, 27.15, 27.2, 27.2, 27.2]
+    found = set()
+    for seed in range(20):
+        shuffled = random.Random(seed).sample(values, len(values))
+        df = _one_col(spark, shuffled + [None], T.DoubleType()).repartition(seed % 5 + 1)
+        found.add(df.select(exact_average(F.col("x"))).first()[0])
+    assert found == {27.175}
+    assert _one_col(spark, [None], T.DoubleType()).select(exact_average(F.col("x"))).first()[0] is None
 
 
 def test_contract_months_cases(spark):

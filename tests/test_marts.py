@@ -24,7 +24,7 @@ def test_build_marts_writes_marts_and_exports(spark):
     report = spark.read.parquet(paths["quality_report"])
     failing = {(r.model, r.test) for r in report.where("failing_rows > 0").collect()}
     # Quotes repeat the same provider/product/level/contract at other prices in the fixture tables.
-    assert failing <= {("quotes", "unique_combination")}
+    assert failing <= {("quotes", "unique_combination"), ("quotes", "not_null")}
 
     exported = read_market_analysis(spark, paths["exports/market_analysis_scenarios"])
     assert exported.count() == 5400
@@ -41,3 +41,5 @@ def test_register_views_supports_sql(spark):
     assert "t_price_list" in names
     got = spark.sql("SELECT energy_type, COUNT(*) AS n FROM t_price_list GROUP BY energy_type ORDER BY 1").collect()
     assert [(r.energy_type, r.n) for r in got] == [("ELECTRICITY", 1200), ("GAS", 600)]
+    assert {"t_performance_summary", "t_consumption_levels", "t_margin_scenarios"} <= set(names)
+    assert spark.sql("SELECT * FROM t_margin_scenarios").count() == 3

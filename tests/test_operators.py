@@ -9,7 +9,7 @@ from conftest import rows
 from tariff_engine.operators import quality as Q
 from tariff_engine.operators.band_join import band_join, expand_levels
 from tariff_engine.operators.ceiling_match import ceiling_levels, ceiling_match
-from tariff_engine.operators.ranking import competitor_profile, cost_bin, own_cost_sets, rank_own_offers
+from tariff_engine.operators.ranking import competitor_costs, rank_own_offers
 from tariff_engine.operators.staging import stage_cost_bands, stage_quotes
 from tariff_engine.params import PricingParams
 from tariff_engine.schemas import RAW_COST_BANDS, RAW_QUOTES
@@ -108,10 +108,7 @@ def test_rank_own_offers_matches_window_rank(spark):
             comp.append((seg, "L", cost, float(rnd.randint(20, 30))))
     own_df = spark.createDataFrame(own, "scenario string, seg int, label string, product string, cost double")
     comp_df = spark.createDataFrame(comp, "seg int, label string, cost double, rate double")
-    sets = own_cost_sets(own_df, ["seg", "label"], "cost")
-    binned = comp_df.join(sets, ["seg", "label"]).withColumn("cost_bin", cost_bin(F.col("cost"), F.col("own_costs")))
-    profile = competitor_profile(binned, ["seg"], "cost", "rate")
-    ranked = rank_own_offers(own_df, profile, ["seg"], "scenario", "cost", set_group=["label"])
+    ranked = rank_own_offers(own_df, competitor_costs(comp_df, ["seg"], "cost", "rate"), ["seg"], "scenario", "cost")
     got = sorted(tuple(r) for r in ranked.select("scenario", "seg", "product", "offer_rank", "offers_in_segment").collect())
     exp = _brute_force_ranks(pd.DataFrame(own, columns=["scenario", "seg", "label", "product", "cost"]),
                              pd.DataFrame(comp, columns=["seg", "label", "cost", "rate"]))
@@ -121,12 +118,30 @@ def test_rank_own_offers_matches_window_rank(spark):
 
 def test_lone_own_offer_profile_is_null(spark):
     own_df = spark.createDataFrame([("s", 1, "L", "a", 100.0)], "scenario string, seg int, label string, product string, cost double")
-    comp_df = spark.createDataFrame([], "seg int, label string, cost double, rate double, cost_bin int")
-    profile = competitor_profile(comp_df, ["seg"], "cost", "rate")
-    r = rank_own_offers(own_df, profile, ["seg"], "scenario", "cost").collect()[0]
+    comp_df = spark.createDataFrame([], "seg int, cost double, rate double")
+    r = rank_own_offers(own_df, competitor_costs(comp_df, ["seg"], "cost", "rate"), ["seg"], "scenario", "cost").collect()[0]
     assert (r.offer_rank, r.offers_in_segment, r.avg_competitor_cost, r.min_competitor_cost) == (1, 1, None, None)
 
 
+def test_rank_with_a_thousand_products_in_one_segment(spark):
+    own = [("s", 1, f"p{k}", float(k)) for k in range(1000)]
+    comp = [(1, float(k) + 0.5, 1.0) for k in range(0, 1000, 2) for _ in range(3)]
+    ranked = rank_own_offers(
+        spark.createDataFrame(own, "scenario string, seg int, product string, cost double"),
+        competitor_costs(spark.createDataFrame(comp, "seg int, cost double, rate double"), ["seg"], "cost", "rate"),
+        ["seg"], "scenario", "cost")
+    got = {r["product"]: r.offer_rank for r in ranked.collect()}
+    assert got == {f"p{k}": 1 + k + 3 * ((k + 1) // 2) for k in range(1000)}
+
+
+def test_break_even_kwh(spark):
+    from tariff_engine.functions import break_even_kwh
+
+    got = spark.range(1).select(
+        break_even_kwh(F.lit(100.0), F.lit(20.0), F.lit(30.0), F.lit(60.0), F.lit(10.0), F.lit(35.0)).alias("x")).first().x
+    assert got == 600.0  # 100 - 20 + 0.30 x = 60 - 10 + 0.35 x
+
+
 def test_quote_dedupe_and_contract_parse(spark):
     raw = spark.createDataFrame([
         ("GAS", "1067", "T", 5000, "P", "X", 8.0, 60.0, 10.0, 12, "12 Monate"),
