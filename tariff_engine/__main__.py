@@ -36,7 +36,7 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tariff_engine", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
     src = ap.add_mutually_exclusive_group(required=True)
-    src.add_argument("--tables", help="folder with customer/nation/lineitem parquet (benchmark mapping)")
+    src.add_argument("--tables", help="folder with customer/lineitem parquet (benchmark mapping)")
     src.add_argument("--bands", help="cost bands file (CSV with header, or parquet)")
     ap.add_argument("--products", help="product catalogue file (with --bands)")
     ap.add_argument("--quotes", help="competitor quotes file (with --bands)")

@@ -25,7 +25,7 @@ def build_marts(spark: SparkSession, inputs: PricingInputs, out_dir: str,
     """Build every mart under ``out_dir`` (a shared, cluster-visible path) and return their paths."""
     model = PricingModel(inputs, params)
     path = {name: os.path.join(out_dir, name) for name in (
-        "price_list", "market_analysis", "performance_summary", "heatmap_matrix", "quality_report",
+        "price_components", "price_list", "market_analysis", "performance_summary", "heatmap_matrix", "quality_report",
         "exports/price_lists", "exports/market_analysis_scenarios", "exports/market_performance_summary")}
 
     sinks.write_mart(model.price_list, path["price_list"])
@@ -35,7 +35,9 @@ def build_marts(spark: SparkSession, inputs: PricingInputs, out_dir: str,
     sinks.write_mart(model.performance_summary(analysis), path["performance_summary"])
     sinks.write_mart(model.heatmap_matrix(analysis), path["heatmap_matrix"])
 
-    frames = QS.model_frames(model)
+    # the quality suite reads the components many times
+    sinks.write_mart(model.components, path["price_components"])
+    frames = QS.model_frames(model, spark.read.parquet(path["price_components"]))
     frames["market_analysis"] = analysis
     frames["price_list"] = spark.read.parquet(path["price_list"])
     frames["performance_summary"] = spark.read.parquet(path["performance_summary"])

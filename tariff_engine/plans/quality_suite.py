@@ -81,7 +81,9 @@ PRODUCT_DIMENSION = ["product_code", "product_name", "energy_type", "vat_rate",
                      "contract_length_months"]
 
 
-def model_frames(model: PricingModel) -> dict[str, DataFrame]:
+def model_frames(model: PricingModel, components: DataFrame | None = None) -> dict[str, DataFrame]:
+    """What the suite checks, by name; ``components`` may be the written mart instead of the model's."""
+    components = model.components if components is None else components
     spark = model.inputs.quotes.sparkSession
     analysis = model.market_analysis
     return {
@@ -90,9 +92,9 @@ def model_frames(model: PricingModel) -> dict[str, DataFrame]:
         "quotes": model.quotes,
         "consumption_levels": consumption_levels(spark, model.params),
         "margin_scenarios": margin_scenarios(spark, model.params),
-        "price_components": model.components,
-        "price_components.products": model.components.select(*PRODUCT_DIMENSION).distinct(),
-        "price_components.scenarios": model.components.select("scenario", "elec_margin_ct", "gas_margin_ct").distinct(),
+        "price_components": components,
+        "price_components.products": components.select(*PRODUCT_DIMENSION).distinct(),
+        "price_components.scenarios": components.select("scenario", "elec_margin_ct", "gas_margin_ct").distinct(),
         "price_list": model.price_list,
         "performance_summary": model.performance_summary(analysis),
         "market_analysis": analysis,
