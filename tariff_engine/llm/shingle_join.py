@@ -6,12 +6,14 @@ decide. Four steps keep the trees small and the result whole:
 1. *Frequencies.* Token blobs (one per batch of documents and hash bucket) go to buckets, which answer each batch with
    the tokens that occur elsewhere, and how often. A set's prefix is its rarest tokens, as many as one of which any
    similar set must share; a set whose prefix occurs nowhere else has no partner and leaves here.
-2. *Hubs.* Equal sets are one class. Classes with an equal min-hash are verified against the least of them only, and
-   what links becomes a component, so that a group of near copies is never expanded into its pairs.
+2. *Hubs.* Equal sets are one class. Classes with an equal min-hash are verified against the least of them, and what
+   links becomes a component, so that a group of near copies is not expanded into its pairs.
 3. *Trees.* Classes that share a prefix token but not the component meet in blocks; large blocks are split into tiles
-   of bounded size, each pair of tiles a block of its own. Each block is an R-tree join on count vectors, whose
-   candidates between different components are verified.
-4. *Components* of both kinds of links. No link between different components is left out, so they are exact.
+   of bounded size, each pair of tiles a block of its own. Each block is an R-tree join on count vectors, in which
+   nothing is asked within the block's largest component. First each class is verified against the one of
+   the highest bound only, which joins dense groups along few links; the last round verifies every candidate
+   between components that are still different.
+4. *Components* of all links. No link between different components is left out, so they are exact.
 
 Shingles are 64-bit hashes; frequencies and intersections use their upper 48 bits. Two sets of 1,000 shingles have a
 chance of about 4e-9 to share one by collision.
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tariff_engine.llm import scratch
 from tariff_engine.llm.components import connected_components
-from tariff_engine.llm.count_rtree import LEAF, CountTree, count_vector, least_overlap
+from tariff_engine.llm.count_rtree import LEAF, CountTree, count_vector, least_overlap, points_of
 from tariff_engine.llm.shingles import mix, shingle_sets
 
 #: Least similarity, as num / den.
@@ -40,7 +42,9 @@ BATCH_TOKENS = 1 << 20
 #: A token in more documents of a batch than this goes to its bucket as a count.
 WIDE = 64
 #: Min-hash keys of a class.
-KEYS = 2
+KEYS = 1
+#: Rounds in which each class is verified against its nearest ones only, before the whole join.
+ROUNDS = 1
 #: Classes of a block that is not split into tiles.
 TILE = 512
 
@@ -249,7 +253,7 @@ def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds each class's point in the R-tree: the count vector of the tokens that it shares."""
     for batch in batches:
         shared = batch.column(batch.schema.get_field_index("shared"))
-        points = [count_vector(np.frombuffer(s.as_buffer(), dtype="<u8")).astype("<u2").tobytes() for s in shared]
+        points = [count_vector(np.frombuffer(s.as_buffer(), dtype="<u8")) for s in shared]
         rest = [k for k, name in enumerate(batch.schema.names) if name != "shared"]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(k) for k in rest), pa.array(points, pa.binary())],
@@ -257,30 +261,46 @@ def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _tree_join(num: int, den: int):
-    """Candidates of every block of a bucket: pairs of different components whose bound reaches the least overlap."""
+def _tree_join(num: int, den: int, nearest: bool):
+    """Candidates of every block of a bucket: pairs of different components whose bound reaches the least overlap.
 
-    def block(points: np.ndarray, sizes: np.ndarray, comps: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        left, right = np.flatnonzero(sides <= 0), np.flatnonzero(sides >= 0)
+    With ``nearest``, only the highest bound of each class in each block.
+    """
+
+    def search(points: np.ndarray, sizes: np.ndarray, comps: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple:
         if not len(left) or not len(right):
-            return left[:0], left[:0]
+            return left[:0], left[:0], left[:0]
         if len(left) * len(right) <= LEAF * LEAF:
             q, r = (x.ravel() for x in np.meshgrid(left, right, indexing="ij"))
             bound = np.minimum(points[q], points[r]).sum(axis=1, dtype=np.int64)
             kept = bound >= least_overlap(sizes[q], sizes[r], num, den)
-            q, r = q[kept], r[kept]
+            q, r, bound = q[kept], r[kept], bound[kept]
         else:
-            q, r = CountTree(points[right], sizes[right]).matches(points[left], sizes[left], num, den)
+            q, r, bound = CountTree(points[right], sizes[right]).matches(points[left], sizes[left], num, den)
             q, r = left[q], right[r]
         kept = comps[q] != comps[r]
-        return q[kept], r[kept]
+        return q[kept], r[kept], bound[kept]
+
+    def block(points: np.ndarray, sizes: np.ndarray, comps: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # nothing is asked within the largest component, however large it is
+        small = comps != np.bincount(comps).argmax()
+        left, right = sides <= 0, sides >= 0
+        found = [search(points, sizes, comps, np.flatnonzero(left & small), np.flatnonzero(right))]
+        if (sides != 0).any():
+            found.append(search(points, sizes, comps, np.flatnonzero(right & small), np.flatnonzero(left & ~small)))
+        q, r, bound = (np.concatenate(x) for x in zip(*found))
+        if nearest and len(q):
+            order = np.lexsort((r, -bound, q))
+            first = np.concatenate(([True], q[order][1:] != q[order][:-1]))
+            q, r = q[order][first], r[order][first]
+        return q, r
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.sort_by([("token", "ascending"), ("tile", "ascending")])
         digests = np.asarray(table["digest"].to_pylist(), dtype=object)
         sizes = table["n"].to_numpy()
         _, comps = np.unique(np.asarray(table["component"].to_pylist(), dtype=object), return_inverse=True)
-        points = np.frombuffer(b"".join(table["point"].to_pylist()), dtype="<u2").reshape(len(sizes), -1)
+        points = points_of(table["point"].to_pylist())
         sides, tokens, tiles = table["side"].to_numpy(), table["token"].to_numpy(), table["tile"].to_numpy()
         starts = np.flatnonzero(np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (tiles[1:] != tiles[:-1]))))
         found: set[tuple[bytes, bytes]] = set()
@@ -294,29 +314,47 @@ def _tree_join(num: int, den: int):
     return run
 
 
-def candidates(live: DataFrame, members: DataFrame, buckets: int, num: int, den: int, tile: int = TILE) -> DataFrame:
-    """Pairs (a, b) of classes of different components (``members``: node, component) that an R-tree cannot rule out."""
-    classes = live.join(members, F.col("digest") == F.col("node"), "left").select(
-        "digest", "n", "shared", "prefix", F.coalesce("component", "digest").alias("component")
-    )
-    rows = classes.select("digest", "component", F.explode("prefix").alias("token"))
-    blocks = rows.groupBy("token").agg(
-        F.count(F.lit(1)).alias("size"), F.min("component").alias("least"), F.max("component").alias("most")
-    ).where("least <> most").select("token", F.ceil(F.col("size") / tile).alias("tiles"))
-    active = rows.select("digest", "token").join(blocks, "token")
+def blocks_of(live: DataFrame) -> DataFrame:
+    """(token, digest, size) of the prefix tokens that several classes have."""
+    rows = live.select("digest", F.explode("prefix").alias("token"))
+    sizes = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return rows.join(sizes, "token")
+
+
+def candidates(
+    blocks: DataFrame, points: DataFrame, members: DataFrame, buckets: int, num: int, den: int, nearest: bool, tile: int = TILE
+) -> DataFrame:
+    """Pairs (a, b) of classes of different components (``members``: node, component) that an R-tree cannot rule out.
+
+    With ``nearest``, each class has only the partner of the highest bound in each of its blocks.
+    """
+    at = members.select(F.col("node").alias("digest"), "component")
+    rows = blocks.join(at, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+    mixed = rows.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    active = rows.join(mixed.where("least <> most").select("token"), "token", "left_semi")
+    active = active.withColumn("tiles", F.ceil(F.col("size") / tile))
     # a class's row goes to every pair of tiles that its own is in
     own = F.pmod(F.xxhash64("token", "digest"), F.col("tiles"))
     dealt = active.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
     dealt = dealt.select(
-        "digest", "token",
+        "digest", "token", "component",
         (F.greatest("own", "other") * F.col("tiles") + F.least("own", "other")).alias("tile"),
         F.signum(F.col("own") - F.col("other")).cast("int").alias("side"),
     )
-    points = classes.select("digest", "n", "component", "shared").mapInArrow(
-        _points, "digest binary, n long, component binary, point binary"
-    )
     placed = dealt.join(points, "digest").withColumn("bucket", F.pmod(F.xxhash64("token", "tile"), F.lit(buckets)))
-    return placed.groupBy("bucket").applyInArrow(_tree_join(num, den), "a binary, b binary").distinct()
+    return placed.groupBy("bucket").applyInArrow(_tree_join(num, den, nearest), "a binary, b binary").distinct()
+
+
+def merged(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``members`` (node, component) after further links (a, b) between nodes, some of which may be new."""
+    at = lambda side: members.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
+    component = lambda side: F.coalesce(F.col(f"c_{side}"), F.col(side)).alias(side)
+    between = links.join(at("a"), "a", "left").join(at("b"), "b", "left").select(component("a"), component("b"))
+    wider = connected_components(between).select(F.col("node").alias("component"), F.col("component").alias("wider"))
+    alone = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(members, "node", "left_anti")
+    every = members.union(alone.select("node", F.col("node").alias("component")))
+    every = every.join(wider, "component", "left").select("node", F.coalesce("wider", "component").alias("component"))
+    return scratch.written(every, "members")
 
 
 @dataclass(frozen=True)
@@ -352,20 +390,20 @@ def shingle_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = live.select("digest", F.posexplode("keys").alias("no", "key"))
     hubs = keyed.groupBy("no", "key").agg(F.min("digest").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
     near = keyed.join(hubs, ["no", "key"]).where("digest <> hub").select(F.col("hub").alias("a"), F.col("digest").alias("b"))
-    by_hub = scratch.written(verified(near.distinct(), live, num, den), "links")
+    by_hub = scratch.written(verified(scratch.written(near.distinct(), "pairs"), live, num, den), "links")
     members = scratch.written(connected_components(by_hub), "members")
 
-    pairs = candidates(live, members, 1 << bits, num, den)
-    by_tree = scratch.written(verified(pairs, live, num, den), "links")
-    links = by_hub.union(by_tree)
-    component = lambda side: F.coalesce(F.col(f"c_{side}"), F.col(side)).alias(side)
-    at = lambda side: members.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
-    between = by_tree.join(at("a"), "a", "left").join(at("b"), "b", "left").select(component("a"), component("b"))
-    # components over both kinds of links, from those over the first
-    wider = connected_components(between).select(F.col("node").alias("component"), F.col("component").alias("wider"))
-    alone = by_tree.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(members, "node", "left_anti")
-    every = members.union(alone.select("node", F.col("node").alias("component")))
-    final = every.join(wider, "component", "left").select(F.col("node").alias("digest"), F.coalesce("wider", "component").alias("component"))
+    blocks = scratch.written(blocks_of(live), "blocks")
+    points = live.select("digest", "n", "shared").mapInArrow(_points, "digest binary, n long, point binary")
+    points = scratch.written(points, "points")
+    links = by_hub
+    for nearest in [True] * ROUNDS + [False]:
+        # written, so that the planner knows how few they are
+        pairs = scratch.written(candidates(blocks, points, members, 1 << bits, num, den, nearest), "pairs")
+        found = scratch.written(verified(pairs, live, num, den), "links")
+        links = links.union(found)
+        members = merged(members, found)
+    final = members.withColumnRenamed("node", "digest")
 
     classes = profiles.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("least"))
     grouped = classes.join(final, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
