@@ -79,6 +79,22 @@ def test_token_files_round_trip(spark, edge, nothing):
     assert empty.parts == () and empty.documents(spark).count() == 0
 
 
+def test_token_files_of_many_parts(spark, documents):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = write_token_files(documents, WORDS)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(files.parts) > 3
+    encoder, at = WordEncoder(WORDS), 0
+    found = {r.doc_id: r for r in files.documents(spark).collect()}
+    for r in sorted(documents.collect()):
+        ids = _ids(encoder, r.text) + [1]
+        assert (found[r.doc_id].start, found[r.doc_id].ids) == (at, ids)
+        at += len(ids)
+
+
 def _check_packing(rows, texts, capacity=2048):
     encoder = ByteEncoder(BYTES)
     by_doc = {}
