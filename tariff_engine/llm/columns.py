@@ -8,6 +8,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Steps in which `hashed_share` tells shares apart.
+_SHARES = 1 << 30
+
+
+def hashed_share(share: float, *keys: str) -> Column:
+    """Condition that holds for about this share of all rows, by a hash of their keys; always the same rows.
+
+    Unlike a sorted limit, a filter makes no task send more than its share.
+    """
+    return F.pmod(F.xxhash64(F.lit("share"), *keys), F.lit(_SHARES)) < F.lit(int(min(1.0, share) * _SHARES))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; null stays null.
 

@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tariff_engine.llm.boosting import BoostedTrees
-from tariff_engine.llm.columns import ascii_lower
+from tariff_engine.llm.columns import ascii_lower, hashed_share
 
-#: Bound of the training sample, in labelled URLs.
+#: Bound of the training sample: labelled URLs, all of them or about this many by hash.
 SAMPLE_URLS = 20_000
 #: Buckets of each suffix statistic.
 BUCKETS = 1024
@@ -121,7 +121,9 @@ class UrlModel:
         for row in counted.collect():  # at most 3 * BUCKETS rows
             n[row["bucket"]], blocked[row["bucket"]] = row["n"], row["blocked"]
         model = cls(BoostedTrees(), n, blocked)
-        rows = labelled.orderBy(F.xxhash64("url", "key"), "url", "key").limit(sample_urls).collect()
+        share = sample_urls / max(1.0, n[:BUCKETS].sum())
+        rows = labelled.where(hashed_share(share, "url", "key")).collect()
+        rows.sort(key=lambda r: (r["url"], str(r["key"])))
         if rows:
             y = np.asarray([r["blocked"] for r in rows], dtype=np.float64)
             at = np.asarray([r["buckets"] for r in rows])
