@@ -17,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bound of the sample that rotation and radius are learned from.
+from tariff_engine.llm.columns import hashed_share
+
+#: Bound of the sample that rotation and radius are learned from: all rows, or about this many by hash.
 SAMPLE_ROWS = 4096
 SAMPLE_QUERIES = 256
 #: Share of the sample's true neighbours that the radius has to hold.
@@ -169,7 +171,8 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int = 20, id_col: str
     valid = df.where(takes_part(vector) & F.col(f"`{id_col}`").isNotNull()).select(
         F.col(f"`{id_col}`").cast("long").alias("vec_id"), vector.cast("array<double>").alias("vector")
     )
-    sampled = valid.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()
+    share = SAMPLE_ROWS / max(1, valid.count())
+    sampled = sorted(valid.where(hashed_share(share, "vec_id")).collect())
     dims = len(sampled[0]["vector"]) if sampled else 1
     sample = np.asarray([r["vector"] for r in sampled if len(r["vector"]) == dims], dtype=np.float64)
     if not len(sample):
