@@ -7,29 +7,35 @@ an exact heuristic for an A* search from the end backwards: it completes segment
 No piece crosses from other characters into a word mark, so a text's lattice is a chain of its words' lattices, and
 its segmentations are combinations of theirs. Viterbi scores in both directions give each word's best score and how
 much its second-best segmentation loses. Only the n - 1 words that lose least can differ among a text's n best; A*
-runs over these and their results are combined. Best paths and losses of words are kept in a bounded memo.
+runs over these and their results are combined. Viterbi solves the lattices of many words at once in numpy; best
+paths and losses of words are kept in a bounded memo.
 """
 
 from __future__ import annotations
 
+import gc
 import heapq
 import itertools
 import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 N_BEST = 4
 #: Words that a worker keeps.
-MEMO_WORDS = 400_000
-MEMO_PARTS = 200_000
-MEMO_SEARCHES = 50_000
+MEMO_WORDS = 250_000
+MEMO_PARTS = 120_000
+MEMO_SEARCHES = 20_000
+#: Texts that are encoded together.
+BATCH_TEXTS = 512
 #: An unknown character is spelled by bytes, at this much less than the least score of any piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -40,15 +46,17 @@ _NEVER = float("inf")
 
 #: (start, end, ids, score)
 Edge = tuple[int, int, tuple[int, ...], float]
+#: Ids of the best segmentation as bytes, its score, and what the second-best one loses.
+Entry = tuple[bytes, float, float]
+#: Stands between texts that are solved together; in no piece. A text that has it is solved alone.
+_BREAK = "\x00"
 
 
 class PieceLattice:
     """Segmentations by the vocabulary of a model file."""
 
     def __init__(self, path: str) -> None:
-        import sentencepiece
-
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.model = _model(path)
         kinds = [
             (n, self.model.id_to_piece(n), self.model.get_score(n), self.model.is_byte(n))
             for n in range(self.model.get_piece_size())
@@ -61,21 +69,23 @@ class PieceLattice:
         self.single = {piece for piece in pieces if len(piece) == 1}
         # scores far below all others stand for pieces that are never preferred
         self.unknown = min(score for _, score in pieces.values() if score > -1e8) - UNKNOWN_PENALTY
-        self.entries = ahocorasick.Automaton()
-        for piece, (n, score) in pieces.items():
-            self.entries.add_word(piece, (len(piece) - 1, (n,), score))
-        self.entries.make_automaton()
-        self.bytes_of = {n: piece.encode("utf-8") for piece, (n, _) in pieces.items()}
-        self.bytes_of |= {n: bytes([b]) for b, n in self.byte_ids.items()}
+        self.entries_by_end = ahocorasick.Automaton()
+        for k, piece in enumerate(pieces):
+            self.entries_by_end.add_word(piece, k)
+        self.entries_by_end.make_automaton()
+        self.lengths = np.fromiter(map(len, pieces), dtype=np.int64)
+        self.ids, self.scores = (np.asarray(x) for x in zip(*pieces.values()))
         #: Neighbours in some piece: between any others, a lattice comes apart.
         self.inside = {piece[k:k + 2] for piece in pieces for k in range(len(piece) - 1)}
-        self.words: dict[str, tuple[bytes, float, float]] = {}
-        self.parts: dict[str, tuple[bytes, float, float]] = {}
+        self.words: dict[str, Entry] = {}
+        self.parts: dict[str, Entry] = {}
         self.searches: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
 
     def edges(self, text: str) -> list[Edge]:
         """By end, ascending."""
-        out = [(end - n, end + 1, ids, score) for end, (n, ids, score) in self.entries.iter(text)]
+        out = []
+        for end, k in self.entries_by_end.iter(text):
+            out.append((end + 1 - int(self.lengths[k]), end + 1, (int(self.ids[k]),), float(self.scores[k])))
         unknown = () if self.single.issuperset(text) else [k for k, c in enumerate(text) if c not in self.single]
         if unknown:
             for k in unknown:
@@ -92,54 +102,117 @@ class PieceLattice:
                 best[end] = best[start] + score
         return best
 
-    def _word(self, text: str) -> tuple[bytes, float, float]:
-        """Ids of the best segmentation, its score, and what the second-best one loses."""
-        runs = _RUNS.findall(text)
-        if len(runs) == 1:
-            return self._part(text)
-        joined = [runs[0]]
+    def _joined(self, word: str) -> list[str]:
+        """The parts between which a word's lattice comes apart."""
+        runs = _RUNS.findall(word)
+        parts = runs[:1]
         for run in runs[1:]:
-            if joined[-1][-1] + run[0] in self.inside:
-                joined[-1] += run
+            if parts[-1][-1] + run[0] in self.inside:
+                parts[-1] += run
+            else:
+                parts.append(run)
+        return parts
+
+    def entries(self, words: set[str]) -> dict[str, Entry]:
+        """Of each word (without its first mark): ids of the best segmentation, its score, the second best's loss."""
+        plain = [word for word in words if word.isalpha()]
+        apart = {word: self._joined(_MARK + word) for word in words if not word.isalpha()}
+        parts = {_MARK + word for word in plain}.union(*apart.values())
+        memo = self.parts
+        known = {part: memo[part] for part in parts if part in memo}
+        missing = list(parts.difference(known))
+        new = dict(zip(missing, self.solved(missing)))
+        known.update(new)
+        memo.update(itertools.islice(new.items(), max(0, MEMO_PARTS - len(memo))))
+        out = {word: known[_MARK + word] for word in plain}
+        for word, own in apart.items():
+            if len(own) == 1:
+                out[word] = known[own[0]]
             else:
-                joined.append(run)
-        ids, score, loss = b"", 0.0, _NEVER
-        for part in joined:
-            entry = self.parts.get(part)
-            if entry is None:
-                entry = self._part(part)
-                if len(self.parts) < MEMO_PARTS:
-                    self.parts[part] = entry
-            ids, score, loss = ids + entry[0], score + entry[1], min(loss, entry[2])
-        return ids, score, loss
-
-    def _part(self, text: str) -> tuple[bytes, float, float]:
-        """The same from one lattice, by Viterbi scores in both directions."""
-        length = len(text)
-        best, last = [0.0] + [-_NEVER] * length, [-1] * (length + 1)
-        edges = self.edges(text)
-        starts, ends, names, scores = zip(*edges)
-        for k, start in enumerate(starts):
-            end, total = ends[k], best[start] + scores[k]
-            if total > best[end] or (total == best[end] and last[end] >= 0 and names[k] < names[last[end]]):
-                best[end], last[end] = total, k
-        path, ids, at = set(), [], length
-        while at:
-            k = last[at]
-            path.add(k)
-            ids.append(names[k])
-            at = starts[k]
-        rest = [-_NEVER] * length + [0.0]
-        second = -_NEVER
-        for k in range(len(starts) - 1, -1, -1):
-            start = starts[k]
-            after = scores[k] + rest[ends[k]]
-            if after > rest[start]:
-                rest[start] = after
-            if k not in path and best[start] + after > second:
-                second = best[start] + after
-        flat = [i for part in reversed(ids) for i in part]
-        return struct.pack(f"<{len(flat)}I", *flat), best[length], best[length] - second
+                ids, scores, losses = zip(*[known[part] for part in own])
+                out[word] = b"".join(ids), sum(scores), min(losses)
+        return out
+
+    def solved(self, texts: list[str]) -> list[Entry]:
+        """Viterbi over all lattices at once, forward and backward; places and edges are numbered through the texts."""
+        broken = {k for k, text in enumerate(texts) if _BREAK in text}
+        if broken:
+            rest = iter(self.solved([text for k, text in enumerate(texts) if k not in broken]))
+            return [self._searched(text) if k in broken else next(rest) for k, text in enumerate(texts)]
+        if not texts:
+            return []
+        joined = _BREAK.join(texts)
+        found = np.fromiter(itertools.chain.from_iterable(self.entries_by_end.iter(joined)), dtype=np.int64).reshape(-1, 2)
+        # the place before character k is k: each text has one place more than characters, as the break counts as one
+        end, piece = found[:, 0] + 1, found[:, 1]
+        start, ids, score = end - self.lengths[piece], self.ids[piece], self.scores[piece]
+        own_bytes: dict[int, bytes] = {}
+        if not self.single.issuperset(joined.replace(_BREAK, "")):
+            unknown = [k for k, c in enumerate(joined) if c not in self.single and c != _BREAK]
+            at = np.asarray(unknown, dtype=np.int64)
+            order = np.argsort(np.concatenate([end, at + 1]), kind="stable")
+            start, end = np.concatenate([start, at])[order], np.concatenate([end, at + 1])[order]
+            # below all ids; spelled out at the end
+            ids = np.concatenate([ids, -1 - np.arange(len(at))])[order]
+            score = np.concatenate([score, np.full(len(at), self.unknown)])[order]
+            for k, place in enumerate(unknown):
+                own_bytes[-1 - k] = self._spelled(joined[place])
+        sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        first = np.cumsum(sizes + 1) - sizes - 1
+        text_of = np.repeat(np.arange(len(texts)), sizes + 1)
+        of = text_of[end]
+        best, rest = np.full(len(joined) + 1, -np.inf), np.full(len(joined) + 1, -np.inf)
+        best[first], rest[first + sizes] = 0.0, 0.0
+        last = np.zeros(len(joined) + 1, dtype=np.int64)
+
+        depth = end - first[of]
+        order = np.argsort(depth, kind="stable")  # edges of one end stay together
+        for part in np.split(order, np.flatnonzero(np.diff(depth[order])) + 1):
+            total = best[start[part]] + score[part]
+            head = np.flatnonzero(np.concatenate(([True], np.diff(end[part]) != 0)))
+            most = np.maximum.reduceat(total, head)
+            best[end[part[head]]] = most
+            ties = total == np.repeat(most, np.diff(np.append(head, len(part))))
+            key = np.where(ties, ids[part], np.iinfo(np.int64).max)
+            chosen = np.flatnonzero(key == np.repeat(np.minimum.reduceat(key, head), np.diff(np.append(head, len(part)))))
+            chosen = chosen[ties[chosen]]
+            last[end[part[chosen]]] = part[chosen]
+        height = (first + sizes)[of] - start
+        order = np.lexsort((start, height))
+        for part in np.split(order, np.flatnonzero(np.diff(height[order])) + 1):
+            head = np.flatnonzero(np.concatenate(([True], np.diff(start[part]) != 0)))
+            rest[start[part[head]]] = np.maximum.reduceat(score[part] + rest[end[part]], head)
+
+        on_path = np.zeros(len(start), dtype=bool)
+        at, low = first + sizes, first
+        while len(at):
+            on_path[last[at]] = True
+            at = start[last[at]]
+            at, low = at[at > low], low[at > low]
+        through = np.where(on_path, -np.inf, best[start] + score + rest[end])
+        second = np.full(len(texts), -np.inf)
+        np.maximum.at(second, of, through)
+        top = best[first + sizes]
+        flat, counts = ids[on_path], np.bincount(of[on_path], minlength=len(texts))
+        raw, edges = flat.astype("<u4").tobytes(), np.cumsum(counts) * 4
+        out = [
+            (raw[hi - 4 * n:hi], score, loss)
+            for hi, n, score, loss in zip(edges.tolist(), counts.tolist(), top.tolist(), (top - second).tolist())
+        ]
+        if own_bytes:
+            of_path = of[on_path]
+            for k in np.unique(of_path[flat < 0]).tolist():
+                spelled = (own_bytes.get(i) or struct.pack("<I", i) for i in flat[of_path == k].tolist())
+                out[k] = (b"".join(spelled), *out[k][1:])
+        return out
+
+    def _searched(self, text: str) -> Entry:
+        (score, ids), *other = self.search(text, 2)
+        return struct.pack(f"<{len(ids)}I", *ids), score, score - other[0][0] if other else _NEVER
+
+    def _spelled(self, character: str) -> bytes:
+        """The byte pieces of an unknown character."""
+        return b"".join(struct.pack("<I", self.byte_ids[b]) for b in character.encode("utf-8"))
 
     def search(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The n best segmentations (score, ids) by backward A*, best first; of equal scores those whose ids are
@@ -176,25 +249,30 @@ class PieceLattice:
             return joined
         return parts
 
-    def n_best(self, text: str, n: int) -> tuple[bytes, float, list[tuple[float, dict[int, tuple[int, ...]]]], list[str]]:
-        """The best ids and score; the n best as (score, {word: its other ids}); the words."""
-        normalised = self.model.normalize(text)
+    def n_best(self, texts: list[str], n: int) -> list[NBest]:
+        """Of each text the best ids and score, and the n best as (score, {word: its other ids})."""
+        normalised = [self.model.normalize(text) for text in texts]
+        all_words = [self.units(t) for t in normalised]
+        memo = self.words
+        gc.disable()  # there are no cycles to find among the many small objects below
+        try:
+            new = self.entries({w for words in all_words for w in words}.difference(memo))
+            memo.update(new)
+            out = [self._combined(text, words, n) for text, words in zip(normalised, all_words)]
+        finally:
+            gc.enable()
+        for word in list(new)[: max(0, len(memo) - MEMO_WORDS)]:
+            del memo[word]
+        return out
+
+    def _combined(self, normalised: str, words: list[str], n: int) -> NBest:
         if not normalised:
-            return b"", 0.0, [(0.0, {})], []
-        words = self.units(normalised)
+            return NBest(b"", 0.0, [(0.0, {})], [], [])
         if not words:  # one lattice
             found = self.search(normalised, n)
             ids = np.asarray(found[0][1], dtype="<u4").tobytes()
-            return ids, found[0][0], [(s, {0: i} if k else {}) for k, (s, i) in enumerate(found)], [normalised[1:]]
-        memo, known = self.words, []
-        for word in words:
-            entry = memo.get(word)
-            if entry is None:
-                entry = self._word(_MARK + word)
-                if len(memo) < MEMO_WORDS:
-                    memo[word] = entry
-            known.append(entry)
-        parts, scores, losses = zip(*known)
+            return NBest(ids, found[0][0], [(s, {0: i} if k else {}) for k, (s, i) in enumerate(found)], [normalised], [ids])
+        parts, scores, losses = zip(*map(self.words.__getitem__, words))
         score = sum(scores)
         loose = [k for k in heapq.nsmallest(n - 1, range(len(losses)), key=losses.__getitem__) if losses[k] < _NEVER]
         options = []
@@ -213,25 +291,67 @@ class PieceLattice:
         best = [
             (total, {k: o[c][1] for k, o, c in zip(loose, options, choice) if c}) for total, choice in combined[:n]
         ]
-        return b"".join(parts), score, best, words
-
-    def ids_of(self, words: list[str], changed: dict[int, tuple[int, ...]], ids: bytes) -> bytes:
-        """The ids of one of the n best."""
-        if not changed:
-            return ids
-        if not self.by_word:
-            return np.asarray(changed[0], dtype="<u4").tobytes()
-        out = []
-        for k, word in enumerate(words):
-            other = changed.get(k)
-            out.append(struct.pack(f"<{len(other)}I", *other) if other is not None else (self.words.get(word) or self._word(_MARK + word))[0])
-        return b"".join(out)
+        return NBest(b"".join(parts), score, best, words, list(parts))
+
+
+class NBest(NamedTuple):
+    ids: bytes
+    score: float
+    #: (score, ids of the words that differ from the best segmentation)
+    ranked: list[tuple[float, dict[int, tuple[int, ...]]]]
+    words: list[str]
+    parts: list[bytes]
+
+    def all_ids(self) -> list[bytes]:
+        """The ids of every one of the n best."""
+        spelled = lambda changed, k, part: struct.pack(f"<{len(changed[k])}I", *changed[k]) if k in changed else part
+        return [b"".join(spelled(changed, k, part) for k, part in enumerate(self.parts)) for _, changed in self.ranked]
+
+
+class PieceDecoder:
+    """Ids back to text; holds no lattice."""
+
+    def __init__(self, path: str) -> None:
+        model = _model(path)
+        pieces = ((n, model.id_to_piece(n)) for n in range(model.get_piece_size()))
+        spelled = [
+            bytes([int(piece[3:5], 16)]) if model.is_byte(n) else piece.replace(_MARK, " ").encode("utf-8") for n, piece in pieces
+        ]
+        self.lengths = np.fromiter(map(len, spelled), dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.table = np.frombuffer(b"".join(spelled), dtype=np.uint8)
+
+    def decode_all(self, ids: np.ndarray, edges: np.ndarray) -> pa.StringArray:
+        """The text of each run of ids between two edges: marks become blanks, the first one goes, bytes join."""
+        lengths, starts = self.lengths[ids], self.starts[ids]
+        first = edges[:-1][edges[:-1] < edges[1:]]
+        first = first[self.table[starts[first]] == 32]
+        lengths[first] -= 1
+        starts[first] += 1
+        ends = np.cumsum(lengths)
+        spelled = self.table[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate(([0], ends))[edges]
+        raw = spelled.tobytes()
+        heads = spelled[cuts[:-1][cuts[:-1] < cuts[1:]]]
+        try:
+            raw.decode("utf-8")
+            whole = not ((heads >= 0x80) & (heads < 0xC0)).any()
+        except UnicodeDecodeError:
+            whole = False
+        if not whole:  # ids that spell no text
+            return pa.array([raw[x:y].decode("utf-8", errors="replace") for x, y in zip(cuts, cuts[1:])], pa.string())
+        return pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(raw))
 
     def decode(self, ids: bytes) -> str:
-        """The text that ids spell: marks become blanks, the first one goes, bytes join to characters."""
-        spelled = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
-        text = spelled.decode("utf-8", errors="replace").replace(_MARK, " ")
-        return text[1:] if text.startswith(" ") else text
+        """The text that one row of ids spells."""
+        numbers = np.frombuffer(ids, dtype="<u4")
+        return self.decode_all(numbers, np.asarray([0, len(numbers)]))[0].as_py()
+
+
+def _model(path: str):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
 @lru_cache(maxsize=1)
@@ -240,6 +360,12 @@ def lattice(path: str) -> PieceLattice:
     return PieceLattice(path)
 
 
+@lru_cache(maxsize=1)
+def decoder(path: str) -> PieceDecoder:
+    """One decoder for each Python worker."""
+    return PieceDecoder(path)
+
+
 def encode_n_best(
     df: DataFrame, model: str, n: int = N_BEST, id_col: str = "doc_id", text_col: str = "text", keep_alternatives: bool = True
 ) -> DataFrame:
@@ -259,14 +385,15 @@ def encode_n_best(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = lattice(model)
+        gc.freeze()  # the tables and the memo so far: nothing to look for in them
         for batch in batches:
-            rows = []
-            for text in batch.column(1).to_pylist():
-                ids, score, best, words = pieces.n_best(text or "", n)
-                others = [pieces.ids_of(words, changed, ids) for _, changed in best[1:]] if keep_alternatives else None
-                rows.append((ids, score, [s for s, _ in best], others)[: 3 + keep_alternatives])
-            if rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], names=names)
+            for low in range(0, batch.num_rows, BATCH_TEXTS):
+                part = batch.slice(low, BATCH_TEXTS)
+                rows = []
+                for found in pieces.n_best([t or "" for t in part.column(1).to_pylist()], n):
+                    others = found.all_ids()[1:] if keep_alternatives else None
+                    rows.append((found.ids, found.score, [s for s, _ in found.ranked], others)[: 3 + keep_alternatives])
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], names=names)
 
     return docs.mapInArrow(encode, schema)
 
@@ -281,9 +408,17 @@ def decode_pieces(df: DataFrame, model: str, ids_col: str = "ids", text_col: str
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = lattice(model)
+        pieces = decoder(model)
         for batch in batches:
-            texts = [None if ids is None else pieces.decode(ids) for ids in batch.column(len(rest)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*rest, text_col])
+            for low in range(0, batch.num_rows, BATCH_TEXTS):
+                part = batch.slice(low, BATCH_TEXTS)
+                column = part.column(len(rest)).cast(pa.large_binary())
+                null = column.is_null()
+                column = column.fill_null(b"")
+                edges = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1] // 4
+                ids = np.frombuffer(column.buffers()[2] or b"", dtype="<u4")[edges[0]:edges[-1]]
+                texts = pieces.decode_all(ids, edges - edges[0])
+                texts = pc.if_else(null, pa.scalar(None, pa.string()), texts) if null.true_count else texts
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], texts], names=[*rest, text_col])
 
     return rows.mapInArrow(decode, f"{schema}, `{text_col}` string")

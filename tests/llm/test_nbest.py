@@ -56,6 +56,16 @@ def test_search_orders_equal_scores(pieces):
     assert found == pieces.search("▁▁▁▁a", 6)
 
 
+def test_decoding_of_nulls_and_of_ids_that_spell_no_text(spark, pieces):
+    half = pieces.model.encode("日")  # spelled by bytes or one piece; cut bytes below spell nothing
+    cut = [pieces.byte_ids[0xE6], pieces.byte_ids[0x97]]
+    pack = lambda ids: np.asarray(ids, dtype="<u4").tobytes()
+    rows = [(1, None), (2, b""), (3, pack(cut)), (4, pack([pieces.byte_ids[0xA5]])), (5, pack(half))]
+    df = spark.createDataFrame(rows, "doc_id long, ids binary").coalesce(1)
+    found = {r.doc_id: r.text for r in decode_pieces(df, MODEL).collect()}
+    assert found == {1: None, 2: "", 3: "\ufffd", 4: "\ufffd", 5: "日"}
+
+
 def test_operator_and_decoding(edge, nothing, pieces):
     found = encode_n_best(edge, MODEL, n=3).collect()
     assert len(found) == len(EDGE_ROWS)
