@@ -304,8 +304,13 @@ class NBest(NamedTuple):
 
     def all_ids(self) -> list[bytes]:
         """The ids of every one of the n best."""
-        spelled = lambda changed, k, part: struct.pack(f"<{len(changed[k])}I", *changed[k]) if k in changed else part
-        return [b"".join(spelled(changed, k, part) for k, part in enumerate(self.parts)) for _, changed in self.ranked]
+        out = []
+        for _, changed in self.ranked:
+            parts = self.parts.copy()
+            for k, ids in changed.items():
+                parts[k] = struct.pack(f"<{len(ids)}I", *ids)
+            out.append(b"".join(parts))
+        return out
 
 
 class PieceDecoder:

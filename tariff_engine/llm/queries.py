@@ -50,16 +50,20 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best segmentation's ids, the scores of the n best, and what the ids decode to."""
+    """The scores and digests of the n best segmentations, best first, and what the best one's ids decode to."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    found = encode_n_best(_table(spark, sf_dir, "documents"), model, N_BEST, keep_alternatives=False)
+    found = encode_n_best(_table(spark, sf_dir, "documents"), model, N_BEST)
+    n_pieces = lambda ids: (F.octet_length(ids) / 4).cast("long")
+    every = F.concat(F.array("ids"), "alternatives")
     digests = found.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "score",
-        F.size("scores").cast("long").alias("n_found"), F.element_at("scores", -1).alias("last_score"), "ids",
+        "doc_id", n_pieces("ids").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "score",
+        F.size("scores").cast("long").alias("n_found"), F.element_at("scores", -1).alias("last_score"), "scores",
+        F.transform(every, lambda ids: F.struct(n_pieces(ids).alias("n_pieces"), F.crc32(ids).alias("ids_crc32"))).alias("segmentations"),
+        "ids",
     )
     decoded = decode_pieces(digests, model)
     return decoded.select(
-        "doc_id", "n_pieces", "ids_crc32", "score", "n_found", "last_score",
+        "doc_id", "n_pieces", "ids_crc32", "score", "n_found", "last_score", "scores", "segmentations",
         F.length("text").cast("long").alias("n_chars"), F.crc32(F.encode("text", "utf-8")).alias("text_crc32"),
     )
 

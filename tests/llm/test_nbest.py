@@ -1,6 +1,7 @@
 """N-best segmentation against enumeration, decoding against the library."""
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -8,6 +9,7 @@ import pytest
 from edge_rows import EDGE_ROWS
 
 from tariff_engine.llm.nbest import PieceDecoder, PieceLattice, decode_pieces, encode_n_best
+from tariff_engine.llm.queries import QUERIES
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -76,3 +78,13 @@ def test_operator_and_decoding(edge, nothing, pieces):
         assert len(r.scores) == 1 + len(r.alternatives) <= 3 and r.scores[0] == r.score
         assert sorted(r.scores, reverse=True) == r.scores
     assert encode_n_best(nothing, MODEL).count() == 0 and decode_pieces(encode_n_best(nothing, MODEL), MODEL).count() == 0
+
+
+def test_query_returns_every_segmentation(spark, documents, pieces):
+    texts = {r.doc_id: r.text or "" for r in documents.collect()}
+    found = {r.doc_id: r for r in QUERIES["op4_nbest"](spark, "/root/testdata/sf0.001").collect()}
+    assert found.keys() == texts.keys() and any(r.n_found == 4 for r in found.values())
+    for doc_id, expected in zip(texts, pieces.n_best(list(texts.values()), 4)):
+        r = found[doc_id]
+        assert r.scores == [s for s, _ in expected.ranked] and r.n_found == len(r.scores)
+        assert [tuple(x) for x in r.segmentations] == [(len(i) // 4, zlib.crc32(i)) for i in expected.all_ids()]
