@@ -23,57 +23,65 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: label -> (keyword, name as a regex over words). The keyword is in every text that the name can match.
-FAMILIES = {
-    "mit": ("mit", r"(?:mit|expat)"),
-    "apache-1": ("apache", r"apache (?:software )?(?:license )?(?:version |v )?1(?: [01])?"),
-    "apache-2": ("apache", r"apache (?:software )?(?:license )?(?:version |v ?)?2(?: 0)?"),
-    "apache": ("apache", r"apache(?: software)?"),
-    "gpl-2": ("general public", r"gnu general public license (?:version |v ?)?2(?: 0)?"),
-    "gpl-3": ("general public", r"gnu general public license (?:version |v ?)?3(?: 0)?"),
-    "gpl": ("gpl", r"(?:gnu )?gpl(?: ?v?[123](?: 0)?)?"),
-    "lgpl": ("lgpl", r"(?:gnu )?lgpl(?: ?v?[23](?: [01])?)?"),
-    "lgpl-2.1": ("lesser general", r"gnu lesser general public license (?:version |v ?)?2 1"),
-    "lgpl-3": ("lesser general", r"gnu lesser general public license (?:version |v ?)?3(?: 0)?"),
-    "agpl-3": ("affero", r"(?:gnu )?affero general public license(?: version 3| v ?3)?"),
-    "agpl": ("agpl", r"(?:gnu )?agpl(?: ?v?3(?: 0)?)?"),
-    "fdl": ("free documentation", r"gnu free documentation license(?: version 1 [123])?"),
-    "bsd-2": ("bsd", r"(?:bsd 2 clause|simplified bsd|freebsd)"),
-    "bsd-3": ("bsd", r"(?:bsd 3 clause|modified bsd|new bsd|revised bsd)"),
-    "bsd-4": ("bsd", r"(?:bsd 4 clause|original bsd)"),
-    "bsd": ("bsd", r"bsd"),
-    "0bsd": ("0bsd", r"0bsd"),
-    "isc": ("isc", r"isc"),
-    "mpl-1.1": ("mozilla", r"mozilla public license (?:version |v )?1 1"),
-    "mpl-2": ("mozilla", r"mozilla public license (?:version |v ?)?2(?: 0)?"),
-    "mpl": ("mpl", r"mpl(?: [12](?: [01])?)?"),
-    "epl-1": ("eclipse", r"eclipse public license (?:version |v )?1(?: 0)?"),
-    "epl-2": ("eclipse", r"eclipse public license (?:version |v )?2(?: 0)?"),
-    "edl": ("eclipse", r"eclipse distribution"),
-    "cddl": ("distribution license", r"common development and distribution"),
-    "cpl": ("common public", r"common public"),
-    "eupl": ("european union", r"european union public"),
-    "artistic": ("artistic", r"artistic(?: [12](?: 0)?)?"),
-    "boost": ("boost", r"boost software"),
-    "zlib": ("zlib", r"zlib(?: libpng)?"),
-    "unlicense": ("unlicense", r"unlicense"),
-    "wtfpl": ("wtfpl", r"wtfpl"),
-    "cc0": ("cc0", r"cc0(?: 1 0)?"),
-    "cc-by": ("cc by", r"cc by(?! (?:nc|nd|sa))(?: [1234] 0)?"),
-    "cc-by-sa": ("cc by sa", r"cc by sa(?: [1234] 0)?"),
-    "cc-by-nd": ("cc by nd", r"cc by nd(?: [1234] 0)?"),
-    "cc-by-nc": ("cc by nc", r"cc by nc(?! (?:nd|sa))(?: [1234] 0)?"),
-    "cc-by-nc-sa": ("cc by nc sa", r"cc by nc sa(?: [1234] 0)?"),
-    "cc-by-nc-nd": ("cc by nc nd", r"cc by nc nd(?: [1234] 0)?"),
-    "creative-commons": ("creative commons", r"creative commons(?: attribution)?(?: (?:share ?alike|non ?commercial|no ?deriv\w*))*"),
-    "ofl": ("open font", r"(?:sil )?open font"),
-    "python": ("python software", r"python software foundation"),
-    "postgresql": ("postgresql", r"postgresql"),
-    "openssl": ("openssl", r"openssl"),
-    "ms-pl": ("microsoft", r"microsoft public"),
-    "ms-rl": ("microsoft", r"microsoft reciprocal"),
-    "odbl": ("open database", r"open database"),
-}
+#: (label, keyword, name as a regex over words). The keyword is in every text that the name can match. A label can have
+#: several names. A name with "licen" in it is whole: no form asks for a further "license" after it.
+FAMILIES = [
+    ("mit", "mit", r"mit"),
+    ("mit", "expat", r"expat"),
+    ("apache-1", "apache", r"apache (?:software )?licen[cs]e (?:version |v ?)?1(?: [01])?"),
+    ("apache-1", "apache", r"apache (?:software )?(?:version |v ?)?1(?: [01])?"),
+    ("apache-2", "apache", r"apache (?:software )?licen[cs]e (?:version |v ?)?2(?: 0)?"),
+    ("apache-2", "apache", r"apache (?:software )?(?:version |v ?)?2(?: 0)?"),
+    ("apache", "apache", r"apache(?: software)?"),
+    ("gpl-2", "general public", r"gnu general public licen[cs]e (?:version |v ?)?2(?: 0)?"),
+    ("gpl-3", "general public", r"gnu general public licen[cs]e (?:version |v ?)?3(?: 0)?"),
+    ("gpl", "general public", r"gnu general public licen[cs]e"),
+    ("gpl", "gpl", r"(?:gnu )?gpl(?: ?v?[123](?: 0)?)?"),
+    ("lgpl", "general public", r"gnu (?:lesser|library) general public licen[cs]e"),
+    ("lgpl", "lgpl", r"(?:gnu )?lgpl(?: ?v?[23](?: [01])?)?"),
+    ("lgpl-2.1", "lesser general", r"gnu lesser general public licen[cs]e (?:version |v ?)?2 1"),
+    ("lgpl-3", "lesser general", r"gnu lesser general public licen[cs]e (?:version |v ?)?3(?: 0)?"),
+    ("agpl-3", "affero", r"(?:gnu )?affero general public licen[cs]e(?: (?:version |v ?)?3(?: 0)?)?"),
+    ("agpl", "agpl", r"(?:gnu )?agpl(?: ?v?3(?: 0)?)?"),
+    ("fdl", "free documentation", r"gnu free documentation licen[cs]e(?: version 1 [123])?"),
+    ("bsd-2", "bsd", r"(?:bsd 2 clause|simplified bsd|freebsd)"),
+    ("bsd-3", "bsd", r"(?:bsd 3 clause|modified bsd|new bsd|revised bsd)"),
+    ("bsd-4", "bsd", r"(?:bsd 4 clause|original bsd)"),
+    ("bsd", "bsd", r"bsd"),
+    ("0bsd", "0bsd", r"0bsd"),
+    ("isc", "isc", r"isc"),
+    ("mpl-1.1", "mozilla", r"mozilla public licen[cs]e (?:version |v ?)?1 1"),
+    ("mpl-2", "mozilla", r"mozilla public licen[cs]e (?:version |v ?)?2(?: 0)?"),
+    ("mpl", "mozilla", r"mozilla public licen[cs]e"),
+    ("mpl", "mpl", r"mpl(?: [12](?: [01])?)?"),
+    ("epl-1", "eclipse", r"eclipse public licen[cs]e (?:version |v ?)?1(?: 0)?"),
+    ("epl-2", "eclipse", r"eclipse public licen[cs]e (?:version |v ?)?2(?: 0)?"),
+    ("epl", "eclipse", r"eclipse public licen[cs]e"),
+    ("edl", "eclipse", r"eclipse distribution"),
+    ("cddl", "common development", r"common development and distribution"),
+    ("cpl", "common public", r"common public"),
+    ("eupl", "european union", r"european union public"),
+    ("artistic", "artistic", r"artistic(?: [12](?: 0)?)?"),
+    ("boost", "boost", r"boost software"),
+    ("zlib", "zlib", r"zlib(?: libpng)?"),
+    ("unlicense", "unlicense", r"unlicense"),
+    ("wtfpl", "wtfpl", r"wtfpl"),
+    ("cc0", "cc0", r"cc0(?: 1 0)?"),
+    ("cc-by", "cc by", r"cc by(?! (?:nc|nd|sa))(?: [1234] 0)?"),
+    ("cc-by-sa", "cc by sa", r"cc by sa(?: [1234] 0)?"),
+    ("cc-by-nd", "cc by nd", r"cc by nd(?: [1234] 0)?"),
+    ("cc-by-nc", "cc by nc", r"cc by nc(?! (?:nd|sa))(?: [1234] 0)?"),
+    ("cc-by-nc-sa", "cc by nc sa", r"cc by nc sa(?: [1234] 0)?"),
+    ("cc-by-nc-nd", "cc by nc nd", r"cc by nc nd(?: [1234] 0)?"),
+    ("creative-commons", "creative commons", r"creative commons(?: attribution)?(?: (?:share ?alike|non ?commercial|no ?deriv\w*))*"),
+    ("ofl", "open font", r"(?:sil )?open font"),
+    ("python", "python software", r"python software foundation"),
+    ("postgresql", "postgresql", r"postgresql"),
+    ("openssl", "openssl", r"openssl"),
+    ("ms-pl", "microsoft", r"microsoft public"),
+    ("ms-rl", "microsoft", r"microsoft reciprocal"),
+    ("odbl", "open database", r"open database"),
+]
 
 #: How a licence is named: (priority, confidence, words before, words after, a second keyword beside the name's).
 FORMS = (
@@ -118,15 +126,16 @@ class Rule:
 
 def _over_words(pattern: str) -> str:
     """The pattern over single-spaced words, as one over words that stand between two blanks each."""
-    return " " + pattern.replace(" ", "  ") + " "
+    return " " + pattern.replace(" ?", "(?: )?").replace(" ", "  ") + " "
 
 
 def rules() -> list[Rule]:
     """All rules in order: the fixed phrases, every family in every form, then the notices."""
     out = [Rule(label, phrase, phrase, _over_words(phrase), BASE_PRIORITY, 1.0) for phrase, label in PHRASES.items()]
     for priority, confidence, before, after, also in FORMS:
-        for label, (keyword, name) in FAMILIES.items():
-            out.append(Rule(label, keyword, also.strip(), _over_words(before + name + after), priority, confidence))
+        for label, keyword, name in FAMILIES:
+            rest = f"(?:{after})?" if "licen" in name else after
+            out.append(Rule(label, keyword, also.strip(), _over_words(before + name + rest), priority, confidence))
     for label, (keyword, pattern, priority, confidence) in NOTICES.items():
         out.append(Rule(label, keyword, keyword, _over_words(pattern), priority, confidence))
     return out
