@@ -77,7 +77,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shingle_join(_table(spark, sf_dir, "documents")).documents
+    return shingle_join(_table(spark, sf_dir, "documents")).counted
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

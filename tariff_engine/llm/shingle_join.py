@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: all pairs of texts whose shingle sets reach a similarity, as components.
+"""N-gram Jaccard join: all pairs of texts whose shingle sets reach a similarity, as components and counts.
 
 Sets are joined by a count-vector R-tree (`count_rtree`): a tree's bounds give the candidates, exact intersections
 decide. Four steps keep the trees small and the result whole:
@@ -14,6 +14,9 @@ decide. Four steps keep the trees small and the result whole:
    the highest bound only, which joins dense groups along few links; the last round verifies every candidate
    between components that are still different.
 4. *Components* of all links. No link between different components is left out, so they are exact.
+5. *Counts.* The links of steps 2 and 3 are only as many as span the components. Similar sets are in one component, so
+   that the number of all links of a document comes from exact intersections of all pairs within each component,
+   tile by tile; the pairs are counted where they are found and not emitted.
 
 Shingles are 64-bit hashes; frequencies and intersections use their upper 48 bits. Two sets of 1,000 shingles have a
 chance of about 4e-9 to share one by collision.
@@ -47,6 +50,9 @@ KEYS = 1
 ROUNDS = 1
 #: Classes of a block that is not split into tiles.
 TILE = 512
+#: The same where links are counted, and cells of a matrix of classes by tokens there.
+COUNT_TILE = 1024
+COUNT_CELLS = 1 << 22
 
 _DEALT = "key long, batch long, kind int, payload binary"
 _LIVE = "digest binary, n long, shared binary, prefix array<long>, keys array<long>"
@@ -357,13 +363,95 @@ def merged(members: DataFrame, links: DataFrame) -> DataFrame:
     return scratch.written(every, "members")
 
 
+def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of all left sets (rows) with all right ones (columns)."""
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    rows = np.repeat(np.arange(len(sets)), np.fromiter(map(len, sets), dtype=np.int64, count=len(sets)))
+    _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = column.reshape(-1)
+    shared = often > 1
+    rows, column = rows[shared[column]], (np.cumsum(shared) - 1)[column[shared[column]]]
+    order = np.argsort(column, kind="stable")
+    rows, column = rows[order], column[order]
+    width = max(1, COUNT_CELLS // len(sets))  # sums of a float32 product stay exact far beyond it
+    for low in range(0, int(shared.sum()), width):
+        part = slice(*np.searchsorted(column, [low, low + width]))
+        has = np.zeros((len(sets), min(width, int(shared.sum()) - low)), dtype=np.float32)
+        has[rows[part], column[part] - low] = 1
+        out += (has[left] @ has[right].T).astype(np.int64)
+    return out
+
+
+def _count_links(num: int, den: int):
+    """Of rows sorted by component and tile: each class's links in a tile, as the number of documents at their other ends."""
+
+    def block(rows: list[tuple]) -> Iterator[tuple[bytes, int]]:
+        digests, sizes, weights, shared, sides = zip(*rows)
+        sizes, weights, sides = (np.asarray(x, dtype=np.int64) for x in (sizes, weights, sides))
+        left, right = np.flatnonzero(sides <= 0), np.flatnonzero(sides >= 0)
+        if not len(left) or not len(right):
+            return
+        both = _overlaps([np.frombuffer(x, dtype="<u8") for x in shared], left, right)
+        linked = den * both >= num * (sizes[left][:, None] + sizes[right][None, :] - both)
+        found = np.zeros(len(rows), dtype=np.int64)
+        if (sides == 0).all():  # a tile with itself: each pair is there twice
+            np.fill_diagonal(linked, False)
+            found[left] = linked @ weights[right]
+        else:
+            found[left], found[right] = linked @ weights[right], weights[left] @ linked
+        yield from ((digests[k], int(found[k])) for k in np.flatnonzero(found).tolist())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            found = list(block(rows))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([d for d, _ in found], pa.binary()), pa.array([c for _, c in found], pa.int64())], names=["digest", "linked"]
+            )
+
+        at, held = None, []
+        for batch in batches:
+            for component, tile, *row in zip(*(column.to_pylist() for column in batch.columns)):
+                if (component, tile) != at:
+                    if held:
+                        yield out(held)
+                    at, held = (component, tile), []
+                held.append(row)
+        if held:
+            yield out(held)
+
+    return run
+
+
+def link_counts(members: DataFrame, live: DataFrame, weights: DataFrame, num: int, den: int, tile: int = COUNT_TILE) -> DataFrame:
+    """(digest, linked): the number of documents in other classes that a class is linked with, where there are any.
+
+    ``members``: node, component of all classes with a link. ``weights``: digest, weight (the documents of a class).
+    """
+    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
+    rows = members.withColumnRenamed("node", "digest").join(sizes, "component")
+    own = F.pmod(F.xxhash64("component", "digest"), F.col("tiles"))
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    dealt = dealt.select(
+        "digest", "component",
+        (F.greatest("own", "other") * F.col("tiles") + F.least("own", "other")).alias("tile"),
+        F.signum(F.col("own") - F.col("other")).cast("int").alias("side"),
+    )
+    placed = dealt.join(weights, "digest").join(live.select("digest", "n", "shared"), "digest")
+    placed = placed.select("component", "tile", "digest", "n", "weight", "shared", "side")
+    blocks = placed.repartition("component", "tile").sortWithinPartitions("component", "tile")
+    found = blocks.mapInArrow(_count_links(num, den), "digest binary, linked long")
+    return found.groupBy("digest").agg(F.sum("linked").alias("linked"))
+
+
 @dataclass(frozen=True)
 class ShingleJoin:
-    """``documents``: doc_id, n_shingles, component_id. ``links``: verified pairs (a, b) of classes. ``classes``: (doc_id, class)."""
+    """``documents``: doc_id, n_shingles, component_id. ``links``: verified pairs (a, b) of classes, as many as span the
+    components, not all. ``classes``: (doc_id, class). ``counted``: documents with n_links, of all similar pairs."""
 
     documents: DataFrame
     links: DataFrame
     classes: DataFrame
+    counted: DataFrame
 
 
 def shingle_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: tuple[int, int] = SIMILARITY) -> ShingleJoin:
@@ -372,6 +460,8 @@ def shingle_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     One row per input row, in ``documents``: the size of its set and the smallest id reachable by links. Equal
     sets are linked; a text with an empty set (null, empty or without words) is linked with nothing and keeps its
     own id. Null ids are ignored as component ids, unless a component has no other. Repeated rows share a class.
+    ``counted`` adds n_links: the number of other rows, with equal sets or others, of which each is similar itself.
+    It is computed only where it is read.
     Extra columns are not read. An empty table gives no rows. Texts of any length are read whole.
     """
     num, den = similarity
@@ -409,7 +499,13 @@ def shingle_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     grouped = classes.join(final, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     labels = grouped.select("digest", "component").join(least, "component").select("digest", "component_id")
-    documents = profiles.join(labels, "digest", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    component_id = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    documents = profiles.join(labels, "digest", "left").select("doc_id", "n_shingles", component_id)
+
+    weights = profiles.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.count(F.lit(1)).alias("weight"))
+    counts = weights.join(link_counts(members, live, weights, num, den), "digest", "left")
+    counts = counts.select("digest", (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    counted = profiles.join(labels.join(counts, "digest"), "digest", "left").select(
+        "doc_id", "n_shingles", component_id, F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")
     )
-    return ShingleJoin(documents, links, profiles.select("doc_id", F.col("digest").alias("class")))
+    return ShingleJoin(documents, links, profiles.select("doc_id", F.col("digest").alias("class")), counted)

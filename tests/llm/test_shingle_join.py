@@ -11,7 +11,7 @@ from edge_rows import EDGE_ROWS
 from tariff_engine.llm import shingle_join as module
 from tariff_engine.llm.components import connected_components
 from tariff_engine.llm.count_rtree import CountTree, count_vector, points_of
-from tariff_engine.llm.shingle_join import candidates, shingle_join
+from tariff_engine.llm.shingle_join import candidates, link_counts, shingle_join
 from tariff_engine.llm.shingles import shingle_sets
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -147,3 +147,17 @@ def test_connected_components(spark):
     find = _components(nodes, [e for e in edges if e[0] != e[1]])
     assert found == {x: min(y for y in nodes if find(y) == find(x)) for x in nodes}
     assert connected_components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+@pytest.mark.parametrize("tile", [1024, 4])
+def test_number_of_links_counts_every_similar_pair(spark, monkeypatch, tile):
+    monkeypatch.setattr(link_counts, "__defaults__", (tile,))
+    monkeypatch.setattr(module, "COUNT_CELLS", 1 << 10)
+    rows = _near_copies(7, groups=5, copies=16) + EDGE_ROWS
+    sets = [_set(t) for _, t in rows]
+    expected = [
+        (i, len(s), sum(k != j and bool(s and o) and _linked(s, o) for j, o in enumerate(sets))) for k, ((i, _), s) in enumerate(zip(rows, sets))
+    ]
+    found = shingle_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).counted.collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in found), key=str) == sorted(expected, key=str)
+    assert max(n for *_, n in expected) > 8
