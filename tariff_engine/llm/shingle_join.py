@@ -120,7 +120,8 @@ def _deal(bits: int):
         wide_tokens, wide_counts = run[first[wide_run]], counts[wide_run].astype(np.uint32)
         wide_docs = docs[order][np.repeat(wide_run, counts)]  # by token
         digests = np.frombuffer(b"".join(_digest(s) for s in sets), dtype="<u8")
-        yield (1 << bits) + number % (1 << bits), number, 2, _pack(sizes, digests, wide_tokens, wide_counts, wide_docs)
+        # a key of its own, so that no group has more than one batch's
+        yield (1 << bits) + number, number, 2, _pack(sizes, digests, wide_tokens, wide_counts, wide_docs)
 
         buckets, tokens, docs = buckets[~wide], tokens[~wide], docs[~wide]
         by_bucket = np.argsort(buckets, kind="stable")  # documents stay in order

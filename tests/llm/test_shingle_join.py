@@ -161,3 +161,9 @@ def test_number_of_links_counts_every_similar_pair(spark, monkeypatch, tile):
     found = shingle_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).counted.collect()
     assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in found), key=str) == sorted(expected, key=str)
     assert max(n for *_, n in expected) > 8
+
+
+def test_batches_keep_their_own_rows_apart(spark):
+    texts = spark.createDataFrame([(" ".join(f"w{k}x{j}" for j in range(20)),) for k in range(24)], "text string").repartition(6)
+    dealt = texts.mapInArrow(module._deal(8), module._DEALT).where("kind = 2").select("key", "batch").collect()
+    assert len(dealt) > 1 and len({r.key for r in dealt}) == len({r.batch for r in dealt}) == len(dealt)
