@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from frames import rows
 from tariff_engine.functions import pricing as P
 from tariff_engine.functions.numeric import exact_average, round_half_away
 from tariff_engine.functions.text import contract_months, norm_postcode

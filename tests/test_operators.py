@@ -5,7 +5,7 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from tariff_engine.operators import quality as Q
 from tariff_engine.operators.band_join import band_join, expand_levels
 from tariff_engine.operators.ceiling_match import ceiling_levels, ceiling_match
