@@ -1,37 +1,50 @@
-"""Ranking of own offers inside a market segment (W4-W7) over pre-aggregated competitor costs.
+"""Ranking of own offers inside a market segment (W4-W7) without a task that holds a segment's competitors.
 
 The reference ranks every offer of a segment with ``RANK() OVER (PARTITION BY segment ORDER BY cost)``. A window over
-all offers puts a whole segment into one task, and one postcode may hold a third of all competitor quotes. Only own
-offers leave the analysis, and competitors are the same in every scenario, so
+all offers puts a whole segment into one task, and one segment may hold half of all competitor quotes, each with a cost
+of its own. Only own offers leave the analysis, and competitors are the same in every scenario, so
 
-* competitor offers are first counted per (segment, cost), with a map-side part: what reaches a segment is one row
-  per distinct cost, however many offers it has;
-* these rows and the own offers are sorted together once per segment. The running count of competitors up to an own
-  offer is the number of strictly cheaper ones (own offers sort before competitors of the same cost);
+* competitor offers are first counted per (segment, cost), with a map-side part;
+* costs fall into *range buckets* within their segment (:func:`cost_bucket`, about 0.1 % of the cost wide). Own offers and
+  competitor costs are sorted per (segment, bucket): the running count up to an own offer is the number of cheaper
+  competitors in its bucket (own offers sort before competitors of the same cost);
+* one row of totals per bucket and the own offers then meet per segment: a prefix sum over buckets gives the
+  competitors of all cheaper buckets, and the sums over all buckets give the segment's context. How many buckets
+  a segment has depends on the range of its costs (some thousand), not on its number of offers;
 * own offers of the same scenario are ranked among themselves.
 
-The rank is the sum of both, as in RANK; NULL costs sort last. The same rows carry the segment's context: the number
-of competitors, their average rate and cost over exact sums, and the cheapest.
+The rank is 1 + the cheaper ones of all three, as in RANK; NULL costs sort last. Sums are exact (``numeric.exact_parts``),
+so the context does not depend on the order in which buckets are added.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tariff_engine.functions.numeric import exact, safe_div
+from tariff_engine.functions.numeric import exact_parts, exact_total, safe_div
+
+#: Range buckets per natural-logarithm unit of the cost.
+BUCKETS_PER_E = 1000
+
+_SUMS = ["_n", "_n_rate", "_rate_whole", "_rate_fraction", "_n_cost", "_cost_whole", "_cost_fraction"]
+
+
+def cost_bucket(cost: Column) -> Column:
+    """The range bucket of a cost: never decreasing in it, the same for equal costs, and last of all for NULL."""
+    return F.coalesce(F.floor(F.signum(cost) * F.log1p(F.abs(cost)) * F.lit(float(BUCKETS_PER_E))), F.lit((1 << 63) - 1))
 
 
 def competitor_costs(competitors: DataFrame, segment: Sequence[str], cost: str, rate: str) -> DataFrame:
-    """Competitor offers per (segment, cost): how many, how many with a rate, and the exact sums of rates and costs."""
+    """Competitor offers per (segment, cost): how many, how many with a rate and a cost, and their exact sums."""
+    rate_whole, rate_fraction = exact_parts(F.col(rate))
+    cost_whole, cost_fraction = exact_parts(F.col(cost))
     return competitors.groupBy(*segment, cost).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.count(rate).alias("_n_rate"),
-        F.sum(exact(F.col(rate))).alias("_sum_rate"),
-        F.count(cost).alias("_n_cost"),
-        F.sum(exact(F.col(cost))).alias("_sum_cost"),
+        F.count(rate).alias("_n_rate"), F.sum(rate_whole).alias("_rate_whole"), F.sum(rate_fraction).alias("_rate_fraction"),
+        F.count(cost).alias("_n_cost"), F.sum(cost_whole).alias("_cost_whole"), F.sum(cost_fraction).alias("_cost_fraction"),
     )
 
 
@@ -42,20 +55,41 @@ def rank_own_offers(own: DataFrame, costs: DataFrame, segment: Sequence[str], sc
     ``min_competitor_cost``) is NULL where a segment has no competitor.
     """
     segment = list(segment)
-    together = own.withColumn("_own", F.lit(True)).unionByName(costs, allowMissingColumns=True)
+    together = own.withColumn("_own", F.lit(True)).unionByName(costs, allowMissingColumns=True).withColumn(
+        "_bucket", cost_bucket(F.col(cost)))
+    rival = F.col("_own").isNull()
+
+    bucket = Window.partitionBy(*segment, "_bucket")
+    upwards = bucket.orderBy(F.asc_nulls_last(cost), F.asc_nulls_last("_own"))
+    so_far = upwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = upwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    in_bucket = together.select(
+        "*",
+        F.coalesce(F.sum("_n").over(so_far), F.lit(0)).alias("_cheaper_near"),
+        *[F.sum(c).over(whole).alias(f"{c}_all") for c in _SUMS],
+        F.min(F.when(rival, F.col(cost))).over(whole).alias("_least"),
+        F.row_number().over(upwards).alias("_place"),
+    )
+    # from here on a bucket's competitors are the totals on its first row, own or not
+    first = F.col("_place") == 1
+    totals = in_bucket.where(F.col("_own") | first).select(
+        *own.columns, "_own", "_bucket", "_cheaper_near", F.when(first, F.col("_least")).alias("_least"),
+        *[F.when(first, F.col(f"{c}_all")).alias(c) for c in _SUMS])
+
     per_segment = Window.partitionBy(*segment)
-    upwards = per_segment.orderBy(F.asc_nulls_last(cost), F.asc_nulls_last("_own")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    whole = {name: F.sum(name).over(per_segment) for name in ("_n", "_n_rate", "_sum_rate", "_n_cost", "_sum_cost")}
-    counted = together.withColumns({
-        "_cheaper": F.coalesce(F.sum("_n").over(upwards), F.lit(0)),
-        "_competitors": F.coalesce(whole["_n"], F.lit(0)),
-        "avg_competitor_rate": safe_div(whole["_sum_rate"].cast("double"), whole["_n_rate"]),
-        "avg_competitor_cost": safe_div(whole["_sum_cost"].cast("double"), whole["_n_cost"]),
-        "min_competitor_cost": F.min(F.when(F.col("_own").isNull(), F.col(cost))).over(per_segment),
-    }).where("_own").drop("_own", "_n", "_n_rate", "_sum_rate", "_n_cost", "_sum_cost")
+    before = per_segment.orderBy("_bucket").rangeBetween(Window.unboundedPreceding, -1)
+    in_segment = {c: F.sum(c).over(per_segment) for c in _SUMS}
+    counted = totals.select(
+        *own.columns, "_own",
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.col("_cheaper_near")).alias("_cheaper"),
+        F.coalesce(in_segment["_n"], F.lit(0)).alias("_competitors"),
+        safe_div(exact_total(in_segment["_rate_whole"], in_segment["_rate_fraction"]), in_segment["_n_rate"]).alias("avg_competitor_rate"),
+        safe_div(exact_total(in_segment["_cost_whole"], in_segment["_cost_fraction"]), in_segment["_n_cost"]).alias("avg_competitor_cost"),
+        F.min("_least").over(per_segment).alias("min_competitor_cost"),
+    ).where("_own")
     by_scenario = Window.partitionBy(*segment, scenario)
-    return counted.withColumns({
-        "offer_rank": (F.rank().over(by_scenario.orderBy(F.asc_nulls_last(cost))) + F.col("_cheaper")).cast("long"),
-        "offers_in_segment": (F.count(F.lit(1)).over(by_scenario) + F.col("_competitors")).cast("long"),
-    }).drop("_cheaper", "_competitors")
+    return counted.select(
+        *own.columns, "avg_competitor_rate", "avg_competitor_cost", "min_competitor_cost",
+        (F.rank().over(by_scenario.orderBy(F.asc_nulls_last(cost))) + F.col("_cheaper")).cast("long").alias("offer_rank"),
+        (F.count(F.lit(1)).over(by_scenario) + F.col("_competitors")).cast("long").alias("offers_in_segment"),
+    )

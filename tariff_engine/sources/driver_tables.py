@@ -1,6 +1,7 @@
 """Map the benchmark's TPC-H style tables onto the pricing inputs.
 
-* cost bands  <- the postcodes of ``customer``, each with the same bands of both energy types
+* cost bands  <- the postcodes of ``customer``, each with the same bands of both energy types, and for each
+  customer one of these bands again (a copy, as regional publications overlap)
 * competitor quotes <- one row per ``lineitem``
 * products    <- three inline catalogue rows
 
@@ -38,6 +39,12 @@ PRODUCT_ROWS = [
     ("P3", "Volt 24", ELECTRICITY, 2.5, 40.0, 0.19, 9.5, 24, 24),
 ]
 
+TABLE_COLUMNS = {
+    "customer": "c_custkey bigint",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_tax double",
+}
+
 # Raw bands that every postcode publishes for each energy type.
 BANDS_PER_POSTCODE = 25
 
@@ -66,7 +73,8 @@ class PricingInputs:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The table's columns that the mapping reads; with their types given, building a query opens no file."""
+    return spark.read.schema(TABLE_COLUMNS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _postcode(bucket):
@@ -78,17 +86,20 @@ def _town(bucket):
 
 
 def cost_bands_from_customers(customer: DataFrame, dirty: bool = False) -> DataFrame:
-    """The raw cost bands of every postcode that has a customer (raw layout).
+    """The raw cost bands of every postcode that has a customer, and a copy of one band for each customer (raw layout).
 
-    Postcodes are made distinct first (map-side, then one small shuffle); their bands come from a literal range.
+    Postcodes are made distinct first (map-side, then one small shuffle); their bands come from a literal range. The
+    copies are a projection of the customers, so raw bands grow with them.
     """
-    postcodes = customer.select((F.col("c_custkey") % F.lit(POSTCODE_BUCKETS)).alias("k")).distinct()
+    postcode = (F.col("c_custkey") % F.lit(POSTCODE_BUCKETS)).alias("k")
+    postcodes = customer.select(postcode).distinct()
     energies = F.array(*[
         F.struct(F.lit(name).alias("energy_type"), F.lit(width).alias("width"))
         for name, width in BAND_WIDTH.items()
     ])
-    grid = postcodes.select("k", F.explode(F.sequence(F.lit(0), F.lit(BANDS_PER_POSTCODE - 1))).alias("n")).select(
-        "k", "n", F.inline(energies))
+    grid = postcodes.select("k", F.explode(F.sequence(F.lit(0), F.lit(BANDS_PER_POSTCODE - 1))).alias("n"))
+    copies = customer.select(postcode, F.expr(f"cast(c_custkey div {POSTCODE_BUCKETS} % {BANDS_PER_POSTCODE} as int)").alias("n"))
+    grid = grid.unionByName(copies).select("k", "n", F.inline(energies))
     spoil = lambda condition, bad, good: F.when(F.expr(condition), bad).otherwise(good) if dirty else good
     k, n, w = F.col("k"), F.col("n"), F.col("width")
     return grid.select(

@@ -22,20 +22,6 @@ MANY_SPLITS = {
 }
 
 
-@pytest.fixture
-def settings(spark):
-    before = {}
-
-    def use(values):
-        for key, value in values.items():
-            before.setdefault(key, spark.conf.get(key, None))
-            spark.conf.set(key, value)
-
-    yield use
-    for key, value in before.items():
-        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def _final_plan(spark, df):
     """The executed plan with its details, without the plan that adaptive execution started from."""
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
