@@ -2,9 +2,8 @@
 
 Two forms with the same result:
 
-* :func:`band_join` joins two DataFrames on equality keys plus the range
-  condition. Keeping the equality keys lets Spark plan a hash or sort-merge
-  join with a residual filter instead of a nested loop.
+* :func:`band_join` joins two DataFrames on equality keys plus the range condition, by range bins, so that one
+  key with most of the bands and points is spread over as many tasks as its range has bins.
 * :func:`expand_levels` handles the common case where the points are the
   handful of configured reference levels: each band filters the level array
   of its energy type and explodes it. No join and no shuffle at all.
@@ -20,17 +19,40 @@ from pyspark.sql import functions as F
 from tariff_engine.params import DEFAULT_PARAMS, PricingParams
 
 
+#: Width of the narrowest bins, and by how much the bins of a level are wider than those of the level before.
+BIN_WIDTH = 64
+BIN_FACTOR = 64
+#: Levels of bins: bins of the last one are wider than the range of an int.
+BIN_LEVELS = 6
+
+
+def _bin(value: Column, level: Column) -> Column:
+    return F.floor(value / F.pow(F.lit(float(BIN_FACTOR)), level) / F.lit(float(BIN_WIDTH)))
+
+
 def band_join(points: DataFrame, bands: DataFrame, keys: Sequence[str], point: str, lo: str, hi: str) -> DataFrame:
-    """Inner join of points to bands on ``keys`` with ``lo <= point <= hi``.
+    """Inner join of points to bands on ``keys`` with ``lo <= point <= hi`` (whole numbers).
+
+    A point in a gap is dropped; a point in two overlapping bands yields two rows. NULL keys, points and edges match nothing.
 
-    A point in a gap is dropped; a point in two overlapping bands yields two rows.
+    A band is repeated for each bin that it meets, on the level whose bins are at least a 64th of its width, so some 66
+    times at most; a point has one bin on each level. A band is on one level, so a point and a band meet at most once.
     """
-    p, b = points.alias("p"), bands.alias("b")
+    width = F.col(hi).cast("long") - F.col(lo).cast("long") + 1
+    exponent = F.ceil(F.log(width / F.lit(float(BIN_WIDTH))) / F.log(F.lit(float(BIN_FACTOR)))) - 1
+    level = F.least(F.greatest(F.lit(0), exponent), F.lit(BIN_LEVELS - 1)).cast("int")
+    binned_bands = (
+        bands.where(F.col(lo) <= F.col(hi)).withColumn("_level", level)
+        .withColumn("_bin", F.explode(F.sequence(_bin(F.col(lo), F.col("_level")), _bin(F.col(hi), F.col("_level")))))
+    )
+    binned_points = points.where(F.col(point).isNotNull()).withColumn(
+        "_level", F.explode(F.sequence(F.lit(0), F.lit(BIN_LEVELS - 1)))).withColumn("_bin", _bin(F.col(point), F.col("_level")))
     cond = [F.col(f"p.{k}") == F.col(f"b.{k}") for k in keys]
+    cond += [F.col(f"p.{c}") == F.col(f"b.{c}") for c in ("_level", "_bin")]
     cond.append(F.col(f"p.{point}").between(F.col(f"b.{lo}"), F.col(f"b.{hi}")))
     out = [F.col(f"p.{c}") for c in points.columns]
     out += [F.col(f"b.{c}") for c in bands.columns if c not in keys]
-    return p.join(b, cond, "inner").select(*out)
+    return binned_points.alias("p").join(binned_bands.alias("b"), cond, "inner").select(*out)
 
 
 def _levels_by_energy(params: PricingParams) -> Column:
