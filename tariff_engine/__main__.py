@@ -42,6 +42,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--quotes", help="competitor quotes file (with --bands)")
     ap.add_argument("--out", required=True, help="shared output folder for marts and exports")
     ap.add_argument("--vars", default="{}", help="JSON object of parameter overrides")
+    ap.add_argument("--views", metavar="PREFIX", help="let the catalog views PREFIX + mart name read the new marts")
     ap.add_argument("--no-csv", action="store_true", help="write the parquet marts only")
     ap.add_argument("--csv-mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"],
                     help="what malformed CSV numbers do: fail the run, or become NULL and reach the quality report")
@@ -57,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("--bands needs --products and --quotes")
         inputs = PricingInputs(*(read(spark, path, mode=args.csv_mode) for read, path in (
             (read_cost_bands, args.bands), (read_products, args.products), (read_quotes, args.quotes))))
-    paths = build_marts(spark, inputs, args.out, params, export_csv=not args.no_csv)
+    paths = build_marts(spark, inputs, args.out, params, export_csv=not args.no_csv, view_prefix=args.views)
     print(json.dumps(paths, indent=2))
     return 0
 

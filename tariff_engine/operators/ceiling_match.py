@@ -54,14 +54,17 @@ def ceiling_levels(quotes: DataFrame, points: DataFrame, keys: Sequence[str], en
 
 
 def ceiling_match(quotes: DataFrame, points: DataFrame, keys: Sequence[str], entity: Sequence[str],
-                  quote_level: str, point_level: str) -> DataFrame:
+                  quote_level: str, point_level: str, copies: bool = True) -> DataFrame:
     """All distinct quotes at each (point, entity)'s ceiling level, with the point's columns.
 
-    ``quotes`` and ``points`` may share only the ``keys`` column names; ``quotes`` may hold copies.
+    ``quotes`` and ``points`` may share only the ``keys`` column names. ``copies`` says whether ``quotes`` may hold copies;
+    without them no dedupe is planned. Quotes stored in buckets of the keys, the entity and the level
+    (``sinks.write_bucketed``) join in place, without an exchange.
     """
     keys, entity = list(keys), list(entity)
     served = ceiling_levels(quotes, points, keys, entity, quote_level, point_level)
     own = [c for c in points.columns if c not in keys]
     joined = _matchable(quotes, keys + entity + [quote_level]).join(
         served.withColumnRenamed(MATCHED_LEVEL, quote_level), keys + entity + [quote_level])
-    return joined.select(*quotes.columns, *own).dropDuplicates().withColumn(MATCHED_LEVEL, F.col(quote_level))
+    matched = joined.select(*quotes.columns, *own, F.col(quote_level).alias(MATCHED_LEVEL))
+    return matched.dropDuplicates() if copies else matched

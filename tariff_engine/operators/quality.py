@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,42 @@ def check_not_null(df: DataFrame, columns: Sequence[str], model: str) -> DataFra
     )
 
 
+class WriteChecks:
+    """Not-null and accepted-value counts that are collected while models are written, in the write's own pass.
+
+    Wrap each model in :meth:`watch` right before it is written: the counts are metrics of the write, without a scan of
+    their own. NULLs and unaccepted rows are counted exactly. How many *different* unaccepted values there are is not
+    a bounded metric, so :meth:`unaccepted` says which columns have any; only these need :func:`check_accepted_values`.
+    """
+
+    def __init__(self, not_null: Mapping[str, Sequence[str]], accepted: Mapping[str, Sequence[tuple[str, Sequence]]]) -> None:
+        self._not_null, self._accepted = not_null, accepted
+        self._seen: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, model: str) -> DataFrame:
+        metrics = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in self._not_null.get(model, ())]
+        metrics += [F.count_if(~F.col(c).isin(list(values))).alias(f"bad_{c}") for c, values in self._accepted.get(model, ())]
+        if not metrics:
+            return df
+        self._seen[model] = Observation()
+        return df.observe(self._seen[model], *metrics)
+
+    @property
+    def models(self) -> list[str]:
+        """The models that were written."""
+        return list(self._seen)
+
+    def nulls(self, model: str) -> list[tuple[str, int]]:
+        """(column, NULL rows) of a written model."""
+        found = self._seen[model].get
+        return [(c, found[f"null_{c}"]) for c in self._not_null.get(model, ())]
+
+    def unaccepted(self, model: str) -> list[tuple[str, int]]:
+        """(column, rows outside the accepted set) of a written model."""
+        found = self._seen[model].get
+        return [(c, found[f"bad_{c}"]) for c, _ in self._accepted.get(model, ())]
+
+
 def check_unique(df: DataFrame, column: str, model: str) -> DataFrame:
     """(model, column_name, value, occurrences) for non-NULL values seen more than once."""
     return (

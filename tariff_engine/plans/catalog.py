@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariff_engine import oracle
+from tariff_engine.functions.pricing import break_even_kwh
 from tariff_engine.functions.text import contract_months, norm_postcode
 from tariff_engine.operators.band_join import band_join, expand_levels
-from tariff_engine.params import DEFAULT_PARAMS, PricingParams
-from tariff_engine.plans import market
+from tariff_engine.params import DEFAULT_PARAMS, GAS, PricingParams
+from tariff_engine.plans import market, through_files
 from tariff_engine.plans import quality_suite as QS
 from tariff_engine.plans.model import PricingModel
 from tariff_engine.plans.price_list import price_list_export
+from tariff_engine.plans.summary import heatmap_for
 
 # Parameter sets used by the catalog (besides the defaults).
 OVERRIDE_PARAMS = DEFAULT_PARAMS.replace(
@@ -47,12 +49,20 @@ class CatalogQuery:
     sql: str | None
     params: PricingParams = DEFAULT_PARAMS
     dirty: bool = False
+    #: A second set of parameters for whose model `sql_too` is added to the rows.
+    params_too: PricingParams | None = None
+    sql_too: str = ""
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         return self.build(PricingModel.from_tables(spark, sf_dir, self.params, self.dirty))
 
     def oracle(self) -> str | None:
-        return None if self.sql is None else oracle.with_model(self.sql, self.params, self.dirty)
+        if self.sql is None:
+            return None
+        first = oracle.with_model(self.sql, self.params, self.dirty)
+        if self.params_too is None:
+            return first
+        return f"SELECT * FROM ({first}) UNION ALL SELECT * FROM ({oracle.with_model(self.sql_too, self.params_too, self.dirty)})"
 
 
 def _cols(cols):
@@ -100,7 +110,7 @@ def _band_join_quotes(m: PricingModel) -> DataFrame:
 
 
 def _ranked(m: PricingModel) -> DataFrame:
-    return market.ranked_own_offers(m.components, m.market_quotes, m.params)
+    return market.ranked_own_offers(m.components, m.market_quotes, m.points, m.params)
 
 
 def _offer_rank(m: PricingModel) -> DataFrame:
@@ -126,13 +136,44 @@ def _delta_vs_baseline(m: PricingModel) -> DataFrame:
 
 
 def _quote_annual_cost(m: PricingModel) -> DataFrame:
-    return market.competitors_at_levels(m.market_quotes, m.components).select(*QUOTE_COST_COLUMNS)
+    return market.competitors_at_levels(m.market_quotes, m.points).select(*QUOTE_COST_COLUMNS)
+
+
+def _stored_quote_costs(m: PricingModel) -> DataFrame:
+    return through_files.stored_quote_costs(m).select(*QUOTE_COST_COLUMNS)
+
+
+def _standard_offers(m: PricingModel) -> DataFrame:
+    return market.own_offers(m.components, m.params, m.params.baseline_scenario)
+
+
+def _one_heatmap(m: PricingModel) -> DataFrame:
+    return heatmap_for(m.heatmap_matrix(), GAS, m.params.baseline_scenario)
+
+
+def _break_even(m: PricingModel) -> DataFrame:
+    """Every two own products of a postcode and level: the consumption at which they cost the same."""
+    offer = lambda side: m.components.select(
+        *BREAK_EVEN_KEY, F.col("product_code").alias(f"product_{side}"),
+        (F.col("gross_standing_charge_eur_per_month") * F.lit(12.0)).alias(f"standing_{side}"),
+        F.col("signup_bonus_eur").alias(f"bonus_{side}"), (F.col("gross_unit_rate_eur_per_kwh") * F.lit(100.0)).alias(f"rate_{side}"))
+    pairs = offer("a").join(offer("b"), BREAK_EVEN_KEY).where("product_a < product_b")
+    even = break_even_kwh(*[F.col(f"{c}_{side}") for side in "ab" for c in ("standing", "bonus", "rate")])
+    return pairs.select(*BREAK_EVEN_KEY, "product_a", "product_b", even.alias("break_even_kwh"))
+
+
+def _dq_margin_floor(m: PricingModel) -> DataFrame:
+    """The report over two sets of components: the default margins, and margins below cost."""
+    negative = PricingModel(m.inputs, NEGATIVE_MARGIN_PARAMS)
+    return QS.margin_floor_report({
+        "price_components": m.components, "price_components.negative_margin": negative.components})
 
 
 def _all_offers(m: PricingModel) -> DataFrame:
-    return market.all_offers(m.components, m.market_quotes, m.params)
+    return market.all_offers(m.components, m.market_quotes, m.points, m.params)
 
 
+BREAK_EVEN_KEY = ["scenario", "energy_type", "postcode", "consumption_level_kwh", "consumption_label"]
 QUOTE_COST_COLUMNS = [
     "energy_type", "postcode", "consumption_level_kwh", "consumption_label", "contract_length_months", "provider",
     "product_name", "location_name", "quoted_level_kwh", "unit_rate_ct_per_kwh", "standing_charge_eur_per_year",
@@ -204,8 +245,8 @@ def _margin_floor_sql(model: str) -> str:
 def _build_catalog() -> dict[str, CatalogQuery]:
     q: dict[str, CatalogQuery] = {}
 
-    def add(name, build, sql, params=DEFAULT_PARAMS, dirty=False):
-        q[name] = CatalogQuery(name, build, sql, params, dirty)
+    def add(name, build, sql, params=DEFAULT_PARAMS, dirty=False, **too):
+        q[name] = CatalogQuery(name, build, sql, params, dirty, **too)
 
     add("cost_band_collapse", lambda m: m.cost_bands, "SELECT * FROM bands")
     add("quote_staging", lambda m: m.quotes, "SELECT * FROM quotes")
@@ -250,7 +291,7 @@ def _build_catalog() -> dict[str, CatalogQuery]:
     add("segment_points", lambda m: market.segment_points(m.components),
         "SELECT DISTINCT scenario, energy_type, postcode, consumption_level_kwh, contract_length_months, "
         "consumption_label FROM components")
-    add("ceiling_match", lambda m: market.ceiling_matches(m.market_quotes, m.components), "SELECT * FROM ceiling")
+    add("ceiling_match", lambda m: market.ceiling_matches(m.market_quotes, m.points), "SELECT * FROM ceiling")
     add("quote_annual_cost", _quote_annual_cost, f"SELECT {_cols(QUOTE_COST_COLUMNS)} FROM rivals")
     add("all_offers", _all_offers, "SELECT * FROM offers")
     add("offer_rank", _offer_rank, OWN_RANK_SQL)
@@ -273,8 +314,28 @@ def _build_catalog() -> dict[str, CatalogQuery]:
     add("dq_unique", lambda m: QS.unique_report(QS.model_frames(m)), _unique_sql(), dirty=True)
     add("dq_unique_combo", lambda m: QS.unique_combo_report(QS.model_frames(m)), _unique_combo_sql(), dirty=True)
     add("dq_accepted_values", lambda m: QS.accepted_values_report(QS.model_frames(m)), _accepted_sql(), dirty=True)
-    add("dq_margin_floor", lambda m: QS.margin_floor_report({"price_components": m.components}),
-        _margin_floor_sql("price_components"), dirty=True)
+    add("dq_margin_floor", _dq_margin_floor, _margin_floor_sql("price_components"), dirty=True,
+        params_too=NEGATIVE_MARGIN_PARAMS, sql_too=_margin_floor_sql("price_components.negative_margin"))
+    add("dq_write_pass", through_files.write_pass_quality,
+        f"SELECT * FROM ({_not_null_sql()}) UNION ALL SELECT * FROM ({_accepted_sql()})", dirty=True)
+    add("standard_offers", _standard_offers,
+        f"SELECT {_cols(market.OFFER_COLUMNS)} FROM offers WHERE is_own AND scenario = '{DEFAULT_PARAMS.baseline_scenario}'")
+    add("one_heatmap", _one_heatmap,
+        f"SELECT * EXCLUDE (energy_type, scenario) FROM ({q['heatmap_matrix'].sql}) "
+        f"WHERE energy_type = '{GAS}' AND scenario = '{DEFAULT_PARAMS.baseline_scenario}'")
+    add("break_even", _break_even,
+        f"SELECT {_cols(f'a.{c}' for c in BREAK_EVEN_KEY)}, a.product_code AS product_a, b.product_code AS product_b, "
+        "(a.gross_standing_charge_eur_per_month * 12 - b.gross_standing_charge_eur_per_month * 12 + b.signup_bonus_eur "
+        "- a.signup_bonus_eur) / NULLIF((b.gross_unit_rate_eur_per_kwh * 100 - a.gross_unit_rate_eur_per_kwh * 100) / 100, 0) "
+        f"AS break_even_kwh FROM components a JOIN components b USING ({_cols(BREAK_EVEN_KEY)}) WHERE a.product_code < b.product_code")
+    add("market_by_sql", through_files.market_by_sql, through_files.MARKET_BY_SQL)
+    add("analysis_from_csv", through_files.analysis_from_csv, "SELECT * FROM market_analysis")
+    add("quote_quarantine", through_files.quarantine_counts, through_files.QUARANTINE_SQL)
+    add("stored_quote_costs", _stored_quote_costs, f"SELECT {_cols(QUOTE_COST_COLUMNS)} FROM rivals")
+    add("price_list_file", through_files.price_list_file, q["price_list_export"].sql)
+    add("analysis_file", through_files.analysis_file, "SELECT * FROM market_analysis")
+    add("summary_file", through_files.summary_file, "SELECT * FROM performance_summary")
+    add("summary_from_views", through_files.summary_from_views, "SELECT * FROM performance_summary")
     return q
 
 

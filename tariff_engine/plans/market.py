@@ -2,8 +2,9 @@
 
 Competitor quotes do not depend on the margin scenario, so the ceiling match,
 the competitor costs and the segment profile are computed once, scenario-free,
-and only the (small) own-offer side carries the scenario. See
-``operators.ranking`` for how ranks are counted without a segment window.
+and only the (small) own-offer side carries the scenario. The points that
+competitors are matched to come from bands and products, not from the
+components. See ``operators.ranking`` for how ranks are counted.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tariff_engine.functions import pricing as P
 from tariff_engine.functions.numeric import round_half_away as rnd
+from tariff_engine.operators.band_join import expand_levels
 from tariff_engine.operators.ceiling_match import MATCHED_LEVEL, ceiling_levels, ceiling_match
 from tariff_engine.operators.ranking import competitor_costs, rank_own_offers
 from tariff_engine.operators.staging import with_monthly_standing
@@ -69,6 +71,16 @@ def segment_points(components: DataFrame) -> DataFrame:
     return components.select("scenario", *POINT).distinct()
 
 
+def market_points(bands: DataFrame, products: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
+    """Distinct segment points of every scenario, from the bands and the contract lengths that are sold.
+
+    The same points as those of the components, but without prices, scenarios and submission bands.
+    """
+    levels = expand_levels(bands, params).select("energy_type", "postcode", "consumption_level_kwh", "consumption_label").distinct()
+    sold = products.select("energy_type", "contract_length_months").distinct()
+    return levels.join(sold, "energy_type").select(*POINT)
+
+
 # ---- competitor side -----------------------------------------------------------------------
 
 def relevant_quotes(quotes: DataFrame) -> DataFrame:
@@ -76,9 +88,8 @@ def relevant_quotes(quotes: DataFrame) -> DataFrame:
     return quotes.withColumnRenamed("consumption_level_kwh", QUOTED_LEVEL)
 
 
-def ceiling_matches(quotes: DataFrame, components: DataFrame) -> DataFrame:
+def ceiling_matches(quotes: DataFrame, points: DataFrame) -> DataFrame:
     """(point, provider, product) -> smallest quoted level >= the reference level."""
-    points = components.select(*POINT).distinct()
     return ceiling_levels(relevant_quotes(quotes), points, MATCH_KEYS, ENTITY, QUOTED_LEVEL, "consumption_level_kwh")
 
 
@@ -89,23 +100,24 @@ def competitor_offers(matched_quotes: DataFrame) -> DataFrame:
         F.col("signup_bonus_eur")))
 
 
-def competitors_at_levels(quotes: DataFrame, components: DataFrame) -> DataFrame:
+def competitors_at_levels(quotes: DataFrame, points: DataFrame, copies: bool = True) -> DataFrame:
     """Every distinct quote at its ceiling level for every point, with its annual cost.
 
-    ``quotes`` are typed base columns and may hold copies.
+    ``quotes`` are typed base columns; ``copies`` says whether they may hold copies.
     """
-    points = components.select(*POINT).distinct()
-    matched = ceiling_match(relevant_quotes(quotes), points, MATCH_KEYS, ENTITY, QUOTED_LEVEL, "consumption_level_kwh")
+    matched = ceiling_match(
+        relevant_quotes(quotes), points, MATCH_KEYS, ENTITY, QUOTED_LEVEL, "consumption_level_kwh", copies)
     return competitor_offers(with_monthly_standing(matched.drop(MATCHED_LEVEL)))
 
 
-def all_offers(components: DataFrame, quotes: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
+def all_offers(components: DataFrame, quotes: DataFrame, points: DataFrame,
+               params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
     """Own and competitor offers per scenario in one table.
 
     Competitor rows repeat once per scenario, as the scenario-keyed ranking
     needs; the analysis itself never materialises this union.
     """
-    comp = competitors_at_levels(quotes, components)
+    comp = competitors_at_levels(quotes, points)
     scenarios = F.array(*[F.struct(F.lit(n).alias("scenario")) for n, _, _ in params.scenarios()])
     comp_rows = comp.select(
         F.inline(scenarios),
@@ -124,9 +136,10 @@ def all_offers(components: DataFrame, quotes: DataFrame, params: PricingParams =
 
 # ---- ranking -------------------------------------------------------------------------------
 
-def ranked_own_offers(components: DataFrame, quotes: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
+def ranked_own_offers(components: DataFrame, quotes: DataFrame, points: DataFrame,
+                      params: PricingParams = DEFAULT_PARAMS, copies: bool = True) -> DataFrame:
     """Own offers with rank, segment size and the competitor context of their segment (W4, W5, W7 inputs)."""
-    costs = competitor_costs(competitors_at_levels(quotes, components), SEGMENT, COST, "unit_rate_ct_per_kwh")
+    costs = competitor_costs(competitors_at_levels(quotes, points, copies), SEGMENT, COST, "unit_rate_ct_per_kwh")
     return rank_own_offers(own_offers(components, params), costs, SEGMENT, "scenario", COST)
 
 
@@ -174,9 +187,10 @@ def with_delta_vs_baseline(ranked: DataFrame, params: PricingParams = DEFAULT_PA
             .drop("_baseline_ranks", "_baseline_rank"))
 
 
-def market_analysis(components: DataFrame, quotes: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:
+def market_analysis(components: DataFrame, quotes: DataFrame, points: DataFrame,
+                    params: PricingParams = DEFAULT_PARAMS, copies: bool = True) -> DataFrame:
     """One row per own offer and scenario with its market position."""
-    ranked = ranked_own_offers(components, quotes, params)
+    ranked = ranked_own_offers(components, quotes, points, params, copies)
     full = with_delta_vs_baseline(with_market_context(with_rank_metrics(ranked, params)), params)
     return full.select(
         "scenario",
@@ -196,4 +210,6 @@ def market_analysis(components: DataFrame, quotes: DataFrame, params: PricingPar
     )
 
 
+#: The order of the mart's rows, and that of its export.
+ANALYSIS_ORDER = ["energy_type", "postcode", "consumption_level_kwh", "scenario"]
 EXPORT_ORDER = ["energy_type", "product", "postcode", "consumption_level_kwh", "scenario"]

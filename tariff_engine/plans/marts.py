@@ -1,55 +1,70 @@
 """Run the whole model: staging -> components -> marts -> exports -> data-quality report.
 
-Marts are written as parquet tables and the roll-ups read the written
-market-analysis table back, so their lineage starts at a file in the shared
-output folder (nothing is kept on one machine, and a lost executor only
-costs the tasks of the current stage).
+Every run writes to a folder of its own: the staged inputs and the components first, then the marts, each read
+back by the steps after it, so that lineage starts at files in the shared output folder (nothing is kept on one machine,
+and a lost executor only costs the tasks of the current stage). The not-null and accepted-values checks
+are metrics of these writes. When all is written, the marts' views are switched to the new folder; a run that
+fails leaves them where they were.
 """
 
 from __future__ import annotations
 
-import os
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tariff_engine import sinks
+from tariff_engine.operators.quality import WriteChecks
 from tariff_engine.params import DEFAULT_PARAMS, PricingParams
 from tariff_engine.plans import quality_suite as QS
+from tariff_engine.plans.market import ANALYSIS_ORDER
 from tariff_engine.plans.model import PricingModel
+from tariff_engine.plans.price_list import PRICE_LIST_ORDER
+from tariff_engine.plans.summary import HEATMAP_KEYS, SUMMARY_ORDER
 from tariff_engine.sources.driver_tables import PricingInputs
 
+MARTS = ["price_list", "market_analysis", "performance_summary", "heatmap_matrix", "quality_report"]
 
-def build_marts(spark: SparkSession, inputs: PricingInputs, out_dir: str,
-                 params: PricingParams = DEFAULT_PARAMS, export_csv: bool = True) -> dict[str, str]:
-    """Build every mart under ``out_dir`` (a shared, cluster-visible path) and return their paths."""
-    model = PricingModel(inputs, params)
-    path = {name: os.path.join(out_dir, name) for name in (
-        "price_components", "price_list", "market_analysis", "performance_summary", "heatmap_matrix", "quality_report",
-        "exports/price_lists", "exports/market_analysis_scenarios", "exports/market_performance_summary")}
 
-    sinks.write_mart(model.price_list, path["price_list"])
-    sinks.write_mart(model.market_analysis, path["market_analysis"], partition_by=["energy_type", "scenario"])
+def build_marts(spark: SparkSession, inputs: PricingInputs, out_dir: str, params: PricingParams = DEFAULT_PARAMS,
+                export_csv: bool = True, view_prefix: str | None = None) -> dict[str, str]:
+    """Build every mart in a new version under ``out_dir`` (a shared, cluster-visible path) and return their paths.
 
-    analysis = spark.read.parquet(path["market_analysis"])
-    sinks.write_mart(model.performance_summary(analysis), path["performance_summary"])
-    sinks.write_mart(model.heatmap_matrix(analysis), path["heatmap_matrix"])
+    With a ``view_prefix`` (which may be empty), the views of the marts, named so, then read the new version.
+    """
+    root = sinks.new_version(out_dir)
+    checks = WriteChecks(QS.NOT_NULL, QS.ACCEPTED)
+    path: dict[str, str] = {}
 
-    # the quality suite reads the components many times
-    sinks.write_mart(model.components, path["price_components"])
-    frames = QS.model_frames(model, spark.read.parquet(path["price_components"]))
-    frames["market_analysis"] = analysis
-    frames["price_list"] = spark.read.parquet(path["price_list"])
-    frames["performance_summary"] = spark.read.parquet(path["performance_summary"])
+    def write(name: str, df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+        path[name] = sinks.write_mart(df, f"{root}/{name}", order_by or [], lambda out: checks.watch(out, name))
+        return spark.read.schema(df.schema).parquet(path[name])
+
+    raw = PricingModel(inputs, params)
+    staged = {name: write(name, getattr(raw, name)) for name in ("cost_bands", "products", "quotes")}
+    model = PricingModel(inputs, params, staged)
+
+    price_list = write("price_list", model.price_list, PRICE_LIST_ORDER)
+    analysis = write("market_analysis", model.market_analysis, ANALYSIS_ORDER)
+    summary = write("performance_summary", model.performance_summary(analysis), SUMMARY_ORDER)
+    write("heatmap_matrix", model.heatmap_matrix(analysis), HEATMAP_KEYS)
+    components = write("price_components", model.components)
+
+    frames = QS.model_frames(model, components, analysis)
+    frames |= {"price_list": price_list, "performance_summary": summary}
     report: DataFrame = reduce(DataFrame.unionByName, [
-        QS.not_null_report(frames), QS.unique_report(frames), QS.unique_combo_report(frames),
-        QS.accepted_values_report(frames), QS.margin_floor_report({"price_components": frames["price_components"]}),
+        QS.write_pass_report(spark, checks, frames), QS.unique_report(frames), QS.unique_combo_report(frames),
+        QS.margin_floor_report({"price_components": components}),
     ])
-    sinks.write_mart(report, path["quality_report"])
+    write("quality_report", report)
 
     if export_csv:
-        sinks.export_price_list(frames["price_list"], path["exports/price_lists"])
-        sinks.export_market_analysis(analysis, path["exports/market_analysis_scenarios"])
-        sinks.export_summary(frames["performance_summary"], path["exports/market_performance_summary"])
+        path["exports/price_lists"] = sinks.export_price_list(price_list, f"{root}/exports/price_lists")
+        path["exports/market_analysis_scenarios"] = sinks.export_market_analysis(
+            analysis, f"{root}/exports/market_analysis_scenarios")
+        path["exports/market_performance_summary"] = sinks.export_summary(
+            summary, f"{root}/exports/market_performance_summary")
 
+    if view_prefix is not None:
+        sinks.publish(spark, {view_prefix + name: path[name] for name in MARTS})
     return path

@@ -8,11 +8,12 @@ the query catalog picks single frames out of the model.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tariff_engine.operators.staging import project_quotes, stage_cost_bands, stage_products, stage_quotes
+from tariff_engine.operators.staging import QUOTE_BASE_COLUMNS, project_quotes, stage_cost_bands, stage_products, stage_quotes
 from tariff_engine.params import DEFAULT_PARAMS, PricingParams
 from tariff_engine.plans import market
 from tariff_engine.plans.components import COMPONENT_COLUMNS, price_components_with_bands
@@ -23,9 +24,12 @@ from tariff_engine.sources.lookups import consumption_levels, margin_scenarios
 
 
 class PricingModel:
-    def __init__(self, inputs: PricingInputs, params: PricingParams = DEFAULT_PARAMS):
+    def __init__(self, inputs: PricingInputs, params: PricingParams = DEFAULT_PARAMS,
+                 staged: Mapping[str, DataFrame] | None = None):
+        """``staged`` holds frames that are read instead of derived: ``cost_bands``, ``products`` or ``quotes``, as staged."""
         self.inputs = inputs
         self.params = params
+        self.staged = dict(staged or {})
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, params: PricingParams = DEFAULT_PARAMS,
@@ -35,24 +39,44 @@ class PricingModel:
     # staging
     @cached_property
     def cost_bands(self) -> DataFrame:
+        if "cost_bands" in self.staged:
+            return self.staged["cost_bands"]
         return stage_cost_bands(self.inputs.cost_bands, self.params)
 
     @cached_property
     def products(self) -> DataFrame:
+        if "products" in self.staged:
+            return self.staged["products"]
         return stage_products(self.inputs.products)
 
     @cached_property
     def quotes(self) -> DataFrame:
+        if "quotes" in self.staged:
+            return self.staged["quotes"]
         return stage_quotes(self.inputs.quotes, self.params)
 
     @cached_property
     def market_quotes(self) -> DataFrame:
-        """Typed quotes, copies included, for the contract lengths we sell (the market analysis needs no others).
+        """Typed quotes for the contract lengths we sell (the market analysis needs no others).
 
-        The ceiling match removes copies after it has dropped the quotes that serve no point.
+        Copies are included unless the quotes come staged: the ceiling match removes them after it has dropped the
+        quotes that serve no point.
         """
         sold = self.products.select("contract_length_months").distinct()
-        return project_quotes(self.inputs.quotes, self.params).join(sold, "contract_length_months", "left_semi")
+        if "quotes" in self.staged:
+            typed = self.quotes.select(*QUOTE_BASE_COLUMNS)
+        else:
+            typed = project_quotes(self.inputs.quotes, self.params)
+        return typed.join(sold, "contract_length_months", "left_semi")
+
+    @property
+    def copies(self) -> bool:
+        """Whether ``market_quotes`` may hold copies."""
+        return "quotes" not in self.staged
+
+    @cached_property
+    def points(self) -> DataFrame:
+        return market.market_points(self.cost_bands, self.products, self.params)
 
     # intermediate
     @cached_property
@@ -72,7 +96,7 @@ class PricingModel:
 
     @cached_property
     def market_analysis(self) -> DataFrame:
-        return market.market_analysis(self.components, self.market_quotes, self.params)
+        return market.market_analysis(self.components, self.market_quotes, self.points, self.params, self.copies)
 
     def performance_summary(self, analysis: DataFrame | None = None) -> DataFrame:
         return performance_summary(self.market_analysis if analysis is None else analysis)

@@ -22,6 +22,8 @@ EXPORT_COLUMNS = [
     "unit_rate_gross_ct_per_kwh", "standing_charge_gross_eur_per_month", "signup_bonus", "contract_length",
     "price_guarantee",
 ]
+#: The order of the mart's rows, and that of its export.
+PRICE_LIST_ORDER = ["energy_type", "product_name", "postcode", "consumption_level_kwh"]
 EXPORT_ORDER = ["energy_type", "product_name", "postcode", "consumption_from"]
 
 

@@ -8,15 +8,17 @@ below the margin floor). Zero means the test passes.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tariff_engine.operators import quality as Q
 from tariff_engine.params import ENERGY_TYPES, SCENARIO_NAMES
 from tariff_engine.plans.model import PricingModel
-from tariff_engine.sources.lookups import consumption_levels, margin_scenarios
+from tariff_engine.sources.lookups import consumption_levels, local_frame, margin_scenarios
 
 REPORT_COLUMNS = ["model", "test", "column_name", "failing_rows"]
 
@@ -81,11 +83,12 @@ PRODUCT_DIMENSION = ["product_code", "product_name", "energy_type", "vat_rate",
                      "contract_length_months"]
 
 
-def model_frames(model: PricingModel, components: DataFrame | None = None) -> dict[str, DataFrame]:
-    """What the suite checks, by name; ``components`` may be the written mart instead of the model's."""
+def model_frames(model: PricingModel, components: DataFrame | None = None,
+                 analysis: DataFrame | None = None) -> dict[str, DataFrame]:
+    """What the suite checks, by name; ``components`` and ``analysis`` may be the written marts instead of the model's."""
     components = model.components if components is None else components
     spark = model.inputs.quotes.sparkSession
-    analysis = model.market_analysis
+    analysis = model.market_analysis if analysis is None else analysis
     return {
         "cost_bands": model.cost_bands,
         "products": model.products,
@@ -110,11 +113,36 @@ def not_null_report(frames: dict[str, DataFrame]) -> DataFrame:
     parts = [
         Q.check_not_null(frames[m], cols, m).select("model", F.lit("not_null").alias("test"), "column_name",
                                                       "failing_rows")
-        for m, cols in NOT_NULL.items()
+        for m, cols in NOT_NULL.items() if m in frames
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def write_pass_report(spark: SparkSession, checks: Q.WriteChecks, frames: Mapping[str, DataFrame]) -> DataFrame:
+    """The not-null and accepted-values rows, from the metrics of the models' writes.
+
+    Models that were not written (the literal lookups) are checked as they are, and so is a column with unaccepted
+    values, of which the different ones have to be counted. All other rows need no scan.
+    """
+    rows, parts = [], []
+    for model, columns in NOT_NULL.items():
+        if model in checks.models:
+            rows += [(model, "not_null", c, n) for c, n in checks.nulls(model)]
+        else:
+            parts.append(not_null_report({model: frames[model]}))
+    for model, tests in ACCEPTED.items():
+        found = dict(checks.unaccepted(model)) if model in checks.models else {}
+        for column, values in tests:
+            if found.get(column) == 0:
+                rows.append((model, "accepted_values", column, 0))
+            else:
+                parts.append(_count(Q.check_accepted_values(frames[model], column, values, model), model, "accepted_values", column))
+    report = local_frame(spark, rows, T.StructType([
+        T.StructField("model", T.StringType()), T.StructField("test", T.StringType()),
+        T.StructField("column_name", T.StringType()), T.StructField("failing_rows", T.LongType())]))
+    return reduce(DataFrame.unionByName, [report, *parts])
+
+
 def unique_report(frames: dict[str, DataFrame]) -> DataFrame:
     parts = [_count(Q.check_unique(frames[m], c, m), m, "unique", c) for m, cols in UNIQUE.items() for c in cols]
     return reduce(DataFrame.unionByName, parts)

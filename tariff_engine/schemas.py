@@ -80,3 +80,37 @@ MARKET_ANALYSIS = T.StructType([
     T.StructField("delta_vs_cheapest_competitor_eur", T.DoubleType()),
     T.StructField("delta_rank_vs_standard", T.LongType()),
 ])
+
+PRICE_LIST_EXPORT = T.StructType([
+    T.StructField("energy_type", T.StringType()),
+    T.StructField("product_name", T.StringType()),
+    T.StructField("postcode", T.StringType()),
+    T.StructField("town", T.StringType()),
+    T.StructField("consumption_from", T.IntegerType()),
+    T.StructField("consumption_to", T.IntegerType()),
+    T.StructField("unit_rate_gross_ct_per_kwh", T.DoubleType()),
+    T.StructField("standing_charge_gross_eur_per_month", T.DoubleType()),
+    T.StructField("signup_bonus", T.DoubleType()),
+    T.StructField("contract_length", T.IntegerType()),
+    T.StructField("price_guarantee", T.IntegerType()),
+])
+
+PERFORMANCE_SUMMARY = T.StructType([
+    T.StructField("scenario", T.StringType()),
+    T.StructField("energy_type", T.StringType()),
+    T.StructField("product", T.StringType()),
+    T.StructField("consumption_label", T.StringType()),
+    T.StructField("consumption_level_kwh", T.IntegerType()),
+    T.StructField("contract_length_months", T.IntegerType()),
+    T.StructField("margin_ct_per_kwh", T.DoubleType()),
+    T.StructField("total_market_segments", T.LongType()),
+    T.StructField("segments_where_cheapest", T.LongType()),
+    T.StructField("segments_where_top_3", T.LongType()),
+    T.StructField("pct_cheapest", T.DoubleType()),
+    T.StructField("pct_top_3", T.DoubleType()),
+    T.StructField("avg_rank", T.DoubleType()),
+    T.StructField("avg_percentile", T.DoubleType()),
+    T.StructField("avg_delta_vs_cheapest_eur", T.DoubleType()),
+    T.StructField("avg_our_annual_cost_eur", T.DoubleType()),
+    T.StructField("avg_market_annual_cost_eur", T.DoubleType()),
+])

@@ -9,7 +9,7 @@ import pytest
 from tariff_engine.operators.staging import stage_cost_bands, stage_products, stage_quotes
 from tariff_engine.params import PricingParams
 from tariff_engine.plans.components import price_components_with_bands
-from tariff_engine.plans.market import market_analysis
+from tariff_engine.plans.market import POINT, market_analysis
 from tariff_engine.plans.price_list import price_list
 from tariff_engine.plans.summary import performance_summary
 from tariff_engine.schemas import RAW_COST_BANDS, RAW_PRODUCTS, RAW_QUOTES
@@ -92,7 +92,7 @@ def test_price_list_invariants(spark, model):
 def test_summary_own_costs_without_quotes(spark, model):
     quotes = stage_quotes(spark.createDataFrame([], RAW_QUOTES))
     comps = model.drop("pcw_consumption_to")
-    summary = performance_summary(market_analysis(comps, quotes)).where("energy_type = 'ELECTRICITY'")
+    summary = performance_summary(market_analysis(comps, quotes, comps.select(*POINT).distinct())).where("energy_type = 'ELECTRICITY'")
     got = {(r.scenario, r.consumption_level_kwh): (r.avg_our_annual_cost_eur, r.total_market_segments,
                                                    r.pct_cheapest, r.avg_rank, r.avg_percentile)
            for r in summary.collect()}

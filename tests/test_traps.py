@@ -14,7 +14,7 @@ from tariff_engine.operators import quality as Q
 from tariff_engine.operators.staging import project_quotes, stage_cost_bands, stage_products
 from tariff_engine.params import PricingParams
 from tariff_engine.plans.components import price_components
-from tariff_engine.plans.market import market_analysis
+from tariff_engine.plans.market import POINT, market_analysis
 from tariff_engine.schemas import RAW_COST_BANDS, RAW_PRODUCTS, RAW_QUOTES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -26,7 +26,8 @@ def _model(spark, products, params=PricingParams(), quotes=()):
          ("ELECTRICITY", "26676", "T", 100, 20000, 0.0952, 108.44)], RAW_COST_BANDS))
     comps = price_components(bands, stage_products(spark.createDataFrame(products, RAW_PRODUCTS)), params)
     q = project_quotes(spark.createDataFrame(list(quotes), RAW_QUOTES), params)
-    return comps, market_analysis(comps, q, params)
+    points = comps.select(*POINT).distinct()
+    return comps, market_analysis(comps, q, points, params)
 
 
 def test_repeated_product_name_fans_out_like_a_join(spark):
