@@ -18,35 +18,62 @@ from tariff_engine.llm.lang_id import PER_LANGUAGE, UNKNOWN, LanguageModel, dete
 from tariff_engine.llm.packing import pack_documents
 from tariff_engine.llm.shingle_join import shingle_join
 
-#: A document whose best language has a lower mean probability than this has none. With few languages, chance is not
-#: far below, so only texts that no language explains go.
-LEAST_SCORE = 0.3
+#: How far a document's best language has to be above chance (1 / languages), as a share of the way to certainty.
+#: Only texts that no language explains stay below, however many languages there are.
+ABOVE_CHANCE = 1 / 15
+
+
+def least_score(languages: int) -> float:
+    """The mean probability below which a document has no language; 0.3 with four languages."""
+    chance = 1 / max(1, languages)
+    return chance + (1 - chance) * ABOVE_CHANCE - 1e-9
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: no text, no letter, or no language of at least `LEAST_SCORE`."""
+    """Documents without a language go: no text, no letter, or no language of at least `least_score`.
+
+    Each row is judged by its own text alone, read whole whatever its length: rows that are repeated or share an id stay or
+    go each for itself. With no labelled row at all nothing can be known, and all documents go. An empty table gives none.
+    """
     sample = training_sample(docs, F.col("text"), F.col("lang"), F.col("doc_id"), PER_LANGUAGE)
-    found = detect_language(docs, LanguageModel.fit(sample), carry=True)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    model = LanguageModel.fit(sample)
+    found = detect_language(docs, model, carry=True)
+    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score(len(model.languages)))
+    return found.where(known).select("row.*")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts (A-Z lower-cased), the one with the largest doc_id stays."""
+    """Of documents with equal texts (A-Z lower-cased), the one with the largest doc_id stays.
+
+    Of rows that tie on it (a repeated row, or an id with equal texts) exactly one stays; other texts of that id are not
+    touched. Null ids sort below all others; null and empty texts are equal. Whole texts are compared. An empty table gives none.
+    """
     return exact_dedup(docs, carry=True).where("kept").select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that five-word shingles link at 0.75 or more, the one with the smallest doc_id stays.
+    """Of documents that five-word shingles link at 0.75 or more, the one with the smallest doc_id stays (null ids last).
 
-    Documents without words or without an id stay.
+    Rows are decided each for itself: of an id that several texts share, only the rows that are near copies go, and of
+    rows that tie on the smallest id (repeated rows) the one read first stays. Documents without words stay.
+    Whole texts are compared, whatever their length. An empty table gives none.
     """
-    joined = shingle_join(docs).documents
-    gone = joined.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    number = F.monotonically_increasing_id()
+    rows = docs.select(number.alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("text"))
+    joined = shingle_join(rows, "row").documents.select(F.col("doc_id").alias("row"), "component_id")
+    placed = joined.join(rows.select("row", "id"), "row")
+    stays = placed.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
+    gone = placed.join(stays, "component_id").where(F.col("row") != F.col("first.row")).select(F.col("row").alias("gone"))
+    numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), number.alias("row"))
+    return numbered.join(gone, F.col("row") == F.col("gone"), "left_anti").select("doc.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens: one row per piece of a document."""
+    """Sequences of at most 2048 tokens: one row per piece of a document.
+
+    Repeated rows and rows that share an id are documents of their own; null and empty texts hold the end id alone; longer
+    texts than a sequence are cut. An empty table gives none.
+    """
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

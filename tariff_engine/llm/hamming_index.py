@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from tariff_engine.llm.columns import hashed_share
 
-#: Bound of the sample that rotation and radius are learned from: all rows, or about this many by hash.
+#: Sample that rotation and radius are learned from: all rows, or about this many by hash (four times as many at most, where
+#: repeated ids share a hash).
 SAMPLE_ROWS = 4096
 SAMPLE_QUERIES = 256
 #: Share of the sample's true neighbours that the radius has to hold.
@@ -163,23 +164,23 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int = 20, id_col: str
     ``is_query`` is a condition on the column ``vec_id``. A query is not its own candidate; equal scores go to
     the smaller id. With fewer than k candidates all are returned.
 
-    Rows with a null id, and vectors that are null, zero, of another length than the sample's first, or that hold
-    null or non-finite components take no part. Rows that repeat an id count as one another's own. Extra columns
+    Rows with a null id, and vectors that are null, zero, or that hold null or non-finite components take no part.
+    Vectors of other lengths than the longest count as zero in the dimensions that they lack. Rows that repeat an id count as one another's own. Extra columns
     are not read. An empty table gives no rows.
     """
     vector = F.col(f"`{vector_col}`")
     valid = df.where(takes_part(vector) & F.col(f"`{id_col}`").isNotNull()).select(
         F.col(f"`{id_col}`").cast("long").alias("vec_id"), vector.cast("array<double>").alias("vector")
     )
-    share = SAMPLE_ROWS / max(1, valid.count())
-    sampled = sorted(valid.where(hashed_share(share, "vec_id")).collect())
-    dims = len(sampled[0]["vector"]) if sampled else 1
-    sample = np.asarray([r["vector"] for r in sampled if len(r["vector"]) == dims], dtype=np.float64)
-    if not len(sample):
-        sample = np.zeros((1, dims))
+    n_valid, longest = valid.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    dims = longest or 1
+    missing = F.array_repeat(F.lit(0.0), F.lit(dims) - F.size("vector"))
+    valid = valid.withColumn("vector", F.when(F.size("vector") == dims, F.col("vector")).otherwise(F.concat("vector", missing)))
+    drawn = valid.where(hashed_share(SAMPLE_ROWS / max(1, n_valid), "vec_id")).limit(4 * SAMPLE_ROWS)
+    sampled = sorted(drawn.collect())
+    sample = np.asarray([r["vector"] for r in sampled], dtype=np.float64) if sampled else np.zeros((1, dims))
     code = BinaryCode.fit(sample)
     radius = _radius(code, sample, k)
-    valid = valid.where(F.size("vector") == dims)
 
     blocks = lambda rows, size: F.greatest(F.lit(1).cast("long"), F.ceil(rows / F.lit(size)))
     counted = df.select(F.count(F.lit(1)).alias("n"))

@@ -2,7 +2,8 @@
 
 The network learns on the driver from a bounded, balanced sample of labelled rows: of each language the
 ``per_language`` documents with the smallest hashes, and of each of these up to ``SPANS`` spans of text. Prediction
-runs in the tasks, over whole texts; its only input is the text.
+runs in the tasks, over whole texts; its only input is the text. The network's state starts anew every ``WINDOW`` bytes
+(`byte_gru.py`), in training and prediction alike: a byte's label depends on the bytes of its window.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ from pyspark.sql import functions as F
 
 from tariff_engine.llm.byte_gru import LANES, WINDOW, ByteGru, train, windows
 
-#: Bound of the training sample: documents of each language, and languages (the most frequent).
+#: Bound of the training sample: documents of each language. Every language that occurs is learned.
 PER_LANGUAGE = 512
-LANGUAGES = 64
 SPANS = 3
+#: Parts of a language in which its sample is cut first.
+PARTS = 16
 
 UNKNOWN = "und"
 
@@ -30,14 +32,12 @@ def training_sample(df: DataFrame, text: Column, lang: Column, order: Column, pe
     rows = df.select(text.alias("text"), lang.alias("lang"), F.xxhash64(order).alias("place")).where(
         F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0)
     )
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
     span = lambda k: F.substring("text", (F.floor(last * k / (SPANS - 1)) + 1).cast("int"), F.lit(WINDOW))
     spans = rows.select("lang", "place", F.array(*[span(k) for k in range(SPANS)]).alias("spans"))
-    by_place = Window.partitionBy("lang").orderBy("place", "spans")
-    return (
-        spans.withColumn("no", F.row_number().over(by_place)).where(F.col("no") <= per_language)
-        .join(F.broadcast(frequent), "lang", "left_semi").select("lang", "spans")
-    )
+    for keys in (["lang", "part"], ["lang"]):  # in parts first, so that no task meets all of a frequent language
+        first = F.row_number().over(Window.partitionBy(*keys).orderBy("place", "spans"))
+        spans = spans.withColumn("part", F.pmod("place", F.lit(PARTS))).withColumn("no", first).where(F.col("no") <= per_language)
+    return spans.select("lang", "spans")
 
 
 class LanguageModel:
@@ -63,14 +63,15 @@ class LanguageModel:
         of = np.repeat(np.arange(len(texts)), [len(w) for w in cut])
         sums = np.zeros((len(texts), len(self.languages)))
         labels = []
+        kind = np.dtype(np.min_scalar_type(max(0, len(self.languages) - 1))).newbyteorder("<")
         x = np.concatenate(cut) if cut else np.empty((0, WINDOW), dtype=np.int16)
         for low in range(0, len(x), LANES):
             part = x[low:low + LANES]
             p = self.net.probabilities(part)
             real = part.T < 256
             np.add.at(sums, of[low:low + LANES], (p * real[:, None]).sum(axis=0).T)
-            labels.append(p.argmax(axis=1).astype(np.uint8).T)
-        flat = np.concatenate(labels).reshape(-1) if labels else np.empty(0, dtype=np.uint8)
+            labels.append(p.argmax(axis=1).astype(kind).T)
+        flat = np.concatenate(labels).reshape(-1) if labels else np.empty(0, dtype=kind)
         starts = WINDOW * np.concatenate(([0], np.cumsum([len(w) for w in cut])[:-1])).astype(np.int64) if cut else []
         lengths = [len(t) for t in texts]
         means = sums / np.maximum(1, np.asarray(lengths))[:, None]
@@ -86,7 +87,8 @@ _STEP_BYTES = 1 << 20
 
 
 def detect_language(df: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep_labels: bool = False, carry: bool = False) -> DataFrame:
-    """One row per input row: doc_id, lang_pred, score, and with ``keep_labels`` the class index of every byte.
+    """One row per input row: doc_id, lang_pred, score, and with ``keep_labels`` the class index of every byte
+    (unsigned, little-endian, of one byte each with up to 256 languages, of two or four with more).
 
     ``score`` is the mean probability of the predicted language over all bytes. Null texts, texts without a
     letter, and a model that learned from no labelled row give ``und`` with score 0. Ties go to the language

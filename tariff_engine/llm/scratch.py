@@ -2,22 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from tariff_engine.shared import shared_folder, written
 
-SETTING = "spark.checkpoint.dir"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; where it is unset (tests), a local one is set for the session."""
-    folder = spark.conf.get(SETTING, None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='shared-')}"
-        spark.conf.set(SETTING, folder)
-    return folder.rstrip("/")
+__all__ = ["mounted", "shared_folder", "written"]
 
 
 def mounted(folder: str) -> str:
@@ -26,11 +15,3 @@ def mounted(folder: str) -> str:
     if parts.scheme not in ("", "file"):
         raise ValueError(f"memory-mapped files need a mounted folder, not {parts.scheme}://")
     return unquote(parts.path)
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: cuts lineage, and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

@@ -4,8 +4,10 @@ Words are maximal runs of bytes other than space and 0x09-0x0D after lower-casin
 holds its distinct 5-word shingles; a text of one to four words has its whole sequence as its only shingle;
 a text without words (null and empty included) has the empty set.
 
-A word's hash is a polynomial over a random byte table modulo 2**64, read off prefix sums, so cost does not
-depend on word lengths; shingle hashes combine word hashes at fixed odd multipliers and are mixed at the end.
+A word's hash is a sum over its pieces of eight bytes, each mixed twice with its place in between, so that neither
+swapped pieces nor regular ones cancel out; it is mixed again with the word's length. (A polynomial modulo 2**64 would
+not do: it cannot tell the Thue-Morse word of 1,024 letters from its letter-swapped twin.) Shingle hashes combine word
+hashes at fixed odd multipliers and are mixed at the end.
 """
 
 from __future__ import annotations
@@ -19,18 +21,13 @@ WORDS = 5
 PASS_BYTES = 1 << 21
 
 _rng = np.random.Generator(np.random.PCG64(20240611))
-_BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _rng.integers(0, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHORT = _rng.integers(0, 1 << 63, WORDS, dtype=np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Multiplied by a piece's place in its word.
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[32, 9, 10, 11, 12, 13]] = False
-#: Value of a byte in the polynomial, after lower-casing.
-_VALUE = _BYTE[_LOWER]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -44,35 +41,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class _Powers:
-    """Powers of the base and of its inverse, grown on demand."""
-
-    def __init__(self) -> None:
-        self.up = np.ones(1, dtype=np.uint64)
-        self.down = np.ones(1, dtype=np.uint64)
-
-    def ensure(self, n: int) -> None:
-        if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
-            for name, factor in (("up", _BASE), ("down", _BASE_INVERSE)):
-                steps = np.full(n, factor, dtype=np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps))
-
-
-_powers = _Powers()
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words data[starts:ends]; at least eight more bytes follow the last one."""
+    if not len(starts):
+        return np.empty(0, dtype=np.uint64)
+    lengths = ends - starts
+    pieces = -(-lengths // 8)
+    first = np.cumsum(pieces) - pieces
+    place = np.arange(int(pieces.sum())) - np.repeat(first, pieces)
+    at = np.repeat(starts, pieces) + 8 * place
+    every = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))  # the eight bytes from each byte on
+    spare = np.maximum(0, 8 - (np.repeat(ends, pieces) - at)).astype(np.uint64) * np.uint64(8)
+    value = (every[at] << spare) >> spare  # bytes after the word's end are the upper ones
+    return mix(np.add.reduceat(mix(mix(value) + place.astype(np.uint64) * _STEP), first) + lengths.astype(np.uint64))
 
 
 def _hash_pass(texts: list[bytes]) -> list[np.ndarray]:
-    data = np.frombuffer(b" ".join([b"", *texts, b""]), dtype=np.uint8)
-    n = len(data)
-    _powers.ensure(n)
+    data = np.frombuffer(b" ".join([b"", *texts, b" " * 8]).lower(), dtype=np.uint8)
     word = _IS_WORD[data]
     edges = np.flatnonzero(word[1:] != word[:-1]) + 1
     starts, ends = edges[0::2], edges[1::2]
-    sums = np.cumsum(_VALUE[data] * _powers.up[:n])
-    words = (sums[ends - 1] - sums[starts - 1]) * _powers.down[starts]
-    words = mix(words + (ends - starts).astype(np.uint64))
+    words = _word_hashes(data, starts, ends)
     # each text begins one byte after the separator before it
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     begins = 1 + np.concatenate(([0], np.cumsum(lengths + 1)[:-1]))
