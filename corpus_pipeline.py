@@ -58,13 +58,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows that tie on the smallest id (repeated rows) the one read first stays. Documents without words stay.
     Whole texts are compared, whatever their length. An empty table gives none.
     """
-    number = F.monotonically_increasing_id()
-    rows = docs.select(number.alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("text"))
+    # numbered once and written, as another pass may split the files otherwise
+    numbered = scratch.written(docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
+    rows = numbered.select("row", F.col("doc.doc_id").alias("id"), F.col("doc.text").alias("text"))
     joined = shingle_join(rows, "row").documents.select(F.col("doc_id").alias("row"), "component_id")
     placed = joined.join(rows.select("row", "id"), "row")
     stays = placed.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
     gone = placed.join(stays, "component_id").where(F.col("row") != F.col("first.row")).select(F.col("row").alias("gone"))
-    numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), number.alias("row"))
     return numbered.join(gone, F.col("row") == F.col("gone"), "left_anti").select("doc.*")
 
 
