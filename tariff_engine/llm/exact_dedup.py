@@ -1,14 +1,18 @@
 """Exact deduplication by skew-safe combining, with DataFrame functions only.
 
-1. *Locally*: copies per digest are counted with map-side partial sums, which names the hot digests.
-2. *Salted*: rows are shuffled by (digest, salt); within each part, rows with the same digest **and the same
-   full normalised text** form a class and elect a winner. Only hot digests have more than one salt, so the
-   text is shuffled once and no part holds more than about ``hot_share`` of all rows.
-3. *Globally*: the winners of the salts of hot digests are combined, again by digest and full text, and their
-   verdict returns to the rows through a broadcast.
+Copies per digest are counted first, with map-side partial sums, which names the hot digests. Only these have more than
+one salt, and only they go through all three stages; other groups are whole after the second.
+
+1. *Locally*: each map task combines its rows of a hot digest with the same salt **and the same full normalised text** into
+   one local winner (the partial aggregation), so a task ships one text of each, however many copies it has.
+2. *Salted*: local winners merge per (digest, salt, full text). All rows are shuffled once by (digest, salt), with their text,
+   as the result has a row for each of them; within a part, rows with the same digest and the same full text
+   form a class. No part holds more than about ``hot_share`` of all rows, but for rows that are repeated whole.
+3. *Globally*: the winners of a hot digest's salts are combined by digest and full text, once more with a partial
+   aggregation, and their verdict returns to the rows through a broadcast.
 
 The two broadcasts are bounded by construction: fewer than ``1 / hot_share`` digests can each hold more than
-``hot_share`` of the rows, and together they have fewer than ``2 / hot_share`` salts.
+``hot_share`` of the rows, and together they have fewer than ``2 / hot_share`` salts. They carry no text.
 """
 
 from __future__ import annotations
@@ -49,31 +53,36 @@ def exact_dedup(
     at_most = F.greatest(F.lit(1.0), df.select(F.count(F.lit(1)) * F.lit(hot_share)).scalar())
     hot = counts.where(F.col("copies") > at_most).select("text_sha256", F.ceil(F.col("copies") / at_most).alias("salts"))
 
-    parts = (
+    salted = (
         base.join(F.broadcast(hot), "text_sha256", "left")
         .withColumn("salts", F.coalesce("salts", F.lit(1)))
-        .withColumn("salt", F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.col("salts")))
-        .repartition("text_sha256", "salt")
-        # after the exchange, which so carries one text a row
-        .withColumn("content", normalised(F.col(text_at)))
+        # from the row's values alone: both passes over the rows have to give it the same salt
+        .withColumn("salt", F.when(F.col("salts") > 1, F.pmod(F.xxhash64("doc_id", "row"), F.col("salts"))).otherwise(F.lit(0).cast("long")))
     )
+    content = normalised(F.col(text_at)).alias("content")
+    # the text is normalised after the exchange, which so carries one text a row
+    parts = salted.repartition("text_sha256", "salt").select("*", content)
     same = Window.partitionBy("text_sha256", "salt", "content")
+    by_content = Window.partitionBy("text_sha256", "salt").orderBy("content")
     by_id = F.col("doc_id").desc_nulls_last()
     parts = parts.select(
-        "doc_id", "row", "text_sha256", "salt", "salts", "content",
-        F.dense_rank().over(Window.partitionBy("text_sha256", "salt").orderBy("content")).alias("content_no"),
+        "doc_id", "row", "text_sha256", "salt",
+        F.dense_rank().over(by_content).alias("content_no"),
         F.row_number().over(same.orderBy(by_id)).alias("place"),
         F.max("doc_id").over(same).alias("local_keep"),
         F.count(F.lit(1)).over(same).alias("local_size"),
     )
-    whole = Window.partitionBy("text_sha256", "content")
-    winners = parts.where((F.col("salts") > 1) & (F.col("place") == 1)).select(
-        "text_sha256", "salt", "content_no",
-        F.max("local_keep").over(whole).alias("all_keep"),
-        F.sum("local_size").over(whole).alias("all_size"),
-        (F.row_number().over(whole.orderBy(F.col("local_keep").desc_nulls_last(), "salt")) == 1).alias("elected"),
+    of_hot = salted.where("salts > 1").select("doc_id", "text_sha256", "salt", content)
+    local = of_hot.groupBy("text_sha256", "salt", "content").agg(F.max("doc_id").alias("keep"), F.count(F.lit(1)).alias("size"))
+    # the largest id, null being the least, and of salts that tie on it the smallest
+    best = F.max(F.struct("keep", (-F.col("salt")).alias("minus_salt"))).alias("best")
+    groups = local.groupBy("text_sha256", "content").agg(best, F.sum("size").alias("all_size"))
+    numbered = local.select("text_sha256", "salt", "content", F.dense_rank().over(by_content).alias("content_no"))
+    winners = numbered.join(groups, ["text_sha256", "content"]).select(
+        "text_sha256", "salt", "content_no", F.col("best.keep").alias("all_keep"), "all_size",
+        (F.col("salt") == -F.col("best.minus_salt")).alias("elected"),
     )
-    joined = parts.drop("content").join(F.broadcast(winners), ["text_sha256", "salt", "content_no"], "left")
+    joined = parts.join(F.broadcast(winners), ["text_sha256", "salt", "content_no"], "left")
     split = F.col("all_size").isNotNull()
     return joined.select(
         "doc_id",
