@@ -17,7 +17,7 @@ import zstandard
 def _lines(path):
     if path.endswith(".zstd"):
         with open(path, "rb") as fh:
-            reader = zstandard.ZstdDecompressor().stream_reader(fh)
+            reader = zstandard.ZstdDecompressor().stream_reader(fh, read_across_frames=True)
             yield from io.TextIOWrapper(reader, encoding="utf-8")
     else:
         with open(path, encoding="utf-8") as fh:

@@ -2,18 +2,19 @@
 
 The reference ranks every offer of a segment with ``RANK() OVER (PARTITION BY segment ORDER BY cost)``. A window over
 all offers puts a whole segment into one task, and one segment may hold half of all competitor quotes, each with a cost
-of its own. Only own offers leave the analysis, and competitors are the same in every scenario, so
-
-* competitor offers are first counted per (segment, cost), with a map-side part;
-* costs fall into *range buckets* within their segment (:func:`cost_bucket`, about 0.1 % of the cost wide). Own offers and
-  competitor costs are sorted per (segment, bucket): the running count up to an own offer is the number of cheaper
-  competitors in its bucket (own offers sort before competitors of the same cost);
-* one row of totals per bucket and the own offers then meet per segment: a prefix sum over buckets gives the
-  competitors of all cheaper buckets, and the sums over all buckets give the segment's context. How many buckets
-  a segment has depends on the range of its costs (some thousand), not on its number of offers;
+of its own. Only own offers leave the analysis, and competitors are the same in every scenario, so it is enough to
+know how many competitors lie between any two neighbouring own costs:
+
+* a segment's own costs are its *range buckets*: the edges of a bucket are two neighbouring ones. There are at most as many
+  as the segment has own offers, and they are exact, so no bucket has to be sorted within;
+* each competitor joins its segment's edges and falls into the bucket below the first dearer own cost. The join key has a
+  salt, so a hot segment spreads over `SALTS` parts, which adaptive execution may split further;
+* buckets are counted with a map-side part: a task sends at most one row per bucket, however many competitors it has seen;
+* these few rows and the own offers meet per segment. A prefix sum over the buckets up to an own cost gives the cheaper
+  competitors; the sums over all buckets give the segment's context;
 * own offers of the same scenario are ranked among themselves.
 
-The rank is 1 + the cheaper ones of all three, as in RANK; NULL costs sort last. Sums are exact (``numeric.exact_parts``),
+The rank is 1 + the cheaper ones of both kinds, as in RANK; NULL costs sort last. Sums are exact (``numeric.exact_parts``),
 so the context does not depend on the order in which buckets are added.
 """
 
@@ -21,70 +22,61 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tariff_engine.functions.numeric import exact_parts, exact_total, safe_div
 
-#: Range buckets per natural-logarithm unit of the cost.
-BUCKETS_PER_E = 1000
+#: Parts over which the competitors of one segment are dealt.
+SALTS = 8
 
 _SUMS = ["_n", "_n_rate", "_rate_whole", "_rate_fraction", "_n_cost", "_cost_whole", "_cost_fraction"]
 
 
-def cost_bucket(cost: Column) -> Column:
-    """The range bucket of a cost: never decreasing in it, the same for equal costs, and last of all for NULL."""
-    return F.coalesce(F.floor(F.signum(cost) * F.log1p(F.abs(cost)) * F.lit(float(BUCKETS_PER_E))), F.lit((1 << 63) - 1))
+def competitor_buckets(competitors: DataFrame, own: DataFrame, segment: Sequence[str], cost: str, rate: str) -> DataFrame:
+    """Competitors per segment and ``_edge``, the lowest own cost above theirs (NULL if there is none, or they have no cost).
 
-
-def competitor_costs(competitors: DataFrame, segment: Sequence[str], cost: str, rate: str) -> DataFrame:
-    """Competitor offers per (segment, cost): how many, how many with a rate and a cost, and their exact sums."""
+    One row holds how many there are, how many with a rate and a cost, the exact sums of these, and the least cost.
+    Segments without own offers are left out.
+    """
+    segment = list(segment)
+    edges = own.groupBy(*segment).agg(F.collect_set(cost).alias("_edges")).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    salt = F.pmod(F.xxhash64(*competitors.columns), F.lit(SALTS))
+    dealt = competitors.select(*segment, cost, rate, salt.alias("_salt"))
+    edge = F.array_min(F.filter("_edges", lambda x: x > F.col(cost)))
+    placed = dealt.join(edges, [*segment, "_salt"]).select(*segment, cost, rate, edge.alias("_edge"))
     rate_whole, rate_fraction = exact_parts(F.col(rate))
     cost_whole, cost_fraction = exact_parts(F.col(cost))
-    return competitors.groupBy(*segment, cost).agg(
+    return placed.groupBy(*segment, "_edge").agg(
         F.count(F.lit(1)).alias("_n"),
         F.count(rate).alias("_n_rate"), F.sum(rate_whole).alias("_rate_whole"), F.sum(rate_fraction).alias("_rate_fraction"),
         F.count(cost).alias("_n_cost"), F.sum(cost_whole).alias("_cost_whole"), F.sum(cost_fraction).alias("_cost_fraction"),
+        F.min(cost).alias("_least"),
     )
 
 
-def rank_own_offers(own: DataFrame, costs: DataFrame, segment: Sequence[str], scenario: str, cost: str) -> DataFrame:
+def rank_own_offers(own: DataFrame, competitors: DataFrame, segment: Sequence[str], scenario: str, cost: str, rate: str) -> DataFrame:
     """Own offers with ``offer_rank`` (RANK, cost ascending, NULLs last), ``offers_in_segment`` and the context.
 
-    ``costs`` comes from :func:`competitor_costs`. The context (``avg_competitor_rate``, ``avg_competitor_cost``,
-    ``min_competitor_cost``) is NULL where a segment has no competitor.
+    The context (``avg_competitor_rate``, ``avg_competitor_cost``, ``min_competitor_cost``) is NULL where a segment has
+    no competitor. ``competitors`` have the columns of ``segment``, ``cost`` and ``rate``, and any others.
     """
     segment = list(segment)
-    together = own.withColumn("_own", F.lit(True)).unionByName(costs, allowMissingColumns=True).withColumn(
-        "_bucket", cost_bucket(F.col(cost)))
-    rival = F.col("_own").isNull()
-
-    bucket = Window.partitionBy(*segment, "_bucket")
-    upwards = bucket.orderBy(F.asc_nulls_last(cost), F.asc_nulls_last("_own"))
-    so_far = upwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = upwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    in_bucket = together.select(
-        "*",
-        F.coalesce(F.sum("_n").over(so_far), F.lit(0)).alias("_cheaper_near"),
-        *[F.sum(c).over(whole).alias(f"{c}_all") for c in _SUMS],
-        F.min(F.when(rival, F.col(cost))).over(whole).alias("_least"),
-        F.row_number().over(upwards).alias("_place"),
-    )
-    # from here on a bucket's competitors are the totals on its first row, own or not
-    first = F.col("_place") == 1
-    totals = in_bucket.where(F.col("_own") | first).select(
-        *own.columns, "_own", "_bucket", "_cheaper_near", F.when(first, F.col("_least")).alias("_least"),
-        *[F.when(first, F.col(f"{c}_all")).alias(c) for c in _SUMS])
+    buckets = competitor_buckets(competitors, own, segment, cost, rate)
+    together = own.withColumn("_edge", F.col(cost)).withColumn("_own", F.lit(True)).unionByName(buckets, allowMissingColumns=True)
 
     per_segment = Window.partitionBy(*segment)
-    before = per_segment.orderBy("_bucket").rangeBetween(Window.unboundedPreceding, -1)
-    in_segment = {c: F.sum(c).over(per_segment) for c in _SUMS}
-    counted = totals.select(
+    # with all rows of the same edge: competitors below an edge are cheaper than the own offers at it
+    up_to = per_segment.orderBy(F.asc_nulls_last("_edge")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = {c: F.sum(c).over(per_segment) for c in _SUMS}
+    cheaper = F.when(F.col(cost).isNull(), whole["_n_cost"]).otherwise(F.sum("_n").over(up_to))
+    counted = together.select(
         *own.columns, "_own",
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.col("_cheaper_near")).alias("_cheaper"),
-        F.coalesce(in_segment["_n"], F.lit(0)).alias("_competitors"),
-        safe_div(exact_total(in_segment["_rate_whole"], in_segment["_rate_fraction"]), in_segment["_n_rate"]).alias("avg_competitor_rate"),
-        safe_div(exact_total(in_segment["_cost_whole"], in_segment["_cost_fraction"]), in_segment["_n_cost"]).alias("avg_competitor_cost"),
+        F.coalesce(cheaper, F.lit(0)).alias("_cheaper"),
+        F.coalesce(whole["_n"], F.lit(0)).alias("_competitors"),
+        safe_div(exact_total(whole["_rate_whole"], whole["_rate_fraction"]), whole["_n_rate"]).alias("avg_competitor_rate"),
+        safe_div(exact_total(whole["_cost_whole"], whole["_cost_fraction"]), whole["_n_cost"]).alias("avg_competitor_cost"),
         F.min("_least").over(per_segment).alias("min_competitor_cost"),
     ).where("_own")
     by_scenario = Window.partitionBy(*segment, scenario)

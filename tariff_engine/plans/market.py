@@ -16,7 +16,7 @@ from tariff_engine.functions import pricing as P
 from tariff_engine.functions.numeric import round_half_away as rnd
 from tariff_engine.operators.band_join import expand_levels
 from tariff_engine.operators.ceiling_match import MATCHED_LEVEL, ceiling_levels, ceiling_match
-from tariff_engine.operators.ranking import competitor_costs, rank_own_offers
+from tariff_engine.operators.ranking import rank_own_offers
 from tariff_engine.operators.staging import with_monthly_standing
 from tariff_engine.params import DEFAULT_PARAMS, PricingParams
 
@@ -139,8 +139,8 @@ def all_offers(components: DataFrame, quotes: DataFrame, points: DataFrame,
 def ranked_own_offers(components: DataFrame, quotes: DataFrame, points: DataFrame,
                       params: PricingParams = DEFAULT_PARAMS, copies: bool = True) -> DataFrame:
     """Own offers with rank, segment size and the competitor context of their segment (W4, W5, W7 inputs)."""
-    costs = competitor_costs(competitors_at_levels(quotes, points, copies), SEGMENT, COST, "unit_rate_ct_per_kwh")
-    return rank_own_offers(own_offers(components, params), costs, SEGMENT, "scenario", COST)
+    competitors = competitors_at_levels(quotes, points, copies)
+    return rank_own_offers(own_offers(components, params), competitors, SEGMENT, "scenario", COST, "unit_rate_ct_per_kwh")
 
 
 def with_rank_metrics(ranked: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:

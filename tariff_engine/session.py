@@ -17,7 +17,13 @@ ENGINE_DEFAULTS = {
     # Split a hot key's partition even where the next aggregate could have used the join's partitioning:
     # the extra shuffle then happens only in the skewed case.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Joins whose partitions all stay below this (as shuffled) build hash tables instead of sorting both sides; larger
+    # ones are sorted. The two settings have to be equal for it.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
+    # Recording the Python line of every column expression takes most of the time in which a query is built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

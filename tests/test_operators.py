@@ -9,7 +9,7 @@ from frames import rows
 from tariff_engine.operators import quality as Q
 from tariff_engine.operators.band_join import band_join, expand_levels
 from tariff_engine.operators.ceiling_match import ceiling_levels, ceiling_match
-from tariff_engine.operators.ranking import competitor_costs, rank_own_offers
+from tariff_engine.operators.ranking import rank_own_offers
 from tariff_engine.operators.staging import stage_cost_bands, stage_quotes
 from tariff_engine.params import PricingParams
 from tariff_engine.schemas import RAW_COST_BANDS, RAW_QUOTES
@@ -108,7 +108,7 @@ def test_rank_own_offers_matches_window_rank(spark):
             comp.append((seg, "L", cost, float(rnd.randint(20, 30))))
     own_df = spark.createDataFrame(own, "scenario string, seg int, label string, product string, cost double")
     comp_df = spark.createDataFrame(comp, "seg int, label string, cost double, rate double")
-    ranked = rank_own_offers(own_df, competitor_costs(comp_df, ["seg"], "cost", "rate"), ["seg"], "scenario", "cost")
+    ranked = rank_own_offers(own_df, comp_df, ["seg"], "scenario", "cost", "rate")
     got = sorted(tuple(r) for r in ranked.select("scenario", "seg", "product", "offer_rank", "offers_in_segment").collect())
     exp = _brute_force_ranks(pd.DataFrame(own, columns=["scenario", "seg", "label", "product", "cost"]),
                              pd.DataFrame(comp, columns=["seg", "label", "cost", "rate"]))
@@ -119,7 +119,7 @@ def test_rank_own_offers_matches_window_rank(spark):
 def test_lone_own_offer_profile_is_null(spark):
     own_df = spark.createDataFrame([("s", 1, "L", "a", 100.0)], "scenario string, seg int, label string, product string, cost double")
     comp_df = spark.createDataFrame([], "seg int, cost double, rate double")
-    r = rank_own_offers(own_df, competitor_costs(comp_df, ["seg"], "cost", "rate"), ["seg"], "scenario", "cost").collect()[0]
+    r = rank_own_offers(own_df, comp_df, ["seg"], "scenario", "cost", "rate").collect()[0]
     assert (r.offer_rank, r.offers_in_segment, r.avg_competitor_cost, r.min_competitor_cost) == (1, 1, None, None)
 
 
@@ -128,8 +128,7 @@ def test_rank_with_a_thousand_products_in_one_segment(spark):
     comp = [(1, float(k) + 0.5, 1.0) for k in range(0, 1000, 2) for _ in range(3)]
     ranked = rank_own_offers(
         spark.createDataFrame(own, "scenario string, seg int, product string, cost double"),
-        competitor_costs(spark.createDataFrame(comp, "seg int, cost double, rate double"), ["seg"], "cost", "rate"),
-        ["seg"], "scenario", "cost")
+        spark.createDataFrame(comp, "seg int, cost double, rate double"), ["seg"], "scenario", "cost", "rate")
     got = {r["product"]: r.offer_rank for r in ranked.collect()}
     assert got == {f"p{k}": 1 + k + 3 * ((k + 1) // 2) for k in range(1000)}
 

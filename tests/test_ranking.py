@@ -1,4 +1,4 @@
-"""Ranking in range buckets: brute force on odd costs, and a hot segment that spreads over tasks."""
+"""Ranking between own costs: brute force on odd costs, and a hot segment that spreads over tasks."""
 
 import math
 import random
@@ -9,25 +9,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tariff_engine.functions.numeric import exact_average
-from tariff_engine.operators.ranking import competitor_costs, cost_bucket, rank_own_offers
+from tariff_engine.operators.ranking import SALTS, competitor_buckets, rank_own_offers
 
 OWN = "scenario string, seg int, product string, cost double"
 COMP = "seg int, cost double, rate double"
 
 
 def _ranked(spark, own, comp):
-    costs = competitor_costs(spark.createDataFrame(comp, COMP), ["seg"], "cost", "rate")
-    return rank_own_offers(spark.createDataFrame(own, OWN), costs, ["seg"], "scenario", "cost")
-
-
-def test_cost_bucket_never_decreases(spark):
-    rnd = random.Random(1)
-    costs = [rnd.choice([-1, 1]) * math.exp(rnd.uniform(-40, 40)) for _ in range(500)] + [0.0, -0.0, 1.0, -1.0, 5e-324, 1e300, -1e300]
-    rows = spark.createDataFrame([(c,) for c in costs], "c double").select("c", cost_bucket(F.col("c")).alias("b")).collect()
-    ordered = sorted((r.c, r.b) for r in rows)
-    assert all(a[1] <= b[1] for a, b in zip(ordered, ordered[1:]))
-    null = spark.createDataFrame([(None,)], "c double").select(cost_bucket(F.col("c")).alias("b")).first().b
-    assert null > max(b for _, b in ordered)
+    return rank_own_offers(spark.createDataFrame(own, OWN), spark.createDataFrame(comp, COMP), ["seg"], "scenario", "cost", "rate")
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -63,21 +52,24 @@ def test_ranks_match_brute_force(spark, seed):
 
 
 def test_hot_segment_spreads_over_tasks(spark, settings):
-    """One segment with half of all quotes, each with its own cost: no task of a shuffle reads more than a few percent."""
+    """One segment with half of all quotes, each with its own cost: its parts are even, and few rows meet per segment."""
     n = 40_000
     comp = spark.range(n).select(
         F.when(F.col("id") % 2 == 0, 0).otherwise((F.col("id") % 500) + 1).cast("int").alias("seg"),
         (F.lit(500.0) + F.col("id") * 0.0625).alias("cost"), F.lit(30.0).alias("rate"))
     own = spark.createDataFrame([("s", k, p, c) for k in range(501) for p, c in (("a", 700.0), ("b", 2999.0))], OWN)
-    settings({"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64"})
-    costs = competitor_costs(comp, ["seg"], "cost", "rate")
-    ranked = rank_own_offers(own, costs, ["seg"], "scenario", "cost")
-    # what the bucket windows read: rows per hash partition of (segment, bucket)
-    dealt = costs.withColumn("_bucket", cost_bucket(F.col("cost"))).repartition("seg", "_bucket")
-    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()]
-    assert max(sizes) < 0.06 * n
-    # what the segment windows read: one row per bucket
-    assert costs.where("seg = 0").select(cost_bucket(F.col("cost"))).distinct().count() < 2000
+    settings({"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64",
+              "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    # the parts in which competitors join their segment's edges
+    salt = F.pmod(F.xxhash64(*comp.columns), F.lit(SALTS))
+    parts = [r["count"] for r in comp.where("seg = 0").groupBy(salt.alias("s")).count().collect()]
+    assert len(parts) == SALTS and max(parts) < 1.1 * n / 2 / SALTS
+    # what meets in one task afterwards: a row per bucket
+    buckets = competitor_buckets(comp, own, ["seg"], "cost", "rate")
+    assert buckets.groupBy("seg").count().agg(F.max("count")).first()[0] <= 3
+    plan = buckets._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    ranked = rank_own_offers(own, comp, ["seg"], "scenario", "cost", "rate")
     got = {(r.seg, r["product"]): r.offer_rank for r in ranked.collect()}
     cost = lambda i: 500 + i * 0.0625
     assert got[0, "a"] == 1 + sum(cost(i) < 700 for i in range(0, n, 2))
