@@ -77,6 +77,18 @@ def test_training_sample_is_bounded_and_skips_null_labels(spark, edge):
     assert {r.lang_pred for r in detect_language(edge, without).collect()} == {UNKNOWN}
 
 
+def test_every_language_is_learned_and_labelled(spark):
+    df = spark.range(1400).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"),
+        F.concat(F.lit("l"), (F.col("id") % 700).cast("string")).alias("lang"))
+    sample = training_sample(df, F.col("text"), F.col("lang"), F.col("doc_id"), 1)
+    assert sample.count() == sample.select("lang").distinct().count() == 700
+    wide = LanguageModel(ByteGru.fresh(300, 4), [f"l{k:03}" for k in range(300)])
+    labels, means = wide.position_labels([b"some text", b"", b"x" * 500])
+    assert [x.dtype.itemsize for x in labels] == [2, 2, 2] and [len(x) for x in labels] == [9, 0, 500]
+    assert means.shape == (3, 300) and max(int(x.max()) for x in labels if len(x)) < 300
+
+
 def _split_url(url):
     if url is None or "://" not in url:
         return "", ""
@@ -180,6 +192,36 @@ def test_vectors_that_take_no_part_ties_and_few_candidates(spark):
     assert nearest_neighbours(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_recall_above_the_sample_and_block_sizes(spark, monkeypatch):
+    """Most rows are outside the sample, and rows and queries are dealt into several blocks; clusters and other norms."""
+    for name, value in (("SAMPLE_ROWS", 400), ("BLOCK_ROWS", 1500), ("BLOCK_QUERIES", 100)):
+        monkeypatch.setattr(f"tariff_engine.llm.hamming_index.{name}", value)
+    rng = np.random.default_rng(3)
+    for vectors in (
+        rng.normal(size=(6000, 32)),
+        rng.normal(size=(60, 32))[rng.integers(0, 60, 6000)] + 0.2 * rng.normal(size=(6000, 32)),
+        rng.normal(size=(6000, 32)) * rng.lognormal(size=(6000, 1)),
+    ):
+        rows = [(k, v) for k, v in enumerate(vectors.tolist())]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        expected = _nearest(rows)
+        found = {}
+        for r in nearest_neighbours(df, F.col("vec_id") % 20 == 0).collect():
+            found.setdefault(r.query_id, set()).add(r.vec_id)
+        hits = sum(len(found[q] & {i for i, _ in near}) for q, near in expected.items())
+        assert hits / (20 * len(expected)) >= 0.9
+
+
+def test_shorter_vectors_count_as_zero_beyond_their_end(spark):
+    rows = [(0, [1.0, 2.0])] + [(k, [1.0, float(k), 0.5]) for k in range(1, 41)] + [(60, [0.25]), (61, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    padded = [(i, v + [0.0] * (3 - len(v))) for i, v in rows]
+    found = {}
+    for r in nearest_neighbours(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert found == _nearest(padded)
+
+
 def test_many_equal_vectors_keep_the_smallest_ids(spark):
     rows = [(k, [1.0, 2.0]) for k in range(300)] + [(1000, [-1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")

@@ -167,3 +167,26 @@ def test_batches_keep_their_own_rows_apart(spark):
     texts = spark.createDataFrame([(" ".join(f"w{k}x{j}" for j in range(20)),) for k in range(24)], "text string").repartition(6)
     dealt = texts.mapInArrow(module._deal(8), module._DEALT).where("kind = 2").select("key", "batch").collect()
     assert len(dealt) > 1 and len({r.key for r in dealt}) == len({r.batch for r in dealt}) == len(dealt)
+
+
+def _thue_morse(n, letters):
+    return "".join(letters[k.bit_count() % 2] for k in range(n))
+
+
+@pytest.mark.parametrize("n", [512, 1024, 2048, 4096])
+def test_regular_words_do_not_collide(n):
+    """A polynomial modulo 2**64 gives these words one hash."""
+    a, b = shingle_sets([_thue_morse(n, "ab"), _thue_morse(n, "ba")])
+    assert a != b
+
+
+def test_words_that_differ_in_one_piece_or_its_place():
+    word = "abcdefgh" * 4
+    words = [word, word[8:] + "abcdefgx", "abcdefgx" + word[8:], word[:8] + "abcdefgx" + word[16:], word + "a", word[:-1], word + "\0", "abcdefgh"]
+    assert len({int(s[0]) for s in shingle_sets(words)}) == len(words)
+
+
+def test_texts_of_long_regular_words_are_not_linked(spark):
+    rows = [(k, _thue_morse(2048, letters)) for k, letters in enumerate(("ab", "ba", "AB"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _joined(df) == _expected(rows) == [(0, 1, 0), (1, 1, 1), (2, 1, 0)]
