@@ -29,7 +29,10 @@ def contract_months(text: Column, params: PricingParams = DEFAULT_PARAMS) -> Col
     failing the job (the data-quality checks report it).
     """
     lowered = F.lower(text)
-    n = F.regexp_extract(text, FIRST_INTEGER, 1).try_cast("int")
+    # the text mostly begins with its digits and a blank; only others need the regular expression
+    begin = F.substring_index(text, " ", 1)
+    is_number = (begin != "") & (F.translate(begin, "0123456789", "") == "")
+    n = F.when(is_number, begin).otherwise(F.regexp_extract(text, FIRST_INTEGER, 1)).try_cast("int")
     weeks = round_half_away(n * F.lit(params.days_per_week) / F.lit(params.days_per_month), 0).cast("int")
     return (
         F.when(lowered.contains(WEEK_WORD), weeks)

@@ -20,9 +20,10 @@ from tariff_engine.operators.ranking import rank_own_offers
 from tariff_engine.operators.staging import with_monthly_standing
 from tariff_engine.params import DEFAULT_PARAMS, PricingParams
 
-SEGMENT = ["energy_type", "postcode", "consumption_level_kwh", "contract_length_months"]
+# The postcode first: sorts tell most rows apart by their first key.
+SEGMENT = ["postcode", "energy_type", "consumption_level_kwh", "contract_length_months"]
 POINT = SEGMENT + ["consumption_label"]
-MATCH_KEYS = ["energy_type", "postcode", "contract_length_months"]
+MATCH_KEYS = ["postcode", "energy_type", "contract_length_months"]
 ENTITY = ["provider", "product_name"]
 QUOTED_LEVEL = "quoted_level_kwh"
 COST = "annual_cost_after_bonus_eur"
@@ -76,9 +77,8 @@ def market_points(bands: DataFrame, products: DataFrame, params: PricingParams =
 
     The same points as those of the components, but without prices, scenarios and submission bands.
     """
-    levels = expand_levels(bands, params).select("energy_type", "postcode", "consumption_level_kwh", "consumption_label").distinct()
-    sold = products.select("energy_type", "contract_length_months").distinct()
-    return levels.join(sold, "energy_type").select(*POINT)
+    sold = products.select("energy_type", "contract_length_months")
+    return expand_levels(bands, params).join(sold, "energy_type").select(*POINT).distinct()
 
 
 # ---- competitor side -----------------------------------------------------------------------
@@ -165,7 +165,7 @@ def with_market_context(ranked: DataFrame) -> DataFrame:
 
 
 # Fixed names: what identifies an own offer across scenarios.
-BASELINE_KEYS = ["energy_type", "product", "postcode", "consumption_level_kwh", "contract_length_months"]
+BASELINE_KEYS = ["postcode", "energy_type", "product", "consumption_level_kwh", "contract_length_months"]
 
 
 def with_delta_vs_baseline(ranked: DataFrame, params: PricingParams = DEFAULT_PARAMS) -> DataFrame:

@@ -62,7 +62,7 @@ class PricingModel:
         Copies are included unless the quotes come staged: the ceiling match removes them after it has dropped the
         quotes that serve no point.
         """
-        sold = self.products.select("contract_length_months").distinct()
+        sold = self.products.select("contract_length_months")
         if "quotes" in self.staged:
             typed = self.quotes.select(*QUOTE_BASE_COLUMNS)
         else:
