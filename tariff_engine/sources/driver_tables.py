@@ -34,8 +34,8 @@ CONTRACT_TEXT = ["24 Monate", "2 Jahre", "1 Jahr", "2 Wochen", "3 Wochen", "1 Mo
 # Inline catalogue: code, name, energy, lifetime (y), lead cost, VAT, procurement ct/kWh,
 # price guarantee (months), contract length (months).
 PRODUCT_ROWS = [
-    ("P1", "Volt 12", ELECTRICITY, 3.21, 55.0, 0.19, 10.084, 12, 12),
-    ("P2", "Flame 12", GAS, 3.03, 75.0, 0.19, 3.788, 12, 12),
+    ("P1", "Volt 12", ELECTRICITY, 3.5, 48.0, 0.19, 10.25, 12, 12),
+    ("P2", "Flame 12", GAS, 2.75, 80.0, 0.19, 3.9, 12, 12),
     ("P3", "Volt 24", ELECTRICITY, 2.5, 40.0, 0.19, 9.5, 24, 24),
 ]
 
@@ -60,7 +60,7 @@ DIRTY_QUOTE_ENERGY = "l_orderkey % 50 = 13"
 DIRTY_ENERGY = "WATER"
 DIRTY_RATE_EUR_PER_KWH = -0.5
 DIRTY_PRODUCT_ROWS = [
-    ("P1", "Volt 12 again", ELECTRICITY, 3.21, 55.0, 0.19, 10.084, 12, 12),
+    ("P1", "Volt 12 again", ELECTRICITY, 3.5, 48.0, 0.19, 10.25, 12, 12),
     ("P4", "Spring 12", DIRTY_ENERGY, 3.0, 50.0, 0.19, 4.0, 12, 12),
 ]
 

@@ -47,11 +47,11 @@ def test_band_join_gap_and_edges(spark):
 def test_expand_levels_matches_band_join(spark):
     params = PricingParams()
     bands = stage_cost_bands(_bands(spark, [
-        ("ELECTRICITY", "10405", "T", 100, 1999, 0.14, 40.0),
-        ("ELECTRICITY", "10405", "T", 2001, 20000, 0.13, 40.0),
-        ("GAS", "10405", "T", 200, 1000, 0.04, 30.0),
-        ("GAS", "10405", "T", 1001, 6000, 0.03, 35.0),
-        ("HEAT", "10405", "T", 0, 99999, 0.01, 1.0),
+        ("ELECTRICITY", "30159", "T", 100, 1999, 0.14, 40.0),
+        ("ELECTRICITY", "30159", "T", 2001, 20000, 0.13, 40.0),
+        ("GAS", "30159", "T", 200, 1000, 0.04, 30.0),
+        ("GAS", "30159", "T", 1001, 6000, 0.03, 35.0),
+        ("HEAT", "30159", "T", 0, 99999, 0.01, 1.0),
     ]))
     levels = spark.createDataFrame(params.levels(), "energy_type string, consumption_level_kwh int, consumption_label string")
     joined = band_join(levels, bands, ["energy_type"], "consumption_level_kwh", "consumption_from", "consumption_to")

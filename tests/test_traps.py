@@ -22,8 +22,8 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def _model(spark, products, params=PricingParams(), quotes=()):
     bands = stage_cost_bands(spark.createDataFrame(
-        [("ELECTRICITY", "10405", "T", 100, 20000, 0.1485, 43.31),
-         ("ELECTRICITY", "26676", "T", 100, 20000, 0.0952, 108.44)], RAW_COST_BANDS))
+        [("ELECTRICITY", "30159", "T", 100, 20000, 0.15, 40.0),
+         ("ELECTRICITY", "50667", "T", 100, 20000, 0.11, 95.0)], RAW_COST_BANDS))
     comps = price_components(bands, stage_products(spark.createDataFrame(products, RAW_PRODUCTS)), params)
     q = project_quotes(spark.createDataFrame(list(quotes), RAW_QUOTES), params)
     points = comps.select(*POINT).distinct()
@@ -45,9 +45,9 @@ def test_repeated_product_name_fans_out_like_a_join(spark):
 def test_two_labels_on_one_level_double_the_offers(spark):
     products = [("A", "One", "ELECTRICITY", 3.0, 50.0, 0.19, 10.0, 12, 12)]
     params = PricingParams(consumption_level_medium_kwh=1000)
-    quote = ("ELECTRICITY", "10405", "T", 1000, "P", "X", 30.0, 60.0, 10.0, 12, "12 Monate")
+    quote = ("ELECTRICITY", "30159", "T", 1000, "P", "X", 30.0, 60.0, 10.0, 12, "12 Monate")
     comps, ma = _model(spark, products, params, [quote])
-    at_1000 = ma.where("postcode = '10405' AND consumption_level_kwh = 1000 AND scenario = 'standard'").collect()
+    at_1000 = ma.where("postcode = '30159' AND consumption_level_kwh = 1000 AND scenario = 'standard'").collect()
     # Ranking ignores the label: both own copies and both competitor copies share one segment,
     # and each own copy meets both baseline copies in the baseline join (2 x 2 rows).
     assert len(at_1000) == 4 and {r.total_offers for r in at_1000} == {4}
