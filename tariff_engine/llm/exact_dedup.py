@@ -76,9 +76,11 @@ def exact_dedup(
     local = of_hot.groupBy("text_sha256", "salt", "content").agg(F.max("doc_id").alias("keep"), F.count(F.lit(1)).alias("size"))
     # the largest id, null being the least, and of salts that tie on it the smallest
     best = F.max(F.struct("keep", (-F.col("salt")).alias("minus_salt"))).alias("best")
-    groups = local.groupBy("text_sha256", "content").agg(best, F.sum("size").alias("all_size"))
-    numbered = local.select("text_sha256", "salt", "content", F.dense_rank().over(by_content).alias("content_no"))
-    winners = numbered.join(groups, ["text_sha256", "content"]).select(
+    numbered = local.withColumn("content_no", F.dense_rank().over(by_content))
+    # a digest has at most 1 / hot_share salts
+    salts = F.collect_list(F.struct("salt", "content_no")).alias("salts")
+    groups = numbered.groupBy("text_sha256", "content").agg(best, F.sum("size").alias("all_size"), salts)
+    winners = groups.select("text_sha256", "best", "all_size", F.inline("salts")).select(
         "text_sha256", "salt", "content_no", F.col("best.keep").alias("all_keep"), "all_size",
         (F.col("salt") == -F.col("best.minus_salt")).alias("elected"),
     )
