@@ -42,6 +42,8 @@ from tariff_engine.llm.shingles import mix, shingle_sets
 SIMILARITY = (75, 100)
 #: Tokens of one batch of documents (a longer document makes a batch of its own).
 BATCH_TOKENS = 1 << 20
+#: Tokens that a bucket of hashes is meant to hold: the number of buckets is that of all tokens over this, rounded up.
+BUCKET_TOKENS = 1 << 21
 #: A token in more documents of a batch than this goes to its bucket as a count.
 WIDE = 64
 #: Min-hash keys of a class.
@@ -468,10 +470,11 @@ def shingle_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     num, den = similarity
     spark = df.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(8, (partitions - 1).bit_length())
     docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     profiles = scratch.written(docs.mapInArrow(_profiles, f"doc_id {kind}, n_shingles long, digest binary"), "profiles")
+    tokens = profiles.agg(F.sum("n_shingles")).first()[0] or 0
+    bits = max(8, (partitions - 1).bit_length(), (tokens // BUCKET_TOKENS).bit_length())
 
     dealt = docs.select("text").mapInArrow(_deal(bits), _DEALT)
     answers = dealt.groupBy("key").applyInArrow(_frequencies(bits), "batch long, kind int, payload binary")

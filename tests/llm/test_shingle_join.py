@@ -190,3 +190,11 @@ def test_texts_of_long_regular_words_are_not_linked(spark):
     rows = [(k, _thue_morse(2048, letters)) for k, letters in enumerate(("ab", "ba", "AB"))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert _joined(df) == _expected(rows) == [(0, 1, 0), (1, 1, 1), (2, 1, 0)]
+
+
+def test_buckets_follow_the_tokens(spark, monkeypatch):
+    """With a few tokens a bucket there are thousands of them, and the same result."""
+    rows = _near_copies(11, groups=4, copies=8)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(module, "BUCKET_TOKENS", 4)
+    assert _joined(df) == _expected(rows)
