@@ -189,7 +189,9 @@ def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``row`` holds every input column.
 
     Null and empty texts have no words and no labels; first and last word are null where no phrase stands.
-    Null ids, repeated rows and extra columns pass through; an empty table gives none.
+    Null ids, repeated rows and extra columns pass through; an empty table gives none. Texts of any length are scanned
+    whole; the detections of one text are compared with each other, so the time of a text grows with the square of
+    their number (some seconds for a thousand notices in one text).
     """
     listed = rules()
     row = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if carry else []
