@@ -20,8 +20,8 @@ from tariff_engine.llm.byte_gru import LANES, WINDOW, ByteGru, train, windows
 #: Bound of the training sample: documents of each language. Every language that occurs is learned.
 PER_LANGUAGE = 512
 SPANS = 3
-#: Parts of a language in which its sample is cut first.
-PARTS = 16
+#: A language's rows are thinned by their hashes to about this many times its sample, of which the first are taken.
+SPARE = 4
 
 UNKNOWN = "und"
 
@@ -34,10 +34,12 @@ def training_sample(df: DataFrame, text: Column, lang: Column, order: Column, pe
     )
     span = lambda k: F.substring("text", (F.floor(last * k / (SPANS - 1)) + 1).cast("int"), F.lit(WINDOW))
     spans = rows.select("lang", "place", F.array(*[span(k) for k in range(SPANS)]).alias("spans"))
-    for keys in (["lang", "part"], ["lang"]):  # in parts first, so that no task meets all of a frequent language
-        first = F.row_number().over(Window.partitionBy(*keys).orderBy("place", "spans"))
-        spans = spans.withColumn("part", F.pmod("place", F.lit(PARTS))).withColumn("no", first).where(F.col("no") <= per_language)
-    return spans.select("lang", "spans")
+    # one row a language, as the network has an output for each
+    counts = F.broadcast(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    steps = 1 << 30
+    thinned = spans.join(counts, "lang").where(F.pmod("place", F.lit(steps)) / F.lit(steps) < SPARE * per_language / F.col("n"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("place", "spans"))
+    return thinned.withColumn("no", first).where(F.col("no") <= per_language).select("lang", "spans")
 
 
 class LanguageModel:
