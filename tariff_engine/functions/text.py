@@ -28,15 +28,10 @@ def contract_months(text: Column, params: PricingParams = DEFAULT_PARAMS) -> Col
     ``n Monat(e)`` or anything else -> n. Text without digits gives NULL rather than
     failing the job (the data-quality checks report it).
     """
+    # few references to the text and the number: filters copy the whole expression into their scan's generated code,
+    # and the virtual machine never compiles a method of more than 8,000 bytes
     lowered = F.lower(text)
-    # the text mostly begins with its digits and a blank; only others need the regular expression
-    begin = F.substring_index(text, " ", 1)
-    is_number = (begin != "") & (F.translate(begin, "0123456789", "") == "")
-    n = F.when(is_number, begin).otherwise(F.regexp_extract(text, FIRST_INTEGER, 1)).try_cast("int")
+    n = F.regexp_extract(text, FIRST_INTEGER, 1).try_cast("int")
     weeks = round_half_away(n * F.lit(params.days_per_week) / F.lit(params.days_per_month), 0).cast("int")
-    return (
-        F.when(lowered.contains(WEEK_WORD), weeks)
-        .when(lowered.contains(YEAR_WORD), n * F.lit(12))
-        .when(lowered.contains(MONTH_WORD), n)
-        .otherwise(n)
-    )
+    per_unit = F.when(lowered.contains(YEAR_WORD), F.lit(12)).otherwise(F.lit(1))
+    return F.when(lowered.contains(WEEK_WORD), weeks).otherwise(n * per_unit)

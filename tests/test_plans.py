@@ -120,3 +120,17 @@ def test_hot_key_is_split_in_the_join_back(spark, settings):
     plan = _final_plan(spark, matched)
     assert "skew=true" in plan
     assert matched.where("k = 'hot'").count() == sum(1 for k in range(60_000) if k % 3 and k % 5)
+
+
+def test_generated_code_of_the_market_is_small_enough_to_be_compiled(spark):
+    """The virtual machine interprets methods of more than 8,000 bytes, at several times the cost a row."""
+    df = catalog.CATALOG["market_by_sql"].run(spark, SF_DIR)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan shows no code before it ran
+    try:
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        code = df._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert len(sizes) > 10 and max(sizes) < 8000
