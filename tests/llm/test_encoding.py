@@ -38,6 +38,20 @@ def test_encoders_equal_the_library(encoder, documents):
         assert np.frombuffer(ids, dtype="<u4").tolist() == _ids(encoder, text), repr(text)[:80]
 
 
+def test_words_are_encoded_once(monkeypatch):
+    monkeypatch.setattr("tariff_engine.llm.encoding.BATCH_TEXTS", 3)
+    encoder, seen = WordEncoder(WORDS), []
+    engine = encoder._ids
+    encoder._ids = lambda text: (seen.append(text), engine(text))[1]
+    texts = ["One two, TWO one's", None, "two three " * 50, "", "three four\n", "½ one", " \t", "five"] * 4
+    found = encoder.encode(texts)
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in found] == [_ids(encoder, t) for t in texts]
+    words = [w for text in seen for w in text.split("\x01")[:-1]]
+    assert sorted(words) == sorted({"one", "two", ",", "'s", "three", "four", "five"})
+    monkeypatch.setattr("tariff_engine.llm.encoding.MEMO_WORDS", 2)  # kept words are dropped and encoded again
+    assert encoder.encode(texts) == found
+
+
 def test_every_prefix_is_counted_as_the_library_counts_it(documents):
     counter = PrefixCounter(BYTES)
     texts = _random_texts(1500, 8, 2) + ["'sthe", "1abc", ""] + [r.text[:150] for r in documents.limit(10).collect()]
