@@ -5,10 +5,10 @@ of its pieces' scores in the model file. Forward Viterbi gives each place the be
 an exact heuristic for an A* search from the end backwards: it completes segmentations in order of their scores.
 
 No piece crosses from other characters into a word mark, so a text's lattice is a chain of its words' lattices, and
-its segmentations are combinations of theirs. Viterbi scores in both directions give each word's best score and how
-much its second-best segmentation loses. Only the n - 1 words that lose least can differ among a text's n best; A*
-runs over these and their results are combined. Viterbi solves the lattices of many words at once in numpy; best
-paths and losses of words are kept in a bounded memo.
+its segmentations are combinations of theirs. Viterbi with the two best scores of each place gives each word's best
+score and how much its second-best segmentation loses. Only the n - 1 words that lose least can differ among a text's
+n best; A* runs over these and their results are combined. Viterbi solves the lattices of many words at once in numpy,
+place by place, while it follows the pieces that begin there; best paths and losses of words are kept in a bounded memo.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from __future__ import annotations
 import gc
 import heapq
 import itertools
-import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,24 +31,50 @@ from pyspark.sql import functions as F
 N_BEST = 4
 #: Words that a worker keeps.
 MEMO_WORDS = 250_000
-MEMO_PARTS = 120_000
 MEMO_SEARCHES = 20_000
+#: Words that are solved together, and the length above which a word is solved alone.
+BLOCK_WORDS = 8_192
+LONG_WORD = 64
+#: Up to this size, prefixes times characters are a table; above, their pairs are sorted and searched.
+TABLE_CELLS = 2**25
 #: Texts that are encoded together.
 BATCH_TEXTS = 512
 #: An unknown character is spelled by bytes, at this much less than the least score of any piece.
 UNKNOWN_PENALTY = 10.0
 
 _MARK = "▁"
-#: A word's letters with the marks before them, and what stands between such runs.
-_RUNS = re.compile(r"▁*[^\W\d_]+|▁*(?:[\W\d_](?<!▁))+|▁+")
 _NEVER = float("inf")
 
 #: (start, end, ids, score)
 Edge = tuple[int, int, tuple[int, ...], float]
-#: Ids of the best segmentation as bytes, its score, and what the second-best one loses.
-Entry = tuple[bytes, float, float]
-#: Stands between texts that are solved together; in no piece. A text that has it is solved alone.
-_BREAK = "\x00"
+
+
+class Solved(NamedTuple):
+    """Of each text the ids of its best segmentation, one after the other, their number, its score, and what the
+    second-best segmentation loses."""
+
+    ids: np.ndarray
+    counts: np.ndarray
+    scores: np.ndarray
+    losses: np.ndarray
+
+    @classmethod
+    def joined(cls, parts: list[Solved]) -> Solved:
+        none = cls(np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+        return cls(*map(np.concatenate, zip(none, *parts)))
+
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.counts) - self.counts
+
+    def rows(self, at: np.ndarray, starts: np.ndarray) -> Solved:
+        """These rows in this order; starts are the table's own."""
+        counts = self.counts[at]
+        ends = np.cumsum(counts)
+        places = np.repeat(starts[at] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
+        return Solved(self.ids[places], counts, self.scores[at], self.losses[at])
+
+    def first(self, n: int) -> Solved:
+        return Solved(self.ids[: self.counts[:n].sum()].copy(), *(x[:n].copy() for x in self[1:]))
 
 
 class PieceLattice:
@@ -75,11 +100,47 @@ class PieceLattice:
         self.entries_by_end.make_automaton()
         self.lengths = np.fromiter(map(len, pieces), dtype=np.int64)
         self.ids, self.scores = (np.asarray(x) for x in zip(*pieces.values()))
-        #: Neighbours in some piece: between any others, a lattice comes apart.
-        self.inside = {piece[k:k + 2] for piece in pieces for k in range(len(piece) - 1)}
-        self.words: dict[str, Entry] = {}
-        self.parts: dict[str, Entry] = {}
-        self.searches: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
+        self._number_prefixes(list(pieces))
+        #: Rows of words in the table of those that are kept.
+        self.words: dict[str, int] = {}
+        self.kept = Solved.joined([])
+        self.searches: dict[tuple[str, int], list[tuple[float, bytes]]] = {}
+
+    def _number_prefixes(self, pieces: list[str]) -> None:
+        """Prefixes of pieces as numbers, those that some piece extends first; 0 is none."""
+        extended = sorted({piece[:k] for piece in pieces for k in range(1, len(piece))})
+        number = {prefix: k for k, prefix in enumerate(extended, 1)}
+        for piece in pieces:
+            number.setdefault(piece, len(number) + 1)
+        #: Characters as numbers, those that extend a prefix first; 0 is any other.
+        inner = sorted({c for piece in pieces for c in piece[1:]})
+        code = {c: k for k, c in enumerate(dict.fromkeys([*inner, *(piece[0] for piece in pieces)]), 1)}
+        self.n_extended, self.n_inner = len(extended), len(inner)
+        self.code = np.zeros(0x110000, dtype=np.int32)
+        self.code[[ord(c) for c in code]] = list(code.values())
+        self.prefix_of_first = np.zeros(len(code) + 1, dtype=np.int64)
+        extension = {}
+        for prefix, k in number.items():
+            if len(prefix) == 1:
+                self.prefix_of_first[code[prefix]] = k
+            else:
+                extension[number[prefix[:-1]] * (len(inner) + 1) + code[prefix[-1]]] = k
+        self.cells = np.asarray([*sorted(extension), np.iinfo(np.int64).max])
+        self.extensions = np.asarray([*map(extension.__getitem__, sorted(extension)), 0])
+        self.table = None
+        if (len(extended) + 1) * (len(inner) + 1) <= TABLE_CELLS:
+            self.table = np.zeros((len(extended) + 1) * (len(inner) + 1), dtype=np.min_scalar_type(len(number) + 1))
+            self.table[self.cells[:-1]] = self.extensions[:-1]
+        self.piece_of_prefix = np.full(len(number) + 1, -1, dtype=np.int64)
+        self.piece_of_prefix[[number[piece] for piece in pieces]] = range(len(pieces))
+
+    def _extended(self, prefixes: np.ndarray, characters: np.ndarray) -> np.ndarray:
+        """The prefixes with one more character each."""
+        cells = prefixes * (self.n_inner + 1) + characters
+        if self.table is not None:
+            return self.table[cells].astype(np.int64)
+        at = np.searchsorted(self.cells, cells)
+        return np.where(self.cells[at] == cells, self.extensions[at], 0)
 
     def edges(self, text: str) -> list[Edge]:
         """By end, ascending."""
@@ -89,7 +150,7 @@ class PieceLattice:
         unknown = () if self.single.issuperset(text) else [k for k, c in enumerate(text) if c not in self.single]
         if unknown:
             for k in unknown:
-                out.append((k, k + 1, tuple(self.byte_ids[b] for b in text[k].encode("utf-8")), self.unknown))
+                out.append((k, k + 1, self._spelled(text[k]), self.unknown))
             out.sort(key=lambda edge: edge[1])
         return out
 
@@ -102,117 +163,110 @@ class PieceLattice:
                 best[end] = best[start] + score
         return best
 
-    def _joined(self, word: str) -> list[str]:
-        """The parts between which a word's lattice comes apart."""
-        runs = _RUNS.findall(word)
-        parts = runs[:1]
-        for run in runs[1:]:
-            if parts[-1][-1] + run[0] in self.inside:
-                parts[-1] += run
-            else:
-                parts.append(run)
-        return parts
-
-    def entries(self, words: set[str]) -> dict[str, Entry]:
-        """Of each word (without its first mark): ids of the best segmentation, its score, the second best's loss."""
-        plain = [word for word in words if word.isalpha()]
-        apart = {word: self._joined(_MARK + word) for word in words if not word.isalpha()}
-        parts = {_MARK + word for word in plain}.union(*apart.values())
-        memo = self.parts
-        known = {part: memo[part] for part in parts if part in memo}
-        missing = list(parts.difference(known))
-        new = dict(zip(missing, self.solved(missing)))
-        known.update(new)
-        memo.update(itertools.islice(new.items(), max(0, MEMO_PARTS - len(memo))))
-        out = {word: known[_MARK + word] for word in plain}
-        for word, own in apart.items():
-            if len(own) == 1:
-                out[word] = known[own[0]]
-            else:
-                ids, scores, losses = zip(*[known[part] for part in own])
-                out[word] = b"".join(ids), sum(scores), min(losses)
-        return out
-
-    def solved(self, texts: list[str]) -> list[Entry]:
-        """Viterbi over all lattices at once, forward and backward; places and edges are numbered through the texts."""
-        broken = {k for k, text in enumerate(texts) if _BREAK in text}
-        if broken:
-            rest = iter(self.solved([text for k, text in enumerate(texts) if k not in broken]))
-            return [self._searched(text) if k in broken else next(rest) for k, text in enumerate(texts)]
-        if not texts:
-            return []
-        joined = _BREAK.join(texts)
-        found = np.fromiter(itertools.chain.from_iterable(self.entries_by_end.iter(joined)), dtype=np.int64).reshape(-1, 2)
-        # the place before character k is k: each text has one place more than characters, as the break counts as one
-        end, piece = found[:, 0] + 1, found[:, 1]
-        start, ids, score = end - self.lengths[piece], self.ids[piece], self.scores[piece]
-        own_bytes: dict[int, bytes] = {}
-        if not self.single.issuperset(joined.replace(_BREAK, "")):
-            unknown = [k for k, c in enumerate(joined) if c not in self.single and c != _BREAK]
-            at = np.asarray(unknown, dtype=np.int64)
-            order = np.argsort(np.concatenate([end, at + 1]), kind="stable")
-            start, end = np.concatenate([start, at])[order], np.concatenate([end, at + 1])[order]
-            # below all ids; spelled out at the end
-            ids = np.concatenate([ids, -1 - np.arange(len(at))])[order]
-            score = np.concatenate([score, np.full(len(at), self.unknown)])[order]
-            for k, place in enumerate(unknown):
-                own_bytes[-1 - k] = self._spelled(joined[place])
+    def solved(self, texts: list[str]) -> Solved:
+        """The texts by length, in blocks."""
         sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-        first = np.cumsum(sizes + 1) - sizes - 1
-        text_of = np.repeat(np.arange(len(texts)), sizes + 1)
-        of = text_of[end]
-        best, rest = np.full(len(joined) + 1, -np.inf), np.full(len(joined) + 1, -np.inf)
-        best[first], rest[first + sizes] = 0.0, 0.0
-        last = np.zeros(len(joined) + 1, dtype=np.int64)
-
-        depth = end - first[of]
-        order = np.argsort(depth, kind="stable")  # edges of one end stay together
-        for part in np.split(order, np.flatnonzero(np.diff(depth[order])) + 1):
-            total = best[start[part]] + score[part]
-            head = np.flatnonzero(np.concatenate(([True], np.diff(end[part]) != 0)))
-            most = np.maximum.reduceat(total, head)
-            best[end[part[head]]] = most
-            ties = total == np.repeat(most, np.diff(np.append(head, len(part))))
-            key = np.where(ties, ids[part], np.iinfo(np.int64).max)
-            chosen = np.flatnonzero(key == np.repeat(np.minimum.reduceat(key, head), np.diff(np.append(head, len(part)))))
-            chosen = chosen[ties[chosen]]
-            last[end[part[chosen]]] = part[chosen]
-        height = (first + sizes)[of] - start
-        order = np.lexsort((start, height))
-        for part in np.split(order, np.flatnonzero(np.diff(height[order])) + 1):
-            head = np.flatnonzero(np.concatenate(([True], np.diff(start[part]) != 0)))
-            rest[start[part[head]]] = np.maximum.reduceat(score[part] + rest[end[part]], head)
-
-        on_path = np.zeros(len(start), dtype=bool)
-        at, low = first + sizes, first
-        while len(at):
-            on_path[last[at]] = True
-            at = start[last[at]]
-            at, low = at[at > low], low[at > low]
-        through = np.where(on_path, -np.inf, best[start] + score + rest[end])
-        second = np.full(len(texts), -np.inf)
-        np.maximum.at(second, of, through)
-        top = best[first + sizes]
-        flat, counts = ids[on_path], np.bincount(of[on_path], minlength=len(texts))
-        raw, edges = flat.astype("<u4").tobytes(), np.cumsum(counts) * 4
-        out = [
-            (raw[hi - 4 * n:hi], score, loss)
-            for hi, n, score, loss in zip(edges.tolist(), counts.tolist(), top.tolist(), (top - second).tolist())
-        ]
-        if own_bytes:
-            of_path = of[on_path]
-            for k in np.unique(of_path[flat < 0]).tolist():
-                spelled = (own_bytes.get(i) or struct.pack("<I", i) for i in flat[of_path == k].tolist())
-                out[k] = (b"".join(spelled), *out[k][1:])
-        return out
-
-    def _searched(self, text: str) -> Entry:
-        (score, ids), *other = self.search(text, 2)
-        return struct.pack(f"<{len(ids)}I", *ids), score, score - other[0][0] if other else _NEVER
-
-    def _spelled(self, character: str) -> bytes:
+        order = np.argsort(-sizes, kind="stable")
+        n_long = int((sizes > LONG_WORD).sum())
+        parts = [self._solved_alone(texts[k]) for k in order[:n_long].tolist()]
+        for low in range(n_long, len(texts), BLOCK_WORDS):
+            block = order[low:low + BLOCK_WORDS]
+            parts.append(self._solved_block([texts[k] for k in block.tolist()], sizes[block]))
+        place = np.empty(len(texts), dtype=np.int64)
+        place[order] = np.arange(len(texts))
+        found = Solved.joined(parts)
+        return found.rows(place, found.starts())
+
+    def _solved_block(self, texts: list[str], sizes: np.ndarray) -> Solved:
+        """Viterbi over all lattices at once, by starts: where a place's pieces begin, its two best scores are final.
+
+        Texts come longest first. Of equal scores the piece with the smaller id is the last, an unknown character
+        before all pieces.
+        """
+        width, length = len(texts), int(sizes[0])
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        own = np.repeat(np.arange(width), sizes)
+        at = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        first = np.zeros((length + 1, width), dtype=np.int64)
+        first[at, own] = self.code[points]
+        inner = np.where(first <= self.n_inner, first, 0)
+        best, second = np.full((length + 1, width), -np.inf), np.full((length + 1, width), -np.inf)
+        best[0] = 0.0
+        last, back = np.zeros((length + 1, width), dtype=np.int64), np.zeros((length + 1, width), dtype=np.int64)
+
+        def extend(start: int, end: int, of: np.ndarray, ids: np.ndarray, scores: np.ndarray | float) -> None:
+            one, two = best[start][of] + scores, second[start][of] + scores
+            old = best[end][of]
+            wins = (one > old) | ((one == old) & (ids < last[end][of]))
+            best[end][of] = np.maximum(one, old)
+            second[end][of] = np.maximum(np.maximum(np.minimum(one, old), second[end][of]), two)
+            last[end][of[wins]], back[end][of[wins]] = ids[wins], end - start
+
+        unknown = np.flatnonzero(self.piece_of_prefix[self.prefix_of_first[self.code[points]]] < 0)
+        unknown = unknown[np.argsort(at[unknown], kind="stable")]
+        cuts = np.searchsorted(at[unknown], np.arange(length + 1)).tolist()
+        for start in range(length):
+            odd = unknown[cuts[start]:cuts[start + 1]]
+            if len(odd):
+                extend(start, start + 1, own[odd], -1 - points[odd], self.unknown)
+            prefix = self.prefix_of_first[first[start]]
+            of = np.flatnonzero(prefix)
+            prefix = prefix[of]
+            for end in range(start + 1, length + 1):
+                piece = self.piece_of_prefix[prefix]
+                found = piece >= 0
+                piece = piece[found]
+                extend(start, end, of[found], self.ids[piece], self.scores[piece])
+                longer = prefix <= self.n_extended
+                of, prefix = of[longer], prefix[longer]
+                prefix = self._extended(prefix, inner[end][of])
+                longer = prefix > 0
+                of, prefix = of[longer], prefix[longer]
+                if not len(of):
+                    break
+
+        of, end, path = np.arange(width), sizes, []
+        while len(of):
+            path.append((of, last[end, of]))
+            end = end - back[end, of]
+            of, end = of[end > 0], end[end > 0]
+        counts = np.bincount(np.concatenate([of for of, _ in path]), minlength=width)
+        ids, ends = np.empty(counts.sum(), dtype=np.int64), np.cumsum(counts)
+        for k, (of, own_ids) in enumerate(path, 1):
+            ids[ends[of] - k] = own_ids
+        if (ids < 0).any():
+            spelled = [self._spelled(chr(-1 - i)) for i in ids[ids < 0].tolist()]
+            sizes_of = np.ones(len(ids), dtype=np.int64)
+            sizes_of[ids < 0] = list(map(len, spelled))
+            counts = np.add.reduceat(sizes_of, ends - counts)
+            ids = np.repeat(ids, sizes_of)
+            ids[ids < 0] = list(itertools.chain.from_iterable(spelled))
+        top = best[sizes, np.arange(width)]
+        return Solved(ids.astype("<u4"), counts, top, top - second[sizes, np.arange(width)])
+
+    def _solved_alone(self, text: str) -> Solved:
+        """The same for one text, edge by edge."""
+        length = len(text)
+        best, second = [0.0] + [-_NEVER] * length, [-_NEVER] * (length + 1)
+        last: list[Edge | None] = [None] * (length + 1)
+        for edge in self.edges(text):
+            start, end, ids, score = edge
+            one, old = best[start] + score, best[end]
+            if one > old or (one == old and ids < last[end][2]):
+                second[end] = max(old, second[end], second[start] + score)
+                best[end], last[end] = one, edge
+            elif one > second[end]:
+                second[end] = one
+        path, at = [], length
+        while at:
+            at, _, ids, _ = last[at]
+            path.append(ids)
+        ids = np.asarray([i for part in reversed(path) for i in part], dtype="<u4")
+        return Solved(ids, np.asarray([len(ids)]), np.asarray([best[length]]), np.asarray([best[length] - second[length]]))
+
+    def _spelled(self, character: str) -> tuple[int, ...]:
         """The byte pieces of an unknown character."""
-        return b"".join(struct.pack("<I", self.byte_ids[b]) for b in character.encode("utf-8"))
+        return tuple(self.byte_ids[b] for b in character.encode("utf-8"))
 
     def search(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The n best segmentations (score, ids) by backward A*, best first; of equal scores those whose ids are
@@ -250,66 +304,92 @@ class PieceLattice:
         return parts
 
     def n_best(self, texts: list[str], n: int) -> list[NBest]:
-        """Of each text the best ids and score, and the n best as (score, {word: its other ids})."""
+        """Of each text the best ids and score, and the n best."""
         normalised = [self.model.normalize(text) for text in texts]
         all_words = [self.units(t) for t in normalised]
-        memo = self.words
         gc.disable()  # there are no cycles to find among the many small objects below
         try:
-            new = self.entries({w for words in all_words for w in words}.difference(memo))
-            memo.update(new)
-            out = [self._combined(text, words, n) for text, words in zip(normalised, all_words)]
+            memo = self.words
+            new = list(set().union(*all_words).difference(memo))
+            table = Solved.joined([self.kept, self.solved([_MARK + word for word in new])]) if new else self.kept
+            memo.update(zip(new, itertools.count(len(memo))))
+            starts, out = table.starts(), []
+            for text, words in zip(normalised, all_words):
+                if words:
+                    numbers = np.fromiter(map(memo.__getitem__, words), dtype=np.int64, count=len(words))
+                    out.append(self._combined(words, table.rows(numbers, starts), n))
+                else:
+                    out.append(self._whole(text, n))
         finally:
             gc.enable()
-        for word in list(new)[: max(0, len(memo) - MEMO_WORDS)]:
+        n_kept = min(MEMO_WORDS, len(memo))
+        for word in new[len(new) - (len(memo) - n_kept):]:
             del memo[word]
+        if n_kept > len(self.kept.counts):
+            self.kept = table.first(n_kept)
         return out
 
-    def _combined(self, normalised: str, words: list[str], n: int) -> NBest:
+    def _whole(self, normalised: str, n: int) -> NBest:
+        """One lattice."""
         if not normalised:
-            return NBest(b"", 0.0, [(0.0, {})], [], [])
-        if not words:  # one lattice
-            found = self.search(normalised, n)
-            ids = np.asarray(found[0][1], dtype="<u4").tobytes()
-            return NBest(ids, found[0][0], [(s, {0: i} if k else {}) for k, (s, i) in enumerate(found)], [normalised], [ids])
-        parts, scores, losses = zip(*map(self.words.__getitem__, words))
-        score = sum(scores)
-        loose = [k for k in heapq.nsmallest(n - 1, range(len(losses)), key=losses.__getitem__) if losses[k] < _NEVER]
-        options = []
-        for k in loose:
-            found = self.searches.get(words[k])
-            if found is None:
-                found = self.search(_MARK + words[k], n)
-                if len(self.searches) < MEMO_SEARCHES:
-                    self.searches[words[k]] = found
-            options.append([(s - found[0][0], i) for s, i in found[:n]])
+            return NBest(b"", 0.0, [(0.0, [])])
+        found = [(score, _packed(ids)) for score, ids in self.search(normalised, n)]
+        score, best = found[0]
+        return NBest(best, score, [(s, [(0, len(best), ids)] if k else []) for k, (s, ids) in enumerate(found)])
+
+    def _combined(self, words: list[str], found: Solved, n: int) -> NBest:
+        score = float(found.scores.sum())
+        losses, cuts = found.losses, np.concatenate(([0], np.cumsum(found.counts) * 4))
+        loose = [k for k in np.argsort(losses, kind="stable")[: n - 1].tolist() if losses[k] < _NEVER]
+        options = [self._options(words[k], n) for k in loose]
         combined = []
-        for choice in itertools.product(*(range(len(o)) for o in options)):
-            change = sum(o[c][0] for o, c in zip(options, choice))
-            combined.append((score + change, choice))
+        for choice in _choices(tuple(map(len, options)), n):
+            combined.append((score + sum([o[c][0] for o, c in zip(options, choice)]), choice))
         combined.sort(key=lambda c: (-c[0], c[1]))
-        best = [
-            (total, {k: o[c][1] for k, o, c in zip(loose, options, choice) if c}) for total, choice in combined[:n]
+        places = [(int(cuts[k]), int(cuts[k + 1])) for k in loose]
+        ranked = [
+            (total, sorted((*place, o[c][1]) for place, o, c in zip(places, options, choice) if c)) for total, choice in combined[:n]
         ]
-        return NBest(b"".join(parts), score, best, words, list(parts))
+        return NBest(found.ids.tobytes(), score, ranked)
+
+    def _options(self, word: str, n: int) -> list[tuple[float, bytes]]:
+        """The word's n best segmentations: what is lost against the best, and the ids."""
+        options = self.searches.get((word, n))
+        if options is None:
+            found = self.search(_MARK + word, n)
+            options = [(score - found[0][0], _packed(ids)) for score, ids in found]
+            if len(self.searches) < MEMO_SEARCHES:
+                self.searches[word, n] = options
+        return options
+
+
+def _packed(ids: tuple[int, ...]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@lru_cache(maxsize=1024)
+def _choices(sizes: tuple[int, ...], n: int) -> list[tuple[int, ...]]:
+    """Combinations of ranks that can be among the n best: all with no greater rank anywhere come before them."""
+    if not sizes:
+        return [()]
+    return [(c, *others) for c in range(min(sizes[0], n)) for others in _choices(sizes[1:], n // (c + 1))]
 
 
 class NBest(NamedTuple):
     ids: bytes
     score: float
-    #: (score, ids of the words that differ from the best segmentation)
-    ranked: list[tuple[float, dict[int, tuple[int, ...]]]]
-    words: list[str]
-    parts: list[bytes]
+    #: (score, what differs from the best segmentation: from which byte to which, and the bytes there)
+    ranked: list[tuple[float, list[tuple[int, int, bytes]]]]
 
     def all_ids(self) -> list[bytes]:
         """The ids of every one of the n best."""
         out = []
         for _, changed in self.ranked:
-            parts = self.parts.copy()
-            for k, ids in changed.items():
-                parts[k] = struct.pack(f"<{len(ids)}I", *ids)
-            out.append(b"".join(parts))
+            parts, at = [], 0
+            for low, high, ids in changed:
+                parts += [self.ids[at:low], ids]
+                at = high
+            out.append(b"".join([*parts, self.ids[at:]]))
         return out
 
 

@@ -1,6 +1,7 @@
 """N-best segmentation against enumeration, decoding against the library."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -52,6 +53,53 @@ def test_n_best_are_the_best_of_all(pieces):
             assert decoder.decode(ids) == pieces.model.decode(list(g))
 
 
+def test_new_words_cost_less_than_a_look_at_each_edge(pieces):
+    rnd = random.Random(2)
+    syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "tion", "ing"]
+    words = list({"▁" + "".join(rnd.choices(syllables, k=rnd.randint(2, 6))) + rnd.choice(["", "", ",", "."]) for _ in range(60_000)})
+
+    def seconds(work):
+        began = time.process_time()
+        work()
+        return time.process_time() - began
+
+    plain = sorted(seconds(lambda: [edge for word in words for edge in pieces.entries_by_end.iter(word)]) for _ in range(3))
+    solved = sorted(seconds(lambda: pieces.solved(words)) for _ in range(3))
+    assert solved[1] < plain[1]
+
+
+@pytest.mark.parametrize("cells", [2**25, 0])
+def test_long_and_short_words_are_solved_alike(monkeypatch, cells):
+    monkeypatch.setattr("tariff_engine.llm.nbest.TABLE_CELLS", cells)
+    pieces = PieceLattice(MODEL)
+    rnd = random.Random(3)
+    parts = ["a", "the", "ing", "é", "日", "x", "\x00", "𝔘", ".", "tion", "aa", "12"]
+    texts = ["▁" + "".join(rnd.choices(parts, k=k)) for k in (1, 2, 5, 9, 20, 30, 40, 80, 200) for _ in range(12)]
+    together, low = pieces.solved(texts), 0
+    for k, text in enumerate(texts):
+        alone, high = pieces.solved([text]), low + together.counts[k]
+        edge_by_edge = pieces._solved_alone(text)
+        found = together.ids[low:high].tolist(), together.scores[k], together.losses[k]
+        assert found == (alone.ids.tolist(), alone.scores[0], alone.losses[0])
+        assert found == (edge_by_edge.ids.tolist(), edge_by_edge.scores[0], edge_by_edge.losses[0])
+        if len(text) < 40:
+            (score, ids), *other = pieces.search(text, 2)
+            assert found == (list(ids), score, score - other[0][0] if other else float("inf"))
+        low = high
+
+
+def test_a_full_memo_and_other_n_change_nothing(monkeypatch):
+    rnd = random.Random(4)
+    texts = [" ".join("".join(rnd.choices(["re", "in", "tion", "es", ","], k=3)) for _ in range(9)) for _ in range(60)]
+    expected = [(f.all_ids(), f.ranked) for f in PieceLattice(MODEL).n_best(texts, 4)]
+    monkeypatch.setattr("tariff_engine.llm.nbest.MEMO_WORDS", 40)
+    full = PieceLattice(MODEL)
+    for n in (2, 3):
+        full.n_best(texts, n)
+    found = [f for low in range(0, len(texts), 7) for f in full.n_best(texts[low:low + 7], 4)]
+    assert [(f.all_ids(), f.ranked) for f in found] == expected and len(full.words) == 40
+
+
 def test_search_orders_equal_scores(pieces):
     found = pieces.search("▁▁▁▁a", 6)
     assert [s for s, _ in found] == sorted((s for s, _ in found), reverse=True)
